@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from tessera.operators import diff
-from tessera.plans.runtime import table
+from tessera.operators import diff, drift, nested, orphans
+from tessera.operators.orphans import Reference
+from tessera.plans.runtime import materialize, table
+
+REFERENCES = [
+    Reference("objectives", "objective", "endpointIds", "objectives", "endpoint", many=True),
+    Reference("objectives", "estimand", "analysisPopulationId", "objectives", "analysis_population"),
+    Reference("objectives", "estimand", "interventionIds", "interventions", "study_intervention", many=True),
+    Reference("soa_vision", "encounter", "epochId", "soa_vision", "epoch"),
+]
 
 
 def p1_found(spark, d):
@@ -16,6 +24,49 @@ def p1_by_study(spark, d):
     return diff.diff_summary(p1_found(spark, d))
 
 
+def p3_found(spark, d):
+    """Changes of shape from one output file to the next."""
+    cell = materialize(drift.cells(table(spark, d, "agent_files")))
+    return drift.changes(cell).select("file_no", "entity_type", "field", "change")
+
+
+def p3_schema(spark, d):
+    """The fused schema of all readable records, alternative types kept."""
+    return drift.fused_schema(drift.cells(table(spark, d, "agent_files")))
+
+
+def p3_unified(spark, d):
+    """All readable records in one consistent table."""
+    files = table(spark, d, "agent_files")
+    cell = materialize(drift.cells(files))
+    return drift.unified(files, drift.fused_schema(cell), drift.changes(cell).where("change = 'renamed'"))
+
+
+def p5_found(spark, d):
+    """Child rows of objectives and amendments with their parents."""
+    return nested.objective_children(table(spark, d, "objectives")).unionByName(nested.scope_children(table(spark, d, "advanced_entities")))
+
+
+def p5_levels(spark, d):
+    """Amendments in shredded form, with repetition and definition levels."""
+    records = table(spark, d, "advanced_entities").where("entity_type = 'study_amendment'").selectExpr("entity_no", "data AS json")
+    return nested.level_columns(records)
+
+
+def _reference_tables(spark, d):
+    return {t: table(spark, d, t) for t in ("objectives", "interventions", "soa_vision")}
+
+
+def p6_found(spark, d):
+    """References whose target is missing, deleted or later."""
+    return orphans.find_orphans(_reference_tables(spark, d), REFERENCES).select("entity_no", "field", "ref_id", "kind")
+
+
+def p6_report(spark, d):
+    """Direct and inherited orphans by table, month and field."""
+    return orphans.orphan_report(_reference_tables(spark, d), REFERENCES)
+
+
 _LIVE = """{t}_live AS (
   SELECT * FROM (
     SELECT *, lower(replace(trim(id), '-', '_')) AS sid,
@@ -37,8 +88,53 @@ UNION ALL SELECT l.study_id, l.sid, 'text' FROM l JOIN r USING (study_id, sid) W
 """
 )
 
-QUERIES = {"p1_found": p1_found, "p1_by_study": p1_by_study}
+_SID = "lower(replace(trim({}), '-', '_'))"
+
+
+def _p6_refs(table, kind, field, target, target_type, many):
+    ids = f"unnest(data.{field})" if many else f"data.{field}"
+    return f"""SELECT DISTINCT '{table}' AS table_name, entity_no, study_id, created_at, '{field}' AS field, '{target}' AS target, '{target_type}' AS target_type,
+      lower(replace(trim(ref), '-', '_')) AS ref_id
+    FROM (SELECT *, {ids} AS ref FROM {table}_live WHERE entity_type = '{kind}') WHERE trim(ref) <> ''"""
+
+
+_P6 = (
+    "WITH "
+    + ", ".join(_LIVE.format(t=t) for t in ("objectives", "soa_vision"))
+    + ", refs AS ("
+    + " UNION ALL ".join(_p6_refs(r.table, r.entity_type, r.field, r.target, r.target_type, r.many) for r in REFERENCES)
+    + "), states AS ("
+    + " UNION ALL ".join(
+        f"""SELECT '{t}' AS target, entity_type AS target_type, study_id, lower(replace(trim(id), '-', '_')) AS ref_id,
+        arg_max(is_deleted, version) AS gone, min(created_at) AS since FROM {t} GROUP BY ALL"""
+        for t in ("objectives", "interventions", "soa_vision")
+    )
+    + """), found AS (SELECT refs.*, CASE WHEN gone IS NULL THEN 'missing' WHEN gone THEN 'deleted' WHEN since > created_at THEN 'late' END AS kind
+      FROM refs LEFT JOIN states USING (target, target_type, study_id, ref_id))
+"""
+)
+
+_P3_CELLS = """WITH readable AS (SELECT DISTINCT file_no, entity_type, record_id, file_ts, payload FROM agent_files WHERE json_valid(payload)),
+cell AS (SELECT r.*, k.key AS field, CASE k.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object'
+    WHEN 'ARRAY' THEN 'array' ELSE 'number' END AS tag
+  FROM readable r, json_each(r.payload) k WHERE k.type <> 'NULL')
+"""
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_by_study": p1_by_study,
+    "p3_found": p3_found,
+    "p3_schema": p3_schema,
+    "p3_unified": p3_unified,
+    "p5_found": p5_found,
+    "p5_levels": p5_levels,
+    "p6_found": p6_found,
+    "p6_report": p6_report,
+}
 ORACLES = {
     "p1_found": _P1 + "SELECT study_id, id, diff FROM found",
     "p1_by_study": _P1 + "SELECT study_id, diff, count(*) AS n FROM found GROUP BY ALL",
+    "p6_found": _P6 + "SELECT entity_no, field, ref_id, kind FROM found WHERE kind IS NOT NULL",
+    "p6_report": _P6
+    + "SELECT table_name, strftime(created_at, '%Y-%m') AS month, field, kind, count(*) AS n FROM found WHERE kind IS NOT NULL GROUP BY ALL",
 }
