@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.llm import leakage
 from tessera.llm.near_dup import NearDuplicates
 from tessera.operators.live import live_entities
 from tessera.plans.runtime import materialize, table
@@ -33,5 +34,15 @@ def p2_classes(spark, d):
     return _entity_duplicates(spark, d).classes().withColumnRenamed("id", "entity_no")
 
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes}
+def p7_found(spark, d):
+    """Documents that hold held-out items."""
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_items(spark, d):
+    """Each held-out item with the number of documents it leaked into."""
+    return leakage.leaked_items(p7_found(spark, d), table(spark, d, "eval_items"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p7_found": p7_found, "p7_items": p7_items}
 ORACLES: dict[str, str] = {}
