@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import leakage
+from tessera.llm import leakage, mixing, splitting
 from tessera.llm.near_dup import NearDuplicates
 from tessera.operators.live import live_entities
 from tessera.plans.runtime import materialize, table
@@ -44,5 +44,21 @@ def p7_items(spark, d):
     return leakage.leaked_items(p7_found(spark, d), table(spark, d, "eval_items"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p7_found": p7_found, "p7_items": p7_items}
+def p8_mix(spark, d):
+    """The chosen texts and how often each is used."""
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_shares(spark, d):
+    """Wanted and actual share of each source."""
+    targets = table(spark, d, "mix_targets")
+    return mixing.shares(mixing.mix(table(spark, d, "documents"), targets), targets)
+
+
+def p9_pieces(spark, d):
+    """The pieces of each document over a limit, for every set of limits."""
+    return splitting.split_documents(table(spark, d, "documents"), table(spark, d, "split_limits"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_pieces": p9_pieces}
 ORACLES: dict[str, str] = {}
