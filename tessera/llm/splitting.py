@@ -19,12 +19,12 @@ from tessera.llm import tokens
 from tessera.plans.runtime import bounded_rows
 
 #: Penalty of a cut by kind of boundary; the lower the more natural.
-PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, INSIDE = 0.0, 0.5, 1.0, 4.0, 8.0, 30.0
-KINDS = {PARAGRAPH: "paragraph", LINE: "line", SENTENCE: "sentence", CLAUSE: "clause", WORD: "word", INSIDE: "inside"}
+PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, MARK, INSIDE = 0.0, 0.5, 1.0, 4.0, 8.0, 12.0, 30.0
+KINDS = {PARAGRAPH: "paragraph", LINE: "line", SENTENCE: "sentence", CLAUSE: "clause", WORD: "word", MARK: "mark", INSIDE: "inside"}
 #: A piece that starts inside a word costs this much; imbalance of a piece counts as weight x (relative deviation squared).
 START_INSIDE, IMBALANCE = 3.0, 8.0
 
-_BREAK = re.compile(r"\n[ \t\r]*\n\s*|\n[ \t]*|[.!?][\"')\]]*(?=\s)|[,;:](?=\s)|(?<=\S)(?=\s)")
+_BREAK = re.compile(r"\n[ \t\r]*\n\s*|\n[ \t]*|[.!?][\"')\]]*(?=\s)|[,;:](?=\s)|[,;|](?=\S)|(?<=\S)(?=\s)")
 
 PIECE_SCHEMA = (
     "doc_id bigint, limit_no int, piece_no int, pieces int, char_start bigint, char_end bigint, "
@@ -44,7 +44,7 @@ def boundaries(text: str, offset: np.ndarray) -> np.ndarray:
         elif s[0] == "\n":
             kind = PARAGRAPH if s.count("\n") > 1 else LINE
         else:
-            kind = SENTENCE if s[0] in ".!?" else CLAUSE
+            kind = SENTENCE if s[0] in ".!?" else CLAUSE if text[m.end()].isspace() else MARK
         i = place.get(m.end())
         if i is not None and kind < penalty[i]:
             penalty[i] = kind
@@ -54,7 +54,7 @@ def boundaries(text: str, offset: np.ndarray) -> np.ndarray:
 def _nodes(penalty: np.ndarray, stride: int) -> np.ndarray:
     """Token positions to cut at: sentence ends and better; finer ones only in stretches without them."""
     nodes = np.flatnonzero(penalty <= SENTENCE)
-    for kind, gap in ((CLAUSE, stride // 3), (WORD, stride // 3), (INSIDE, stride // 2)):
+    for kind, gap in ((CLAUSE, stride // 3), (WORD, stride // 3), (MARK, stride // 3), (INSIDE, stride // 2)):
         bounds = np.concatenate(([0], nodes, [len(penalty) - 1]))
         wide = np.flatnonzero(np.diff(bounds) > max(gap, 1))
         if not len(wide):
