@@ -196,15 +196,18 @@ class NearDuplicates:
         common = common_words(texts, common_share)
         signed = self.signed = materialize(sketches(texts, common, shingle, k, threshold, min_words))
         bag = ["hi", "lo", "n"]
-        grouped = signed.groupBy(*bag).agg(
-            F.min(F.struct("id", "size", "sketch", "plain")).alias("r"), F.count("*").alias("c")
-        )
-        classes = grouped.select("r.id", "n", "r.size", "r.sketch", "r.plain")
-        pairs = materialize(candidate_pairs(classes, threshold, min_overlap))
-        # a text shorter than k + shingle - 1 words has fewer values, yet two of them always suffice
-        self.links = materialize(verified(pairs, texts, threshold))
         reps = signed.groupBy(*bag).agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1")
         self.members = materialize(signed.select("id", *bag).join(reps, bag).select("id", "rep", "c"))
+        # a text shorter than k + shingle - 1 words has fewer values, yet two of them always suffice
+        pairs = materialize(candidate_pairs(self._representatives(), threshold, min_overlap))
+        self.links = materialize(verified(pairs, texts, threshold))
+
+    def _representatives(self, limit: int = 1_000_000) -> DataFrame:
+        """The sketches without those of further copies, which are sent along if at most ``limit`` ids."""
+        copies = self.members.where("id <> rep").select("id")
+        if copies.count() <= limit:
+            copies = F.broadcast(copies)
+        return self.signed.join(copies, "id", "left_anti")
 
     def pairs(self) -> DataFrame:
         """Every similar pair of ids: (a, b), a < b; copies are laid out."""
