@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import leakage, mixing, splitting
+from tessera.llm import canonical, leakage, mixing, splitting
 from tessera.llm.near_dup import NearDuplicates
 from tessera.operators.live import live_entities
 from tessera.plans.runtime import materialize, table
@@ -34,6 +34,17 @@ def p2_classes(spark, d):
     return _entity_duplicates(spark, d).classes().withColumnRenamed("id", "entity_no")
 
 
+def p4_found(spark, d):
+    """The concept that each free-typed term means, or that there is none."""
+    return canonical.map_results(table(spark, d, "enrichment"), table(spark, d, "concepts")).select("result_no", "code")
+
+
+def p4_terms(spark, d):
+    """Each mapped term with its concept, score and number of results."""
+    found = canonical.map_results(table(spark, d, "enrichment"), table(spark, d, "concepts"))
+    return found.groupBy("term", "code", "score").agg(F.count("*").alias("results"))
+
+
 def p7_found(spark, d):
     """Documents that hold held-out items."""
     return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
@@ -60,5 +71,5 @@ def p9_pieces(spark, d):
     return splitting.split_documents(table(spark, d, "documents"), table(spark, d, "split_limits"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_pieces": p9_pieces}
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p4_found": p4_found, "p4_terms": p4_terms, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_pieces": p9_pieces}
 ORACLES: dict[str, str] = {}
