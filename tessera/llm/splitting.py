@@ -8,7 +8,6 @@ to an exact overlap of neighbours.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,30 +23,47 @@ KINDS = {PARAGRAPH: "paragraph", LINE: "line", SENTENCE: "sentence", CLAUSE: "cl
 #: A piece that starts inside a word costs this much; imbalance of a piece counts as weight x (relative deviation squared).
 START_INSIDE, IMBALANCE = 3.0, 8.0
 
-_BREAK = re.compile(r"\n[ \t\r]*\n\s*|\n[ \t]*|[.!?][\"')\]]*(?=\s)|[,;:](?=\s)|[,;|](?=\S)|(?<=\S)(?=\s)")
-
 PIECE_SCHEMA = (
     "doc_id bigint, limit_no int, piece_no int, pieces int, char_start bigint, char_end bigint, "
     "n_tokens int, shared_tokens int, cut string, piece string"
 )
 
 
+def _among(codes: np.ndarray, marks: str) -> np.ndarray:
+    found = codes == ord(marks[0])
+    for m in marks[1:]:
+        found |= codes == ord(m)
+    return found
+
+
 def boundaries(text: str, offset: np.ndarray) -> np.ndarray:
-    """Penalty of a cut before each token; infinite where a token starts inside a character."""
+    """Penalty of a cut before each token; infinite where a token starts inside a character.
+
+    Looks only at the characters around token starts, all of them at once.
+    """
     penalty = np.full(len(offset), INSIDE)
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
+    blank = (codes <= 32) | (codes == 0xA0) | (codes == 0x3000) | ((codes >= 0x2000) & (codes <= 0x200A))
+    solid = np.maximum.accumulate(np.where(blank, 0, np.arange(1, len(codes) + 1)))
+    breaks = np.concatenate(([0], np.cumsum(codes == 10)))
+    inner = np.flatnonzero((offset > 0) & (offset < len(codes)))
+    at = offset[inner]
+    here, before = codes[at], codes[at - 1]
+    starts_blank, after_blank = blank[at], blank[at - 1]
+    # closing quotes and brackets belong to the sentence before them
+    behind = np.where(_among(before, "\"')]") & (at > 1), codes[np.maximum(at - 2, 0)], before)
+    kind = np.full(len(inner), INSIDE)
+    kind[~starts_blank & _among(before, ",;|")] = MARK
+    ends = starts_blank & ~after_blank
+    kind[ends] = WORD
+    kind[ends & _among(before, ",;:")] = CLAUSE
+    kind[ends & _among(behind, ".!?")] = SENTENCE
+    lines = breaks[at] - breaks[solid[at - 1]]
+    fresh = after_blank & ~_among(here, "\n\r")
+    kind[fresh & (lines == 1)] = LINE
+    kind[fresh & (lines > 1)] = PARAGRAPH
+    penalty[inner] = kind
     penalty[offset < 0] = math.inf
-    place = {c: i for i, c in enumerate(offset.tolist()) if c >= 0}
-    for m in _BREAK.finditer(text):
-        s = m.group()
-        if not s:
-            kind = WORD
-        elif s[0] == "\n":
-            kind = PARAGRAPH if s.count("\n") > 1 else LINE
-        else:
-            kind = SENTENCE if s[0] in ".!?" else CLAUSE if text[m.end()].isspace() else MARK
-        i = place.get(m.end())
-        if i is not None and kind < penalty[i]:
-            penalty[i] = kind
     return penalty
 
 
@@ -86,28 +102,40 @@ def cuts(penalty: np.ndarray, limit: int, overlap: int) -> list[int]:
         own[1:-1] += np.where(start >= INSIDE, START_INSIDE, 0.0)
     pieces = 1 + math.ceil((total - limit) / stride)
     ideal = (total + (pieces - 1) * overlap) / pieces
-    best = np.full(len(at), math.inf)
-    back = np.zeros(len(at), dtype=np.int64)
-    best[0] = 0.0
-    low = 0
-    for j in range(1, len(at)):
-        while at[j] - at[low] > (limit if low == 0 else stride):
+    nodes, extra = at.tolist(), own.tolist()
+    best, back, low = [0.0] + [math.inf] * (len(nodes) - 1), [0] * len(nodes), 0
+    scale = IMBALANCE / ideal**2
+    # long stretches are weighed as arrays, short ones aren't worth the calls
+    costs = np.full(len(nodes), math.inf) if len(nodes) > 40 else None
+    if costs is not None:
+        costs[0] = 0.0
+    for j in range(1, len(nodes)):
+        end = nodes[j]
+        while end - nodes[low] > (limit if low == 0 else stride):
             low += 1
-        if low == j:
-            continue
-        length = at[j] - at[low:j] + overlap
-        if low == 0:
-            length[0] -= overlap
-        cost = best[low:j] + IMBALANCE * ((length - ideal) / ideal) ** 2
-        k = int(cost.argmin())
-        best[j] = cost[k] + own[j]
-        back[j] = low + k
+        if j - low <= 40:
+            least, where = math.inf, low
+            for k in range(low, j):
+                off = end - nodes[k] + (overlap if k else 0) - ideal
+                cost = best[k] + scale * off * off
+                if cost < least:
+                    least, where = cost, k
+        else:
+            off = end - at[low:j] + overlap - ideal
+            if low == 0:
+                off[0] -= overlap
+            cost = costs[low:j] + scale * off * off
+            where = low + int(cost.argmin())
+            least = float(cost[where - low])
+        best[j], back[j] = least + extra[j], where
+        if costs is not None:
+            costs[j] = best[j]
     if not math.isfinite(best[-1]):
         raise ValueError("no way to cut the text within the limit")
-    out, j = [], int(back[-1])
+    out, j = [], back[-1]
     while j:
-        out.append(int(at[j]))
-        j = int(back[j])
+        out.append(nodes[j])
+        j = back[j]
     return out[::-1]
 
 
