@@ -81,8 +81,8 @@ def _nodes(penalty: np.ndarray, stride: int) -> np.ndarray:
     return nodes[(nodes > 0) & (nodes < len(penalty) - 1)]
 
 
-def cuts(penalty: np.ndarray, limit: int, overlap: int) -> list[int]:
-    """Token positions at which to cut a text of len(penalty) - 1 tokens; [] if it fits.
+def cuts(penalty: np.ndarray, limit: int, overlap: int) -> list[int] | None:
+    """Token positions at which to cut a text of len(penalty) - 1 tokens; [] if it fits, None if there is no way.
 
     Of all cut sequences over the nodes with pieces of at most ``limit`` tokens,
     each next piece starting ``overlap`` tokens before the cut, one of least cost.
@@ -131,7 +131,7 @@ def cuts(penalty: np.ndarray, limit: int, overlap: int) -> list[int]:
         if costs is not None:
             costs[j] = best[j]
     if not math.isfinite(best[-1]):
-        raise ValueError("no way to cut the text within the limit")
+        return None
     out, j = [], back[-1]
     while j:
         out.append(nodes[j])
@@ -144,11 +144,18 @@ def split_text(text: str, offset: np.ndarray, penalty: np.ndarray, limit: int, o
 
     Pieces are runs of the text's own tokens. One that begins or ends inside a
     word is tokenized by itself too; if that gives more than ``limit`` the text
-    is cut again with a smaller one.
+    is cut again with a smaller one. Where tokens are parts of characters an
+    overlap close to the limit may leave no cuts; it is halved until there are
+    some, and a character of more tokens than the limit is a piece of its own.
     """
     room = limit
     while True:
         at = cuts(penalty, room, overlap)
+        while at is None and overlap:
+            overlap //= 2
+            at = cuts(penalty, room, overlap)
+        if at is None:
+            at = (np.flatnonzero(np.isfinite(penalty[1:-1])) + 1).tolist()
         if not at:
             return []
         starts = [0] + [c - overlap for c in at]
