@@ -49,7 +49,7 @@ NAMES = """names AS (SELECT DISTINCT name FROM (SELECT data.name AS name FROM so
 ENTITIES = "entities AS (" + " UNION ALL ".join(
     f"""SELECT '{t}' AS table_name, entity_no, study_id, pos, id, lower(replace(trim(id), '-', '_')) AS sid, entity_type, {n} AS name, source_agent, confidence,
     source_pages, model, version, parent_id, is_deleted, created_at, updated_at FROM {t}"""
-    for t, n in (("narrative", "data.name"), ("objectives", "data.name"), ("soa_vision", "data.name"), ("interventions", "data.name"), ("advanced_entities", "data->>'$.name'"))
+    for t, n in (("narrative", "data.name"), ("objectives", "data.name"), ("soa_vision", "data.name"), ("interventions", "data.name"), ("advanced_entities", "CASE WHEN json_valid(data) THEN data->>'$.name' END"))
 ) + ")"
 LIVE = """live AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY table_name, study_id, sid ORDER BY version DESC) AS rn FROM entities)
   WHERE rn = 1 AND NOT is_deleted)"""

@@ -28,7 +28,7 @@ def entities(spark, d, tables=ENTITY_TABLES) -> DataFrame:
     parts = []
     for t in tables:
         df = table(spark, d, t)
-        name = F.get_json_object("data", "$.name") if t == "advanced_entities" else F.col("data.name")
+        name = F.try_variant_get(F.try_parse_json("data"), "$.name", "string") if t == "advanced_entities" else F.col("data.name")
         df = df.withColumns({"table_name": F.lit(t), "sid": same_id("id"), "name": name})
         parts.append(df.select(*ENTITY_COLUMNS))
     return reduce(DataFrame.unionByName, parts)
