@@ -92,15 +92,26 @@ def reconcile_cells(cells: DataFrame) -> DataFrame:
     empty cell, of two numbers the surer one counts, else the vision side.
     """
     v, t = F.col("vision_value"), F.col("text_value")
-    x, y = F.trim(v), F.trim(t)
-    vb, tb = F.coalesce("vision_bp", F.lit(5000)), F.coalesce("text_bp", F.lit(5000))
-    both, agree = v.isNotNull() & t.isNotNull(), values_agree(v, t)
-    tick_v, tick_t = x.isin(TICKS) & y.isin(EMPTY_CELLS), y.isin(TICKS) & x.isin(EMPTY_CELLS)
-    numbers = x.try_cast("double").isNotNull() & y.try_cast("double").isNotNull()
-    strategy = F.when(~both, "single").when(agree, "agree").when(tick_v | tick_t, "tick_present_over_absent").when(numbers, "numeric_higher_confidence").otherwise("source_priority")
-    resolved = F.when(~both, F.coalesce(v, t)).when(agree | tick_v, v).when(tick_t, t).when(numbers & (vb < tb), t).otherwise(v)
-    bp = F.when(both & agree, F.least(F.lit(10000), F.greatest(vb, tb) + BOOST_BP)).when(both, F.greatest(F.lit(0), F.greatest(vb, tb) - PENALTY_BP))
-    return cells.withColumns({"resolved": resolved, "confidence_bp": bp.cast("bigint"), "strategy": strategy})
+    # staged, so that each test is computed once and the generated code stays small
+    staged = cells.withColumns({"__x": F.trim(v), "__y": F.trim(t), "__vb": F.coalesce("vision_bp", F.lit(5000)), "__tb": F.coalesce("text_bp", F.lit(5000))})
+    flags = {"__both": v.isNotNull() & t.isNotNull(), "__same": F.lower("__x") == F.lower("__y")}
+    for side in "xy":
+        c = F.col(f"__{side}")
+        flags |= {f"__{side}t": c.isin(TICKS), f"__{side}e": c.isin(EMPTY_CELLS), f"__{side}n": c.try_cast("double")}
+    staged = staged.withColumns(flags)
+    both, numbers = F.col("__both"), F.col("__xn").isNotNull() & F.col("__yn").isNotNull()
+    agree = both & ((F.col("__xt") & F.col("__yt")) | (F.col("__xe") & F.col("__ye")) | F.coalesce(F.col("__xn") == F.col("__yn"), F.lit(False)) | F.col("__same"))
+    strategy = (
+        F.when(~both, "single").when(agree, "agree").when((F.col("__xt") & F.col("__ye")) | (F.col("__yt") & F.col("__xe")), "tick_present_over_absent")
+        .when(numbers, "numeric_higher_confidence").otherwise("source_priority")
+    )
+    staged = staged.withColumn("strategy", strategy)
+    s, most = F.col("strategy"), F.greatest("__vb", "__tb")
+    text_wins = ((s == "tick_present_over_absent") & F.col("__yt") & F.col("__xe")) | ((s == "numeric_higher_confidence") & (F.col("__vb") < F.col("__tb")))
+    resolved = F.when(s == "single", F.coalesce(v, t)).when(text_wins, t).otherwise(v)
+    bp = F.when(s == "agree", F.least(F.lit(10000), most + BOOST_BP)).when(s != "single", F.greatest(F.lit(0), most - PENALTY_BP))
+    out = staged.withColumns({"resolved": resolved, "confidence_bp": bp.cast("bigint")})
+    return out.select(*cells.columns, "resolved", "confidence_bp", "strategy")
 
 
 def field_conflicts(values: DataFrame, keys: list[str]) -> DataFrame:
