@@ -120,6 +120,51 @@ cell AS (SELECT r.*, k.key AS field, CASE k.type WHEN 'VARCHAR' THEN 'string' WH
   FROM readable r, json_each(r.payload) k WHERE k.type <> 'NULL')
 """
 
+_P3 = (
+    _P3_CELLS
+    + """, f AS (SELECT DISTINCT a.study_id, a.agent_id, r.entity_type, r.file_no, r.file_ts FROM readable r JOIN (SELECT DISTINCT file_no, study_id, agent_id FROM agent_files) a USING (file_no)),
+pairs AS (SELECT file_no, entity_type, before FROM (SELECT l.file_no, l.entity_type, e.file_no AS before, row_number() OVER (PARTITION BY l.file_no, l.entity_type ORDER BY e.file_ts DESC, e.file_no DESC) AS rn
+  FROM f l JOIN f e ON e.study_id = l.study_id AND e.agent_id = l.agent_id AND e.entity_type = l.entity_type AND e.file_ts < l.file_ts) WHERE rn = 1),
+tags AS (SELECT file_no, entity_type, field, list_sort(list(DISTINCT tag)) AS tags FROM cell GROUP BY ALL),
+sides AS (SELECT p.file_no, p.entity_type, t.field, t.tags AS new, NULL AS old FROM pairs p JOIN tags t ON t.file_no = p.file_no AND t.entity_type = p.entity_type
+  UNION ALL SELECT p.file_no, p.entity_type, t.field, NULL, t.tags FROM pairs p JOIN tags t ON t.file_no = p.before AND t.entity_type = p.entity_type),
+found AS (SELECT * FROM (SELECT file_no, entity_type, field, CASE WHEN max(new) IS NULL THEN 'removed' WHEN max(old) IS NULL THEN 'added' WHEN max(new) <> max(old) THEN 'type' END AS change FROM sides GROUP BY ALL) WHERE change IS NOT NULL),
+shared AS (SELECT DISTINCT p.file_no, p.before, p.entity_type, a.record_id FROM pairs p JOIN readable a ON a.file_no = p.file_no AND a.entity_type = p.entity_type JOIN readable b ON b.file_no = p.before AND b.entity_type = p.entity_type AND b.record_id = a.record_id),
+vals AS (SELECT c.file_no, c.entity_type, c.record_id, c.field, k.value::VARCHAR AS v FROM cell c, json_each(c.payload) k WHERE k.key = c.field),
+olds AS (SELECT x.file_no, x.entity_type, x.field, list_sort(list(DISTINCT s.record_id || '=' || v.v)) AS shape FROM found x JOIN shared s USING (file_no, entity_type) JOIN vals v ON v.file_no = s.before AND v.entity_type = s.entity_type AND v.record_id = s.record_id AND v.field = x.field WHERE change = 'removed' GROUP BY ALL),
+news AS (SELECT x.file_no, x.entity_type, x.field, list_sort(list(DISTINCT s.record_id || '=' || v.v)) AS shape FROM found x JOIN shared s USING (file_no, entity_type) JOIN vals v ON v.file_no = s.file_no AND v.entity_type = s.entity_type AND v.record_id = s.record_id AND v.field = x.field WHERE change = 'added' GROUP BY ALL),
+moved AS (SELECT n.file_no, n.entity_type, n.field, o.field AS old_field FROM news n JOIN olds o USING (file_no, entity_type, shape))
+SELECT file_no, entity_type, field, change FROM found x WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.file_no = x.file_no AND m.entity_type = x.entity_type AND ((x.change = 'removed' AND m.old_field = x.field) OR (x.change = 'added' AND m.field = x.field)))
+UNION ALL SELECT file_no, entity_type, field, 'renamed' FROM moved"""
+)
+
+
+
+def _opened(source: str, name: str) -> str:
+    """JSON trees with every string that holds JSON replaced by its own tree, one level of holding at a time."""
+    return f"""
+{name}_b AS (SELECT *, type = 'VARCHAR' AND regexp_matches(value->>'$', '^\\s*[\\[{{]') AND json_valid(value->>'$') AS held FROM {source}),
+{name}_h AS (SELECT b.entity_no, b.key AS outer_key, b.id AS outer_id, b.parent AS outer_parent, j.key, j.type, j.value, j.id AS i, j.parent AS p FROM (SELECT * FROM {name}_b WHERE held) b, json_tree(b.value->>'$') j),
+{name} AS (SELECT entity_no, key, type, value, id, parent FROM {name}_b WHERE NOT held
+  UNION ALL SELECT entity_no, CASE WHEN p IS NULL THEN outer_key ELSE key END, type, value, CASE WHEN p IS NULL THEN outer_id ELSE outer_id || '/' || i END,
+    CASE WHEN p IS NULL THEN outer_parent WHEN p = min(i) OVER (PARTITION BY entity_no, outer_id) THEN outer_id ELSE outer_id || '/' || p END FROM {name}_h),"""
+
+
+_P5 = (
+    "WITH RECURSIVE " + _LIVE.format(t="objectives") + ", " + _LIVE.format(t="advanced_entities") + """,
+t0 AS (SELECT a.entity_no, j.key, j.type, j.value, j.id::VARCHAR AS id, j.parent::VARCHAR AS parent FROM (SELECT * FROM advanced_entities_live WHERE entity_type = 'study_amendment' AND json_valid(data)) a, json_tree(a.data) j),
+""" + _opened("t0", "t1") + _opened("t1", "t") + """
+ids AS (SELECT entity_no, parent, value->>'$' AS v FROM t WHERE key = 'id' AND type NOT IN ('NULL', 'OBJECT', 'ARRAY')),
+up AS (SELECT entity_no, id AS node, parent AS at FROM t WHERE key = 'geographicScopes'
+  UNION ALL SELECT u.entity_no, u.node, p.parent FROM up u JOIN t p ON p.entity_no = u.entity_no AND p.id = u.at ANTI JOIN ids q ON q.entity_no = u.entity_no AND q.parent = u.at WHERE p.parent IS NOT NULL),
+owner AS (SELECT u.entity_no, u.node, q.v AS parent_id FROM up u JOIN ids q ON q.entity_no = u.entity_no AND q.parent = u.at),
+kids AS (SELECT g.entity_no, g.id AS node, CAST(c.key AS INT) AS pos, c.value AS v FROM t g JOIN t c ON c.entity_no = g.entity_no AND c.parent = g.id AND c.type = 'OBJECT' WHERE g.key = 'geographicScopes' AND g.type = 'ARRAY'
+  UNION ALL SELECT entity_no, id, 0, value FROM t WHERE key = 'geographicScopes' AND type = 'OBJECT')
+SELECT k.entity_no, 'geographicScopes' AS child_kind, o.parent_id, k.pos AS child_pos, coalesce(k.v->>'$.id', '') AS child_id FROM kids k LEFT JOIN owner o USING (entity_no, node)
+UNION ALL SELECT entity_no, 'level', data.id, 0, data.level.code FROM objectives_live WHERE data.level.code IS NOT NULL
+UNION ALL SELECT entity_no, 'intercurrentEvents', parent_id, pos, coalesce(e.id, '') FROM (SELECT entity_no, data.id AS parent_id, unnest(data.intercurrentEvents) AS e, CAST(generate_subscripts(data.intercurrentEvents, 1) - 1 AS INT) AS pos FROM objectives_live) WHERE e IS NOT NULL"""
+)
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_by_study": p1_by_study,
@@ -134,6 +179,13 @@ QUERIES = {
 ORACLES = {
     "p1_found": _P1 + "SELECT study_id, id, diff FROM found",
     "p1_by_study": _P1 + "SELECT study_id, diff, count(*) AS n FROM found GROUP BY ALL",
+    "p3_found": _P3,
+    "p3_schema": _P3_CELLS
+    + """, c AS (SELECT DISTINCT file_no, entity_type, record_id, field, tag, file_ts FROM (SELECT a.record_no, c.* FROM cell c JOIN agent_files a ON a.file_no = c.file_no AND a.record_id = c.record_id AND a.entity_type = c.entity_type)),
+n AS (SELECT k.key AS field, a.entity_type, count(*) AS n FROM agent_files a, json_each(a.payload) k WHERE json_valid(a.payload) AND k.type <> 'NULL' GROUP BY ALL)
+SELECT entity_type, field, [x for x in ['string', 'number', 'boolean', 'object', 'array'] if list_contains(list(DISTINCT tag), x)] AS types, any_value(n) AS n_values, count(DISTINCT file_no) AS n_files,
+  min(file_ts) AS first_ts, max(file_ts) AS last_ts FROM c JOIN n USING (entity_type, field) GROUP BY ALL""",
+    "p5_found": _P5,
     "p6_found": _P6 + "SELECT entity_no, field, ref_id, kind FROM found WHERE kind IS NOT NULL",
     "p6_report": _P6
     + "SELECT table_name, strftime(created_at, '%Y-%m') AS month, field, kind, count(*) AS n FROM found WHERE kind IS NOT NULL GROUP BY ALL",
