@@ -72,4 +72,23 @@ def p9_pieces(spark, d):
 
 
 QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p4_found": p4_found, "p4_terms": p4_terms, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_pieces": p9_pieces}
-ORACLES: dict[str, str] = {}
+_CLEAN = r"regexp_extract_all(lower(regexp_replace(text, '[\x{00AD}\x{200B}]|-(?:\r\n|\n)', '', 'g')), '[a-z0-9]+')"
+_P7 = f"""WITH c AS (SELECT doc_id, {_CLEAN} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_CLEAN} AS w FROM eval_items WHERE text IS NOT NULL),
+dw AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 11], ' ') AS s FROM c, unnest(range(1, len(w) - 10)) t(k) WHERE len(w) >= 12),
+iw AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS s FROM i, unnest(range(1, len(w) - 10)) t(k) WHERE len(w) >= 12),
+found AS (SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (s)
+  UNION SELECT doc_id, item_id FROM c JOIN i ON len(i.w) BETWEEN 1 AND 11 AND contains(' ' || array_to_string(c.w, ' ') || ' ', ' ' || array_to_string(i.w, ' ') || ' '))
+"""
+_CURRENT = """(SELECT entity_no, data.text AS text FROM (SELECT *, row_number() OVER (PARTITION BY study_id, lower(replace(trim(id), '-', '_')) ORDER BY version DESC) AS rn FROM {}) WHERE rn = 1 AND NOT is_deleted)"""
+_P2 = f"""WITH e AS (SELECT entity_no, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM (SELECT * FROM {_CURRENT.format('narrative')} UNION ALL SELECT * FROM {_CURRENT.format('objectives')}) WHERE text IS NOT NULL),
+x AS (SELECT entity_no, word, row_number() OVER (PARTITION BY entity_no, word) AS occ, n FROM (SELECT entity_no, unnest(w) AS word, len(w) AS n FROM e WHERE len(w) >= 20)),
+df AS (SELECT word, occ, count(*) AS df FROM x GROUP BY ALL),
+p AS (SELECT entity_no, word, occ, n FROM (SELECT x.*, row_number() OVER (PARTITION BY entity_no ORDER BY df, word, occ) AS r FROM x JOIN df USING (word, occ)) WHERE r <= n - ceil(n * 0.7 - 1e-9) + 1),
+c AS (SELECT DISTINCT a.entity_no AS a, b.entity_no AS b, a.n + b.n AS n FROM p a JOIN p b USING (word, occ) WHERE a.entity_no < b.entity_no AND 10 * least(a.n, b.n) >= 7 * greatest(a.n, b.n)),
+s AS (SELECT c.a, c.b, c.n, count(*) AS shared FROM c JOIN x l ON l.entity_no = c.a JOIN x r ON r.entity_no = c.b AND r.word = l.word AND r.occ = l.occ GROUP BY ALL)
+SELECT a AS entity_no_a, b AS entity_no_b FROM s WHERE 10 * shared >= 7 * (n - shared)"""
+ORACLES: dict[str, str] = {
+    "p2_found": _P2,
+    "p7_found": _P7 + "SELECT doc_id, item_id FROM found",
+    "p7_items": _P7 + "SELECT item_id, topic, coalesce(n, 0) AS documents FROM eval_items LEFT JOIN (SELECT item_id, count(*) AS n FROM found GROUP BY 1) USING (item_id)",
+}
