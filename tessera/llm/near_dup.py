@@ -21,7 +21,9 @@ similarity of at least ``threshold``. The steps:
 5. Union-sketch estimate: the union of two sketches up to their common reach
    has at least k values, so overlap / k bounds the estimate from above; pairs
    below ``min_overlap`` / k go.
-6. The exact similarity of the two bags decides.
+6. A parity sketch of 256 bits of each bag bounds how much two bags differ at
+   least; pairs that differ too much for the threshold go, none wrongly.
+7. The exact similarity of the two bags decides.
 """
 
 from __future__ import annotations
@@ -39,7 +41,12 @@ from pyspark.sql import functions as F
 from tessera.llm.wording import WORD, Hashes, mix, rolling, words
 from tessera.plans.runtime import materialize
 
-SKETCH_SCHEMA = "id bigint, hi bigint, lo bigint, n int, size int, sketch array<bigint>, plain array<bigint>"
+SKETCH_SCHEMA = "id bigint, hi bigint, lo bigint, n int, size int, odd array<bigint>, sketch array<bigint>, plain array<bigint>"
+
+
+def sent_if_few(ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """A list of ids, hinted to be sent to every worker if it is counted to have at most ``limit`` rows."""
+    return F.broadcast(ids) if ids.count() <= limit else ids
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -65,7 +72,8 @@ def common_words(texts: DataFrame, share: float) -> dict[str, int]:
 def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, threshold: float, min_words: int) -> DataFrame:
     """Sketch and bag digest of each text with at least ``min_words`` words: ``SKETCH_SCHEMA``.
 
-    ``hi``, ``lo`` and ``n`` identify the bag whatever the order of its words.
+    ``hi``, ``lo`` and ``n`` identify the bag whatever the order of its words;
+    ``odd`` is its parity sketch (bit b: an odd number of elements fall on b).
     ``sketch`` has the retained values with rare words, ``plain`` those
     without, each joined with every element of the bag's prefix.
     """
@@ -100,6 +108,7 @@ def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, thr
                 amount += rare[j : j + len(runs)]
             kind = 2 - np.minimum(amount, 2)
             values = (runs >> np.uint64(2)) | (kind.astype(np.uint64) << np.uint64(62))
+            odd = _parities(flat, sizes)
             sketch, plain, size = [], [], []
             for i, w in enumerate(lists):
                 kept = np.unique(values[starts[i] : max(starts[i], starts[i + 1] - shingle + 1)])[:k]
@@ -108,12 +117,28 @@ def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, thr
                 sketch.append(kept[:cut].view(np.int64))
                 plain.append(_split(kept[cut:], flat[starts[i] : starts[i + 1]], rank, keep) if cut < len(kept) else np.empty(0, np.int64))
             yield pd.DataFrame(
-                {"id": ids, "hi": hi.view(np.int64), "lo": lo.view(np.int64), "n": sizes.astype("int32"), "size": np.array(size, "int32"), "sketch": sketch, "plain": plain}
+                {"id": ids, "hi": hi.view(np.int64), "lo": lo.view(np.int64), "n": sizes.astype("int32"), "size": np.array(size, "int32"), "odd": odd, "sketch": sketch, "plain": plain}
             )
 
     return texts.select("id", "text").mapInPandas(run, SKETCH_SCHEMA)
 
 
+def _parities(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Parity sketches of the bags that lie in ``flat`` one after the other, each as four longs.
+
+    The elements of a bag are its words with the number of their occurrence.
+    """
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((flat, doc))
+    w, o = flat[order], doc[order]
+    fresh = np.concatenate(([True], (w[1:] != w[:-1]) | (o[1:] != o[:-1])))
+    at = np.arange(len(w))
+    occurrence = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    bit = (mix(w ^ mix(occurrence.astype(np.uint64), 3), 6) & np.uint64(255)).astype(np.int64)
+    parity = (np.bincount(o * 256 + bit, minlength=len(sizes) * 256) & 1).astype(np.uint8).reshape(len(sizes), 256)
+    return list(np.packbits(parity, axis=1).view(np.int64))
+
+
 def _split(values: np.ndarray, bag: np.ndarray, rank: dict[int, int], keep: Fraction) -> np.ndarray:
     """Each value with each element of the bag's prefix, rarest elements first."""
     seen: Counter = Counter()
@@ -151,9 +176,27 @@ def candidate_pairs(classes: DataFrame, threshold: float, min_overlap: int) -> D
     )
 
 
+def close_enough(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose parity sketches allow the threshold: (a, b).
+
+    Bags of n and m elements with a similarity of t or more differ in at most
+    (1 - t) / (1 + t) x (n + m) elements, and two parity sketches never differ
+    in more bits than the bags in elements.
+    """
+    t = Fraction(str(threshold))
+    side = lambda s: signed.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("odd").alias(f"odd_{s}"))
+    bits = [F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(4)]
+    differ = bits[0] + bits[1] + bits[2] + bits[3]
+    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    p, q = t.numerator, t.denominator
+    return met.where(differ * (q + p) <= (F.col("n_a") + F.col("n_b")) * (q - p)).select("a", "b")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose bags are similar enough, exactly: (a, b, shared, total)."""
     limit = Fraction(str(threshold))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = texts.join(sent_if_few(ids), "id", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]):
         for pdf in batches:
@@ -199,15 +242,13 @@ class NearDuplicates:
         reps = signed.groupBy(*bag).agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1")
         self.members = materialize(signed.select("id", *bag).join(reps, bag).select("id", "rep", "c"))
         # a text shorter than k + shingle - 1 words has fewer values, yet two of them always suffice
-        pairs = materialize(candidate_pairs(self._representatives(), threshold, min_overlap))
+        met = materialize(candidate_pairs(self._representatives(), threshold, min_overlap))
+        pairs = materialize(close_enough(met, signed, threshold))
         self.links = materialize(verified(pairs, texts, threshold))
 
-    def _representatives(self, limit: int = 1_000_000) -> DataFrame:
-        """The sketches without those of further copies, which are sent along if at most ``limit`` ids."""
-        copies = self.members.where("id <> rep").select("id")
-        if copies.count() <= limit:
-            copies = F.broadcast(copies)
-        return self.signed.join(copies, "id", "left_anti")
+    def _representatives(self) -> DataFrame:
+        """The sketches without those of further copies."""
+        return self.signed.join(sent_if_few(self.members.where("id <> rep").select("id")), "id", "left_anti")
 
     def pairs(self) -> DataFrame:
         """Every similar pair of ids: (a, b), a < b; copies are laid out."""
