@@ -764,3 +764,22 @@ def p04_by_capability(spark, d):
     """Producers of one kind of output."""
     t = table(spark, d, "agent_files").groupBy("agent_id").agg(F.array_sort(F.collect_set("entity_type")).alias("outputs"))
     return t.where(F.array_contains("outputs", "endpoint"))
+
+
+@query(SV + rf""", x AS (SELECT study_id, CASE WHEN pos % 2 = 0 THEN 1 ELSE 2 END AS side, regexp_replace(trim(lower(name)), '\s*\([^)]+\)\s*$', '') AS k, name, sid, o, CAST(pos % 3 AS INT) AS before, CAST(pos % 4 AS INT) AS after FROM encounters WHERE name IS NOT NULL)
+  SELECT study_id, k, max_by(name, struct_pack(l := length(name), o := -o)) AS name, coalesce(min_by(before, struct_pack(s := side, o := o)) FILTER (before <> 0), 0) AS before, coalesce(min_by(after, struct_pack(s := side, o := o)) FILTER (after <> 0), 0) AS after FROM x GROUP BY ALL""")
+def e25_merge_windows(spark, d):
+    """Windows of two sources by name: the longer name, bounds of the first source, zero ones filled from the second."""
+    k = F.regexp_replace(F.trim(F.lower("name")), r"\s*\([^)]+\)\s*$", "")
+    x = _encounters(spark, d).where("name IS NOT NULL").select("study_id", k.alias("k"), "name", "o", F.when(F.col("pos") % 2 == 0, 1).otherwise(2).alias("side"), (F.col("pos") % 3).alias("before"), (F.col("pos") % 4).alias("after"))
+    bound = lambda c: F.coalesce(F.min_by(c, F.when(F.col(c) != 0, F.struct("side", "o"))), F.lit(0)).alias(c)
+    return x.groupBy("study_id", "k").agg(F.max_by("name", F.struct(F.length("name"), -F.col("o"))).alias("name"), bound("before"), bound("after"))
+
+
+@query()
+def i23_closed_json(spark, d):
+    """Cut-off payloads closed after their last whole value."""
+    from tessera.functions.repair import close_json
+
+    rows = table(spark, d, "agent_files").select("file_no", "record_no", "payload").distinct()
+    return rows.select("file_no", "record_no", F.try_parse_json("payload").isNotNull().alias("was_whole"), F.try_parse_json(close_json("payload")).isNotNull().alias("reads"))
