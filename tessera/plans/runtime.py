@@ -94,6 +94,16 @@ def release(spark: SparkSession) -> None:
         pass
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the cluster has cores, dealt out to all of them.
+
+    For work in Python over a few files that can't be split; a scan that fills
+    the cores already is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` after pushdown and pruning."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
