@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.wording import WORD, Hashes, rolling
-from tessera.plans.runtime import row_blocks
+from tessera.plans.runtime import row_blocks, spread
 
 #: Soft hyphens, zero-width spaces and hyphens before a line break vanish, with the break.
 _GONE = re.compile("[\u00ad\u200b]|-(?:\r\n|\n)")
@@ -139,6 +139,7 @@ def leaked(documents: DataFrame, items: DataFrame, window: int = 12, shingle: in
     rows; equal items are all reported; a null ``doc_id`` stays null.
     """
     out = None
+    documents = spread(documents.select("doc_id", "text"))
     for rows in row_blocks(items.where("item_id IS NOT NULL").select("item_id", "text").distinct(), block):
         index = ItemIndex([(r["item_id"], r["text"]) for r in rows], window, shingle)
         if not index.windows:

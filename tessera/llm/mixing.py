@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import tokens
-from tessera.plans.runtime import bounded_rows, materialize
+from tessera.plans.runtime import bounded_rows, materialize, spread
 
 
 def sainte_lague(weights: dict, seats: int, caps: dict | None = None) -> dict:
@@ -78,7 +78,7 @@ def token_table(documents: DataFrame, seed: int, vocabulary: str = tokens.DEFAUL
             pdf["tokens"] = [tokens.count(t, vocabulary) for t in pdf["text"]]
             yield pdf[["doc_id", "source", "tokens", "h1", "h2"]]
 
-    rows = documents.where("source IS NOT NULL AND doc_id IS NOT NULL AND trim(text) <> ''").select(
+    rows = spread(documents.select("doc_id", "source", "text")).where("source IS NOT NULL AND doc_id IS NOT NULL AND trim(text) <> ''").select(
         "doc_id", "source", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2")
     )
     counted = rows.mapInPandas(run, "doc_id bigint, source string, tokens bigint, h1 bigint, h2 bigint")

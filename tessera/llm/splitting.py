@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from tessera.llm import tokens
-from tessera.plans.runtime import bounded_rows
+from tessera.plans.runtime import bounded_rows, spread
 
 #: Penalty of a cut by kind of boundary; the lower the more natural.
 PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, MARK, INSIDE = 0.0, 0.5, 1.0, 4.0, 8.0, 12.0, 30.0
@@ -216,4 +216,4 @@ def split_documents(documents: DataFrame, limits: DataFrame, vocabulary: str = t
                     rows = []
             yield pd.DataFrame(rows, columns=names)
 
-    return documents.select("doc_id", "text").mapInPandas(run, PIECE_SCHEMA)
+    return spread(documents.select("doc_id", "text")).mapInPandas(run, PIECE_SCHEMA)
