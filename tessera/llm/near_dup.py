@@ -3,8 +3,8 @@
 A record's bag of words is compared with all others at a multiset Jaccard
 similarity of at least ``threshold``. The steps:
 
-1. Words that hold at least ``common_share`` of all words are counted as common
-   ones; there can't be more than 1/common_share of them, so the list is small
+1. Words that hold at least ``common_share`` of all words (and 100 of them) are
+   counted as common ones; there can't be more than 1/common_share of them, so the list is small
    by construction and goes to every worker.
 2. Each text becomes a bottom-k sketch: the ``k`` smallest values of one hash
    function over its word shingles. The function puts shingles with two rare
@@ -62,11 +62,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def common_words(texts: DataFrame, share: float) -> dict[str, int]:
-    """Words with at least ``share`` of all words and their counts: at most 1/share entries."""
+def common_words(texts: DataFrame, share: float, least: int = 100) -> dict[str, int]:
+    """Words with at least ``share`` of all words, and ``least`` in number, with their counts: at most 1/share entries.
+
+    In a small collection a few uses say nothing; without ``least`` only words
+    that edits brought in would count as rare there.
+    """
     counts = materialize(word_counts(texts))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return {r["word"]: r["n"] for r in counts.where(F.col("n") >= F.lit(share * total)).collect()}
+    return {r["word"]: r["n"] for r in counts.where(F.col("n") >= F.lit(max(share * total, float(least)))).collect()}
 
 
 def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, threshold: float, min_words: int) -> DataFrame:
