@@ -28,7 +28,8 @@ def aggregate_confidence_bp(confidence: Column, kind: Column, agents: Column) ->
         weight = F.when(kind == k, w).otherwise(weight)
     base = F.floor(F.floor(confidence * 10000 + 0.5) * weight / 100)
     extra = F.least(F.lit(MOST_EXTRA), EXTRA_PER_AGENT * (agents - 1))
-    return F.greatest(F.lit(0), F.least(F.lit(10000), base + F.when(agents > 1, extra).otherwise(0))).cast("bigint")
+    bounded = F.greatest(F.lit(0), F.least(F.lit(10000), base + F.when(agents > 1, extra).otherwise(0)))
+    return F.when(confidence.isNotNull(), bounded).cast("bigint")
 
 
 def summary(df: DataFrame, by: list[str]) -> DataFrame:
