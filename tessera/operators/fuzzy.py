@@ -132,8 +132,42 @@ def greedy_matching(scores: DataFrame, threshold: float = 0.0) -> DataFrame:
 
 
 def set_match_share(expected: DataFrame, actual: DataFrame, by: list[str], threshold: float = 0.8) -> DataFrame:
-    """Share of expected texts with a similar actual one: (*by, expected, matched). Both have (*by, text)."""
+    """Share of expected texts with a similar actual one: (*by, expected, matched). Both have (*by, text).
+
+    Texts meet when they share a run of three characters (short ones: their
+    first character); two that share none count as unlike.
+    """
+
+    def runs(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*by, F.col("text").alias(name)).distinct().select(*by, name, F.explode(F.array_distinct(_grams_of(name))).alias("g"))
+
     e = expected.select(*by, F.col("text").alias("x")).distinct()
-    pairs = e.join(actual.select(*by, F.col("text").alias("y")).distinct(), by)
-    best = pairs.groupBy(*by, "x").agg(F.max(text_similarity(F.col("x"), F.col("y"))).alias("best"))
+    met = runs(expected, "x").join(runs(actual, "y"), [*by, "g"]).select(*by, "x", "y").distinct()
+    best = met.groupBy(*by, "x").agg(F.max(text_similarity(F.col("x"), F.col("y"))).alias("best"))
     return e.join(best, [*by, "x"], "left").groupBy(*by).agg(F.count("*").alias("expected"), F.count_if(F.col("best") >= threshold).alias("matched"))
+
+
+def _grams_of(name: str) -> Column:
+    """Runs of three characters of a text in its plain form; the first character of short ones."""
+    x = N.plain_text(name)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x) - 2)), lambda i: F.substring(x, i, 3))
+    return F.when(F.length(x) >= 3, runs).otherwise(F.array(F.substring(x, 1, 1)))
+
+
+def jaccard_pairs(df: DataFrame, by: list[str], node: str, tokens: str, threshold: float) -> DataFrame:
+    """Pairs of rows whose token sets have more than ``threshold`` in common: (*by, a, b), a < b.
+
+    Prefix filter: tokens are ordered by how rare they are within ``by``; two
+    sets that similar share one of their first n - ceil(threshold n) + 1 tokens,
+    so only those are joined. Rows without tokens meet none.
+    """
+    rows = materialize(df.select(*by, F.col(node).alias("node"), F.array_distinct(tokens).alias("w")).where(F.size("w") > 0))
+    single = rows.select(*by, "node", F.explode("w").alias("k"))
+    rare = single.groupBy(*by, "k").agg(F.count("*").alias("f"))
+    ordered = single.join(rare, [*by, "k"]).groupBy(*by, "node").agg(F.array_sort(F.collect_list(F.struct("f", "k"))).alias("o"))
+    prefix = ordered.select(*by, "node", F.explode(F.slice("o", 1, (F.size("o") - F.ceil(F.size("o") * threshold) + 1).cast("int"))).alias("p")).select(*by, "node", "p.k")
+    met = prefix.select(*by, F.col("node").alias("a"), "k").join(prefix.select(*by, F.col("node").alias("b"), "k"), [*by, "k"]).where("a < b").select(*by, "a", "b").distinct()
+    side = lambda s: rows.select(*by, F.col("node").alias(s), F.col("w").alias(f"w_{s}"))
+    full = met.join(side("a"), [*by, "a"]).join(side("b"), [*by, "b"])
+    same = F.size(F.array_intersect("w_a", "w_b"))
+    return full.where(same > threshold * (F.size("w_a") + F.size("w_b") - same)).select(*by, "a", "b")

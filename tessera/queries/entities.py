@@ -207,7 +207,9 @@ def d07_page_groups(spark, d):
 @query(L + "SELECT study_id, entity_type, count(*) AS n, list_sort(list(sid))[1:3] AS first_ids FROM live GROUP BY ALL")
 def d08_sections(spark, d):
     """Groups with their first members."""
-    return views.live(spark, d).groupBy("study_id", "entity_type").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list("sid")), 1, 3).alias("first_ids"))
+    v, by = views.live(spark, d), ["study_id", "entity_type"]
+    first = M.rank_first(v.select(*by, "table_name", "sid"), by, [F.col("sid"), F.col("table_name")], 3).groupBy(*by).agg(F.array_sort(F.collect_list("sid")).alias("first_ids"))
+    return v.groupBy(*by).agg(F.count("*").alias("n")).join(first, by)
 
 
 @query("SELECT study_id, count(*) AS n, count(*) FILTER (enriched) AS done, CAST(floor((count(*) FILTER (enriched) * 10000 * 2 + count(*)) / (count(*) * 2)) AS BIGINT) AS coverage_bp FROM enrichment GROUP BY ALL")

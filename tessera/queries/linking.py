@@ -694,11 +694,11 @@ def g04_classify(spark, d):
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", kind.alias("kind")).distinct()
 
 
-@query("SELECT event_id, event_type, row_number() OVER (ORDER BY CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 ELSE 10 END, ts, event_id) AS ord FROM events")
+@query("SELECT event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 ELSE 10 END, ts, event_id) AS ord FROM events")
 def g05_priority_order(spark, d):
-    """Messages by priority and time (with g07, g08)."""
+    """Messages of each receiver by priority and time (with g07)."""
     p = F.when(F.col("event_type") == "purchase", 1).when(F.col("event_type") == "click", 2).otherwise(10)
-    return table(spark, d, "events").select("event_id", "event_type", F.row_number().over(Window.orderBy(p, "ts", "event_id")).alias("ord"))
+    return table(spark, d, "events").select("event_id", "event_type", F.row_number().over(Window.partitionBy("user_id").orderBy(p, "ts", "event_id")).alias("ord"))
 
 
 @query(r"SELECT doc_id, array_to_string(regexp_extract_all(text, 'Week \d+')[1:3], '|') AS mentions FROM documents WHERE regexp_matches(text, 'Week \d+')")

@@ -245,7 +245,9 @@ def d28_output_sizes(spark, d):
 @query(L + "SELECT table_name, entity_type, count(*) AS n, list(entity_no ORDER BY pos, entity_no)[1:5] AS shown FROM live GROUP BY ALL")
 def d29_component_summary(spark, d):
     """Components with their size and first five members."""
-    return views.live(spark, d).groupBy("table_name", "entity_type").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "entity_no"))).alias("x")).select("table_name", "entity_type", "n", F.transform(F.slice("x", 1, 5), lambda x: x["entity_no"]).alias("shown"))
+    v, by = views.live(spark, d), ["table_name", "entity_type"]
+    first = M.rank_first(v, by, [F.col("pos"), F.col("entity_no")], 5).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("pos", "entity_no"))).alias("x"))
+    return v.groupBy(*by).agg(F.count("*").alias("n")).join(first, by).select(*by, "n", F.transform("x", lambda x: x["entity_no"]).alias("shown"))
 
 
 @query("SELECT entity_type, count(*) AS checks, count(*) FILTER (enriched) AS passed, CAST(floor((count(*) FILTER (enriched) * 20000 + count(*)) / (count(*) * 2)) AS BIGINT) AS rate_bp FROM enrichment GROUP BY ALL")
@@ -332,11 +334,8 @@ def e20_cell_equality(spark, d):
 @query()
 def e26_distinct_notes(spark, d):
     """Visit names that no earlier kept one of the study resembles by words (Jaccard above 0.8)."""
-    rows = _encounters(spark, d).where("name IS NOT NULL").select("study_id", F.col("entity_no").alias("node"), N.token_set("name").alias("w"))
-    t = materialize(rows.where("size(w) > 0"))
-    l, r = (t.select("study_id", F.col("node").alias(x), F.size("w").alias(f"n{x}"), F.explode("w").alias("k")) for x in "ab")
-    pairs = l.join(r, ["study_id", "k"]).where("a < b").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("n")).where("n > 0.8 * (na + nb - n)")
-    return Z.greedy_leaders(t.select("node"), pairs)
+    rows = materialize(_encounters(spark, d).where("name IS NOT NULL").select("study_id", F.col("entity_no").alias("node"), N.token_set("name").alias("w")))
+    return Z.greedy_leaders(rows.where("size(w) > 0").select("node"), Z.jaccard_pairs(rows, ["study_id"], "node", "w", 0.8))
 
 
 @query("SELECT entity_type, min_by(result_no, struct_pack(s := CASE source WHEN 'automatic' THEN 0 ELSE 1 END, r := result_no)) AS first_no FROM enrichment GROUP BY ALL")
@@ -783,3 +782,89 @@ def i23_closed_json(spark, d):
 
     rows = table(spark, d, "agent_files").select("file_no", "record_no", "payload").distinct()
     return rows.select("file_no", "record_no", F.try_parse_json("payload").isNotNull().alias("was_whole"), F.try_parse_json(close_json("payload")).isNotNull().alias("reads"))
+
+
+@query(OB + """, a AS (SELECT study_id, sid FROM ob WHERE entity_type = 'analysis_population'), e AS (SELECT study_id, sid FROM ob WHERE entity_type = 'estimand') SELECT a.study_id, a.sid AS arm, e.sid AS epoch, md5(a.study_id || '/' || a.sid || '/' || e.sid) AS cell FROM a JOIN e USING (study_id)""")
+def j36_cells(spark, d):
+    """A cell for each arm and epoch of a study, with a stable id: the cells are the result."""
+    o = _objectives(spark, d)
+    a, e = (o.where(F.col("entity_type") == k).select("study_id", F.col("sid").alias(n)) for k, n in (("analysis_population", "arm"), ("estimand", "epoch")))
+    return a.join(e, "study_id").select("study_id", "arm", "epoch", F.md5(F.concat_ws("/", "study_id", "arm", "epoch")).alias("cell"))
+
+
+@query("""WITH t AS (SELECT result_no, study_id, coalesce(nullif(lower(trim(entity_type)), ''), 'other') AS cat FROM enrichment), f AS (SELECT study_id, cat, min(result_no) AS seen FROM t GROUP BY ALL)
+  SELECT study_id, cat, dense_rank() OVER (PARTITION BY study_id ORDER BY seen) AS no FROM f""")
+def j39_categories(spark, d):
+    """Categories of a study, made when first seen, whatever their case."""
+    cat = F.coalesce(F.nullif(F.lower(F.trim("entity_type")), F.lit("")), F.lit("other"))
+    f = table(spark, d, "enrichment").groupBy("study_id", cat.alias("cat")).agg(F.min("result_no").alias("seen"))
+    return f.select("study_id", "cat", F.dense_rank().over(Window.partitionBy("study_id").orderBy("seen")).alias("no"))
+
+
+@query(SV + """, i AS (SELECT DISTINCT study_id, sid, 'own' AS origin FROM epochs), v AS (SELECT DISTINCT study_id, epoch AS sid FROM encounters WHERE epoch IS NOT NULL) SELECT study_id, sid, origin, CASE WHEN sid = 'epoch_1' THEN 'Open Label' ELSE 'Double Blind' END AS blinding FROM
+  (SELECT * FROM i UNION ALL SELECT study_id, sid, 'seen' FROM v ANTI JOIN i USING (study_id, sid))""")
+def m08_design_defaults(spark, d):
+    """Records united by unseen id, with defaults by map."""
+    own = _epochs(spark, d).select("study_id", "sid").distinct().withColumn("origin", F.lit("own"))
+    seen = _encounters(spark, d).where("epoch IS NOT NULL").select("study_id", F.col("epoch").alias("sid")).distinct()
+    every = own.unionByName(K.missing_from(seen, own, ["study_id", "sid"]).withColumn("origin", F.lit("seen")))
+    return every.withColumn("blinding", F.when(F.col("sid") == "epoch_1", "Open Label").otherwise("Double Blind"))
+
+
+@query(OB + "SELECT entity_type, count(*) AS n, count(DISTINCT coalesce(data.text, data.name, data.description)) AS labels FROM ob GROUP BY ALL")
+def o01_entity_lists(spark, d):
+    """Entities of each type by whichever name field they have."""
+    o = _objectives(spark, d, t=F.coalesce("data.text", "data.name", "data.description"))
+    return o.groupBy("entity_type").agg(F.count("*").alias("n"), F.count_distinct("t").alias("labels"))
+
+
+@query(SV + "SELECT e.study_id, e.sid, p.sid AS moved_to FROM encounters e JOIN (SELECT study_id, min_by(sid, o) AS sid FROM epochs GROUP BY 1) p USING (study_id) ANTI JOIN epochs x ON x.study_id = e.study_id AND x.sid = e.epoch WHERE e.epoch IS NOT NULL")
+def m17_dangling_repair(spark, d):
+    """References that point nowhere moved to the first record of the study."""
+    ep = _epochs(spark, d)
+    lost = K.missing_from(_encounters(spark, d).where("epoch IS NOT NULL"), ep.select("study_id", F.col("sid").alias("epoch")), ["study_id", "epoch"])
+    return lost.join(ep.groupBy("study_id").agg(F.min_by("sid", "o").alias("moved_to")), "study_id").select("study_id", "sid", "moved_to")
+
+
+@query(SV + "SELECT study_id, sid, 'administration' AS kind, coalesce(name, '') || ' in ' || epoch AS what FROM encounters WHERE epoch IS NOT NULL AND contains(lower(name), 'day')")
+def m15_administrations(spark, d):
+    """Rows made from records that have what they need."""
+    e = _encounters(spark, d).where("epoch IS NOT NULL").where(F.lower("name").contains("day"))
+    return e.select("study_id", "sid", F.lit("administration").alias("kind"), F.concat(F.coalesce("name", F.lit("")), F.lit(" in "), "epoch").alias("what"))
+
+
+@query("WITH t AS (SELECT DISTINCT lower(trim(entity_name)) AS n FROM enrichment WHERE trim(entity_name) <> ''), c AS (SELECT code, lower(trim(name)) AS k FROM concepts WHERE length(trim(name)) >= 3) SELECT n, min(code) AS code FROM t JOIN c ON contains(n, k) GROUP BY ALL")
+def l04_containment(spark, d):
+    """Terms that contain the name of a concept."""
+    t = table(spark, d, "enrichment").where("trim(entity_name) <> ''").select(F.lower(F.trim("entity_name")).alias("n")).distinct()
+    c = table(spark, d, "concepts").select("code", F.lower(F.trim("name")).alias("k"))
+    return K.containing(t, c, [], "n", "k").join(c, "k").groupBy("n").agg(F.min("code").alias("code"))
+
+
+@query("SELECT data.level.codeSystem AS code_system, data.level.code AS code, CASE data.level.codeSystem WHEN 'urn:invented:levels' THEN 'levels' ELSE 'other' END AS list, count(*) AS n FROM objectives WHERE data.level.code IS NOT NULL GROUP BY ALL")
+def l05_code_lists(spark, d):
+    """Codes by the list their system stands for."""
+    lv = F.col("data.level")
+    return table(spark, d, "objectives").where("data.level.code IS NOT NULL").groupBy(lv["codeSystem"].alias("code_system"), lv["code"].alias("code"), F.when(lv["codeSystem"] == "urn:invented:levels", "levels").otherwise("other").alias("list")).agg(F.count("*").alias("n"))
+
+
+@query(r"WITH " + DOCS + r", m AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '(\w+) (?:is|are) (?:taken|drawn|collected)', 1)) AS activity FROM d) SELECT doc_id, activity, count(*) AS n FROM m GROUP BY ALL")
+def j26_activities(spark, d):
+    """Activities that texts say are carried out."""
+    hits = F.regexp_extract_all(F.lower("text"), F.lit(r"(\w+) (?:is|are) (?:taken|drawn|collected)"), F.lit(1))
+    return _docs(spark, d).select("doc_id", F.explode(hits).alias("activity")).groupBy("doc_id", "activity").agg(F.count("*").alias("n"))
+
+
+@query(SV + "SELECT e.study_id, e.sid, e.name AS visit, p.name AS epoch, CASE WHEN contains(lower(e.name), 'screening') THEN -14 ELSE e.pos END AS day FROM encounters e LEFT JOIN epochs p ON p.study_id = e.study_id AND p.sid = e.epoch")
+def j12_schedule_windows(spark, d):
+    """Visits of the schedule with their epoch and day."""
+    p = _epochs(spark, d).select("study_id", F.col("sid").alias("epoch"), F.col("name").alias("p"))
+    e = _encounters(spark, d).join(p, ["study_id", "epoch"], "left")
+    return e.select("study_id", "sid", F.col("name").alias("visit"), F.col("p").alias("epoch"), F.when(F.lower("name").contains("screening"), -14).otherwise(F.col("pos")).alias("day"))
+
+
+@query("SELECT agent_id, entity_type, count(*) AS n, count(*) FILTER (CASE WHEN json_valid(payload) THEN json_extract(payload, '$.id') END IS NOT NULL) AS with_id FROM agent_files GROUP BY ALL")
+def k18_shape_check(spark, d):
+    """Records of each kind that have the shape they should."""
+    v = F.try_parse_json("payload")
+    return table(spark, d, "agent_files").groupBy("agent_id", "entity_type").agg(F.count("*").alias("n"), F.count_if(F.try_variant_get(v, "$.id", "variant").isNotNull()).alias("with_id"))

@@ -1,7 +1,7 @@
 import random
 from difflib import SequenceMatcher
 
-from tessera.operators.fuzzy import greedy_leaders, greedy_matching, name_score, names_match, set_match_share, similar_pairs, text_similarity
+from tessera.operators.fuzzy import greedy_leaders, greedy_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
 from pyspark.sql import functions as F
 
 
@@ -58,3 +58,12 @@ def test_set_share(spark):
     e = spark.createDataFrame([("k", "alpha beta"), ("k", "gamma"), ("k", None)], "k string, text string")
     a = spark.createDataFrame([("k", "Alpha  beta")], "k string, text string")
     assert [tuple(r) for r in set_match_share(e, a, ["k"]).collect()] == [("k", 3, 1)]
+
+
+def test_jaccard_pairs_equal_brute_force(spark):
+    rng = random.Random(4)
+    sets = [(g, i, rng.sample("abcdefghij", rng.randint(0, 6))) for g in "xy" for i in range(40)]
+    for t in (0.5, 0.8):
+        want = {(g, i, j) for g, i, a in sets for h, j, b in sets if g == h and i < j and a and b and len(set(a) & set(b)) > t * len(set(a) | set(b))}
+        df = spark.createDataFrame([*sets, ("x", 99, None)], "g string, n int, w array<string>")
+        assert {tuple(r) for r in jaccard_pairs(df, ["g"], "n", "w", t).collect()} == want
