@@ -40,6 +40,9 @@ def diff_copies(
     groupings after it all keep the key, so none of them moves rows again.
     """
 
+    # inner names, so that keys may be called anything
+    names = [f"__key{i}" for i in range(len(keys))]
+
     def side(df: DataFrame, sign: int) -> DataFrame:
         cells = [part.alias(f"{n}_{i}") for n, c in fields.items() for i, part in enumerate(digest(c))]
         state = F.struct(
@@ -47,9 +50,8 @@ def diff_copies(
             (F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)).alias("d"),
             *cells,
         )
-        return df.select(*[c.alias(n) for n, c in keys.items()], F.lit(sign).alias("sign"), state.alias("state"))
+        return df.select(*[c.alias(n) for n, c in zip(names, keys.values())], F.lit(sign).alias("sign"), state.alias("state"))
 
-    names = list(keys)
     both = side(left, 1).unionByName(side(right, -1))
     current = both.groupBy(*names).agg(
         F.max(F.when(F.col("sign") == 1, F.col("state"))).alias("l"),
@@ -76,7 +78,7 @@ def diff_copies(
         .when(F.col("alone") < 0, F.array(F.lit(missing_left)))
         .otherwise(F.col("changed"))
     )
-    return per_key.select(*names, F.explode(diffs).alias("diff"))
+    return per_key.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], F.explode(diffs).alias("diff"))
 
 
 def diff_entities(left: DataFrame, right: DataFrame, fields: list[str], left_name: str, right_name: str) -> DataFrame:

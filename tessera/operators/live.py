@@ -28,14 +28,14 @@ def live_entities(
     any share of the rows reaches the shuffle as one row per map task.
     """
     head = F.struct(
-        F.col(version).alias("v"),
-        F.coalesce(F.col(deleted), F.lit(False)).alias("d"),
+        F.col(version).alias("__version"),
+        F.coalesce(F.col(deleted), F.lit(False)).alias("__deleted"),
         *[c.alias(n) for n, c in payload.items()],
     )
     return (
         df.select(F.col(study).alias("study_id"), same_id(ident).alias("sid"), head.alias("h"))
         .groupBy("study_id", "sid")
         .agg(F.max("h").alias("h"))
-        .where(~F.col("h.d"))
+        .where(~F.col("h.__deleted"))
         .select("study_id", "sid", *[F.col(f"h.{n}").alias(n) for n in payload])
     )
