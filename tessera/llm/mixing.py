@@ -21,6 +21,10 @@ from tessera.llm import tokens
 from tessera.plans.runtime import bounded_rows, materialize, spread
 
 
+#: Shards of all sources together, about; beyond it they get larger.
+MOST_SHARDS = 50_000
+
+
 def sainte_lague(weights: dict, seats: int, caps: dict | None = None) -> dict:
     """Seats by the highest quotients weight / (2 seats + 1), none above its cap.
 
@@ -125,8 +129,9 @@ def mix(
         total_tokens = min(int(room[s] * scale / shares[s]) for s in shares)
     seats = sainte_lague(shares, max(1, round(total_tokens / block_tokens)), {s: max(1, room[s] // block_tokens) for s in shares})
 
-    # shards: enough of them that none holds more than about shard_tokens
-    parts = {s: max(1, math.ceil(have[s] / shard_tokens)) for s in shares}
+    # shards: enough of them that none holds more than about shard_tokens, yet few enough that their quotas are a small table
+    size = max(shard_tokens, math.ceil(sum(have.values()) / MOST_SHARDS))
+    parts = {s: max(1, math.ceil(have[s] / size)) for s in shares}
     n = F.coalesce(*[F.when(F.col("source") == s, F.lit(p)) for s, p in parts.items()])
     placed = rows.where(F.col("source").isin(list(shares))).withColumn("shard", F.pmod(F.col("key"), n.cast("long")).cast("int"))
     held = bounded_rows(placed.groupBy("source", "shard").agg(F.sum("tokens").alias("tokens")))
