@@ -87,6 +87,11 @@ def token_set(c: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.array_except(tokens, F.array(*[F.lit(w) for w in STOP_WORDS]))))
 
 
+def note_form(c: Column | str) -> Column:
+    """Lower case, single blanks, then nothing but letters, digits, underscores and blanks; blanks left by a removed mark stay."""
+    return F.regexp_replace(F.trim(F.regexp_replace(F.lower(col(c)), r"(?U)[\s\x1c-\x1f]+", " ")), r"[^\p{L}\p{N}_ ]", "")
+
+
 def escape_ampersands(c: Column | str) -> Column:
     """Bare ampersands as entities, existing entities kept."""
     return F.regexp_replace(col(c), r"&(?!(?:[a-zA-Z]+|#\d+|#x[0-9a-fA-F]+);)", "&amp;")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import names as N
+from tessera.operators import linking as K
 from tessera.plans.runtime import materialize
 
 
@@ -171,3 +172,23 @@ def jaccard_pairs(df: DataFrame, by: list[str], node: str, tokens: str, threshol
     full = met.join(side("a"), [*by, "a"]).join(side("b"), [*by, "b"])
     same = F.size(F.array_intersect("w_a", "w_b"))
     return full.where(same > threshold * (F.size("w_a") + F.size("w_b") - same)).select(*by, "a", "b")
+
+
+def distinct_notes(df: DataFrame, by: list[str], node: str, text: str) -> DataFrame:
+    """Each text with the earliest kept one it repeats: (node, leader), in order of the unique ``node``.
+
+    A text repeats a kept one of its group if either contains the other or more
+    than 0.8 of their words are shared. Equal texts repeat the same one, so only
+    the first of them is compared. A text without letters and digits is empty
+    and inside every other one.
+    """
+    rows = materialize(df.where(F.col(text).isNotNull()).select(*by, F.col(node).alias("node"), N.note_form(text).alias("t")))
+    first = materialize(rows.groupBy(*by, "t").agg(F.min("node").alias("node")))
+    words = first.withColumn("w", F.filter(F.split("t", " "), lambda x: x != ""))
+    a = first.select(*by, F.col("t").alias("text"), F.col("node").alias("m"))
+    b = first.select(*by, F.col("t").alias("key"), F.col("node").alias("n"))
+    inside = K.containing_any(a, b, by, "text", "key").where("text <> key").join(a, [*by, "text"]).join(b, [*by, "key"])
+    pairs = inside.select(F.least("m", "n").alias("a"), F.greatest("m", "n").alias("b")).unionByName(jaccard_pairs(words, by, "node", "w", 0.8).select("a", "b"))
+    leaders = greedy_leaders(first.select("node"), pairs)
+    same = rows.join(first.withColumnRenamed("node", "first"), [*by, "t"]).select("node", "first")
+    return same.join(leaders.withColumnRenamed("node", "first"), "first").select("node", "leader")

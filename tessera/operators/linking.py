@@ -43,6 +43,20 @@ def containing(left: DataFrame, right: DataFrame, on: list[str], text: str, key:
     return runs.join(heads, [*on, "__g"]).where(F.col(text).contains(F.col(key))).select(*on, text, key)
 
 
+def containing_any(left: DataFrame, right: DataFrame, on: list[str], text: str, key: str) -> DataFrame:
+    """Like ``containing`` for keys of any length; an empty key is inside every text.
+
+    Keys below three characters are whole runs themselves, so they meet equal
+    runs of that length and need no further test.
+    """
+    texts = left.select(*on, text).where(F.col(text).isNotNull()).distinct()
+    short = right.select(*on, key).where(F.length(key) < GRAM).distinct()
+    ones = F.split(F.col(text), "")
+    twos = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - 1)), lambda i: F.substring(F.col(text), i, 2))
+    runs = texts.withColumn(key, F.explode(F.array_distinct(F.concat(F.array(F.lit("")), ones, twos))))
+    return containing(left, right, on, text, key).unionByName(runs.join(short, [*on, key]).select(*on, text, key))
+
+
 def id_map(ids: DataFrame, column: str, scope: list[str]) -> DataFrame:
     """Each id with a stable 32-digit name made of it: (*scope, column, new_id)."""
     return ids.select(*scope, column).distinct().where(F.col(column).isNotNull()).withColumn("new_id", F.md5(F.concat_ws("/", *scope, column)))

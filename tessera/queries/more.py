@@ -333,9 +333,8 @@ def e20_cell_equality(spark, d):
 
 @query()
 def e26_distinct_notes(spark, d):
-    """Visit names that no earlier kept one of the study resembles by words (Jaccard above 0.8)."""
-    rows = materialize(_encounters(spark, d).where("name IS NOT NULL").select("study_id", F.col("entity_no").alias("node"), N.token_set("name").alias("w")))
-    return Z.greedy_leaders(rows.where("size(w) > 0").select("node"), Z.jaccard_pairs(rows, ["study_id"], "node", "w", 0.8))
+    """Visit names with the earliest kept one of the study that they contain, are inside of or resemble by words (Jaccard above 0.8)."""
+    return Z.distinct_notes(_encounters(spark, d), ["study_id"], "entity_no", "name")
 
 
 @query("SELECT entity_type, min_by(result_no, struct_pack(s := CASE source WHEN 'automatic' THEN 0 ELSE 1 END, r := result_no)) AS first_no FROM enrichment GROUP BY ALL")

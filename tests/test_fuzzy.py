@@ -1,7 +1,8 @@
 import random
+import re
 from difflib import SequenceMatcher
 
-from tessera.operators.fuzzy import greedy_leaders, greedy_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
+from tessera.operators.fuzzy import distinct_notes, greedy_leaders, greedy_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
 from pyspark.sql import functions as F
 
 
@@ -67,3 +68,23 @@ def test_jaccard_pairs_equal_brute_force(spark):
         want = {(g, i, j) for g, i, a in sets for h, j, b in sets if g == h and i < j and a and b and len(set(a) & set(b)) > t * len(set(a) | set(b))}
         df = spark.createDataFrame([*sets, ("x", 99, None)], "g string, n int, w array<string>")
         assert {tuple(r) for r in jaccard_pairs(df, ["g"], "n", "w", t).collect()} == want
+
+
+def test_distinct_notes_equal_the_sequential_rule(spark):
+    rng = random.Random(5)
+    vocabulary = ["cycle", "day", "visit", "1", "15", "3d", "5", "the", "d", "follow-up", "v", "[a]", "unscheduled", "week", "twelve"]
+    names = [("s1", " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 7)))) for _ in range(120)]
+    names += [("s2", x) for x in ["Cycle 5 Day 15 3d", "Cycle 5 Day 15", "cycle 5  day 15*", "V", "xv", "Day 1 *", "Day 10", "Day\u00a07\u1d43", "the", "a b c d e f g h i", "a b c d e f g h i j", "**", "!"]]
+    names += [("s3", x) for x in ["Week 2", None, "Week 1", "-", "Week 1"]] + [("s4", x) for x in ["*", "Day 1"]]
+    want, seen = {}, {}
+    for i, (s, name) in enumerate(names):
+        if name is None:
+            continue
+        x = re.sub(r"[^\w\s]", "", re.sub(r"\s+", " ", name.lower().strip()))
+        w = set(x.split())
+        alike = lambda y: x in y or y in x or (w and y.split() and len(w & set(y.split())) / len(w | set(y.split())) > 0.8)
+        want[i] = next((j for j, y in seen.get(s, []) if alike(y)), i)
+        if want[i] == i:
+            seen.setdefault(s, []).append((i, x))
+    df = spark.createDataFrame([(s, i, n) for i, (s, n) in enumerate(names)], "study_id string, entity_no bigint, name string")
+    assert {r["node"]: r["leader"] for r in distinct_notes(df, ["study_id"], "entity_no", "name").collect()} == want
