@@ -2,15 +2,17 @@
 
 Greedy clustering and greedy one-to-one matching are sequential by definition,
 but their outcome follows from the similar pairs alone. Pairs come from an
-equi-join on shared runs of characters; the choices are then settled in rounds
+equi-join on shared runs of characters or from blocks of a group; the choices are then settled in rounds
 of joins until nothing is open. Rounds are written to the scratch folder.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,14 +58,17 @@ def similar_pairs(df: DataFrame, by: list[str], order: str, name: str, threshold
     """Pairs of rows with similar names: (*by, a, b, score), a before b by the unique ``order``.
 
     A ratio of 0.85 or more leaves at most 15 % of the characters unmatched, so
-    two such names share a run of three characters; names with fewer than nine
-    characters together meet by their first character or not at all. Equal
-    names count as 1 and meet through their common distinct name.
+    two such names share a run of three characters, or they start with the same
+    character and are shorter than nine each. That holds from 0.85 on only; for
+    less there is ``alike_across``. Equal names count as 1 and meet through
+    their common distinct name.
     """
+    if threshold < 0.85:
+        raise ValueError("runs of three characters lose pairs below 0.85")
     text = F.lower(N.clean_name(name))
     rows = df.select(*by, F.col(order).alias("o"), text.alias("t")).where("t <> ''")
     distinct = materialize(rows.select(*by, "t").distinct())
-    runs = F.when(F.length("t") >= 5, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 2), lambda i: F.substring(F.col("t"), i, 3)))).otherwise(F.array(F.substring("t", 1, 1)))
+    runs = F.when(F.length("t") >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 2), lambda i: F.substring(F.col("t"), i, 3)))).otherwise(F.array(F.substring("t", 1, 1)))
     short = F.array(F.substring("t", 1, 1))
     grams = distinct.select(*by, "t", F.explode(F.array_distinct(F.concat(runs, F.when(F.length("t") < 9, short).otherwise(F.array().cast("array<string>"))))).alias("g"))
     l, r = grams.alias("l"), grams.alias("r")
@@ -88,6 +93,68 @@ def similar_pairs(df: DataFrame, by: list[str], order: str, name: str, threshold
     return first.join(links, [*by, "x"]).join(second, [*by, "y"]).where("a < b").select(*by, "a", "b", "score")
 
 
+#: Distinct texts of a side that meet those of the other in one task.
+BLOCK = 1000
+
+
+def alike_across(left: DataFrame, right: DataFrame, by: list[str], threshold: float, words: bool = False) -> DataFrame:
+    """Pairs of a left and a right text that may be alike: (*by, x, y), distinct. Both sides have (*by, text).
+
+    Every pair of a group is looked at, in blocks of bounded size, so a large
+    group is many tasks. A pair is left out only if the characters that both
+    texts have, in whatever order, are too few for a ratio of ``threshold``.
+    With ``words`` the pairs stay, too, that ``text_similarity`` rates by
+    containment or by half of the shorter one's words.
+    """
+    ls = left.select(*by, F.col("text").alias("x")).where("x <> ''").distinct()
+    rs = right.select(*by, F.col("text").alias("y")).where("y <> ''").distinct()
+    ls, rs = materialize(ls), materialize(rs)
+    blocks = lambda df, n: df.groupBy(*by).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(n))
+    count = materialize(blocks(ls, "nx").join(blocks(rs, "ny"), by))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = ls.join(count, by).withColumn("bx", F.pmod(F.xxhash64("x"), "nx").cast("int")).withColumn("by", each("ny")).select(*by, "bx", "by", "x")
+    b = rs.join(count, by).withColumn("by", F.pmod(F.xxhash64("y"), "ny").cast("int")).withColumn("bx", each("nx")).select(*by, "bx", "by", "y")
+    schema = T.StructType([*[ls.schema[c] for c in by], T.StructField("x", T.StringType()), T.StructField("y", T.StringType())])
+
+    def meet(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        xs, ys = list(l["x"]), list(r["y"])
+        kept = [(i, j) for i, j in zip(*possible(xs, ys, threshold, words))] if xs and ys else []
+        out = pd.DataFrame({"x": [xs[i] for i, _ in kept], "y": [ys[j] for _, j in kept]}, dtype="object")
+        for k, c in enumerate(by):
+            out.insert(k, c, l[c].iloc[0] if len(l) else None)
+        return out
+
+    return a.groupBy(*by, "bx", "by").cogroup(b.groupBy(*by, "bx", "by")).applyInPandas(meet, schema)
+
+
+def possible(xs: list[str], ys: list[str], threshold: float, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs whose common characters, or words, allow a match."""
+
+    def common(a: list, b: list) -> np.ndarray:
+        """Elements that each two have in common, repeats counted."""
+        counts = [[Counter(x) for x in side] for side in (a, b)]
+        out = np.zeros((len(a), len(b)), "int32")
+        where: list[dict] = [defaultdict(list), defaultdict(list)]
+        for k in (0, 1):
+            for i, c in enumerate(counts[k]):
+                for v, n in c.items():
+                    where[k][v].append((i, n))
+        for v in where[0].keys() & where[1].keys():
+            (i, m), (j, n) = zip(*where[0][v]), zip(*where[1][v])
+            out[np.ix_(i, j)] += np.minimum.outer(np.array(m, "int32"), np.array(n, "int32"))
+        return out
+
+    lx, ly = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+    both, total, least = common(xs, ys), np.add.outer(lx, ly), np.minimum.outer(lx, ly)
+    ok = 2 * both >= threshold * total - 1e-9
+    if words:
+        wx, wy = [set(x.split(" ")) for x in xs], [set(y.split(" ")) for y in ys]
+        shorter = np.minimum.outer(np.array([len(w) for w in wx]), np.array([len(w) for w in wy]))
+        ok |= (both == least) & (least >= 5)
+        ok |= 2 * common(wx, wy) >= shorter
+    return np.nonzero(ok)
+
+
 def greedy_leaders(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Leader clustering in order: (node, leader).
 
@@ -132,6 +199,19 @@ def greedy_matching(scores: DataFrame, threshold: float = 0.0) -> DataFrame:
         options = materialize(options.join(refused, ["g", "e"], "left_anti"))
 
 
+def first_similar(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:
+    """Each visit with the first epoch, in order of ``o``, whose name matches by ``names_match``: (visit, epoch).
+
+    ``left`` has (*by, visit, name), ``right`` (*by, epoch, o, name).
+    """
+    a = materialize(left.select(*by, "visit", N.matching_form("name").alias("text")))
+    b = materialize(right.select(*by, "epoch", "o", N.matching_form("name").alias("text")))
+    met = alike_across(a, b, by, threshold).where(names_match(F.col("x"), F.col("y"), threshold))
+    same = a.join(b.select(*by, "text"), [*by, "text"], "left_semi").select(*by, F.col("text").alias("x"), F.col("text").alias("y"))
+    hit = met.unionByName(same).distinct().join(b.withColumnRenamed("text", "y"), [*by, "y"]).groupBy(*by, "x").agg(F.min_by("epoch", "o").alias("epoch"))
+    return a.withColumnRenamed("text", "x").join(hit, [*by, "x"]).select("visit", "epoch")
+
+
 def set_match_share(expected: DataFrame, actual: DataFrame, by: list[str], threshold: float = 0.8) -> DataFrame:
     """Share of expected texts with a similar actual one: (*by, expected, matched). Both have (*by, text).
 

@@ -142,14 +142,10 @@ def c28_day_map(spark, d):
 
 @query()
 def c29_fuzzy_first_hit(spark, d):
-    """Visits to the first epoch of their study with a similar name."""
-    e = _encounters(spark, d).select("study_id", F.col("entity_no").alias("o"), "name", F.lit(1).alias("side"))
-    p = _epochs(spark, d).select("study_id", F.col("entity_no").alias("o"), "name", F.lit(0).alias("side"))
-    both = materialize(e.unionByName(p))
-    pairs = Z.similar_pairs(both, ["study_id"], "o", "name", 0.85)
-    side = both.select(F.col("o").alias("a"), "side")
-    hit = pairs.join(side, "a").join(side.select(F.col("a").alias("b"), F.col("side").alias("side_b")), "b").where("side <> side_b")
-    return hit.select(F.when(F.col("side") == 1, F.col("a")).otherwise(F.col("b")).alias("visit"), F.when(F.col("side") == 1, F.col("b")).otherwise(F.col("a")).alias("epoch")).groupBy("visit").agg(F.min("epoch").alias("epoch"))
+    """Visits to the first epoch of their study with a similar name, at 0.8 and never with another number at its end."""
+    e = _encounters(spark, d).where("name IS NOT NULL").select("study_id", F.col("entity_no").alias("visit"), "name")
+    p = _epochs(spark, d).where("name IS NOT NULL").select("study_id", F.col("entity_no").alias("epoch"), "o", "name")
+    return Z.first_similar(e, p, ["study_id"], 0.8)
 
 
 _ORGS = {"org_1": "protocol", "org_2": "registry", "org_3": "analysis_plan"}

@@ -2,7 +2,7 @@ import random
 import re
 from difflib import SequenceMatcher
 
-from tessera.operators.fuzzy import distinct_notes, greedy_leaders, greedy_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
+from tessera.operators.fuzzy import distinct_notes, first_similar, greedy_leaders, greedy_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
 from pyspark.sql import functions as F
 
 
@@ -88,3 +88,29 @@ def test_distinct_notes_equal_the_sequential_rule(spark):
             seen.setdefault(s, []).append((i, x))
     df = spark.createDataFrame([(s, i, n) for i, (s, n) in enumerate(names)], "study_id string, entity_no bigint, name string")
     assert {r["node"]: r["leader"] for r in distinct_notes(df, ["study_id"], "entity_no", "name").collect()} == want
+
+
+def test_first_similar_equals_the_sequential_rule(spark):
+    rng = random.Random(6)
+    names = ["Treatment 1", "Treatment 2", "Follow-up", "abcd", "xabcd", "Screening", "Screening visits", "*", "Lead-in", "ab", "abc", "Washout b"]
+    names += ["".join(rng.choice("abc 12") for _ in range(rng.randint(3, 9))).strip() or "x" for _ in range(40)]
+    visits, epochs = [(rng.choice("st"), i, rng.choice(names)) for i in range(80)], [(rng.choice("st"), i, -i, rng.choice(names)) for i in range(40)]
+    form = lambda n: " ".join(re.sub(r"[^a-z0-9\s\-]", "", n.lower()).split())
+    tail = lambda n: (re.findall(r"(\d+)\s*$", n) or [None])[0]
+
+    def match(x, y):
+        return x == y or (not (tail(x) and tail(y) and tail(x) != tail(y)) and SequenceMatcher(None, x, y).ratio() >= 0.8)
+
+    want = {}
+    for s, v, n in visits:
+        hits = [(o, e) for t, e, o, m in epochs if s == t and match(form(n), form(m))]
+        if hits:
+            want[v] = min(hits)[1]
+    left = spark.createDataFrame(visits, "study_id string, visit bigint, name string")
+    right = spark.createDataFrame(epochs, "study_id string, epoch bigint, o bigint, name string")
+    assert {r["visit"]: r["epoch"] for r in first_similar(left, right, ["study_id"], 0.8).collect()} == want
+
+
+def test_short_names_meet_by_a_run(spark):
+    df = spark.createDataFrame([(1, "t", "abcd"), (2, "t", "xabcd")], "o int, k string, name string")
+    assert [(r["a"], r["b"]) for r in similar_pairs(df, ["k"], "o", "name").collect()] == [(1, 2)]
