@@ -14,7 +14,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,14 +189,50 @@ def greedy_matching(scores: DataFrame, threshold: float = 0.0) -> DataFrame:
     proposes to the best that hasn't refused it, each ``e`` keeps the smallest
     ``g``.
     """
-    options = materialize(scores.where((F.col("score") > 0) & (F.col("score") >= threshold)).select("g", "e", "score"))
+    return _settled(materialize(scores.where((F.col("score") > 0) & (F.col("score") >= threshold)).select("g", "e", "score")))[0]
+
+
+def _settled(options: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The matching and the options that are left. An ``e`` that holds a smaller ``g`` refuses for good."""
     while True:
-        best = options.groupBy("g").agg(F.max(F.struct("score", -F.col("e"))).alias("m")).select("g", (-F.col("m.col2")).alias("e"), F.col("m.score").alias("score"))
+        best = options.groupBy("g").agg(F.min(F.struct((-F.col("score")).alias("s"), "e")).alias("m")).select("g", "m.e", (-F.col("m.s")).alias("score"))
+        best = materialize(best)
         held = materialize(best.groupBy("e").agg(F.min(F.struct("g", "score")).alias("h")).select(F.col("h.g").alias("g"), "e", F.col("h.score").alias("score")))
-        refused = materialize(best.join(held.select("g", "e"), ["g", "e"], "left_anti").select("g", "e"))
-        if refused.isEmpty():
+        if best.join(held.select("g", "e"), ["g", "e"], "left_anti").isEmpty():
+            return held, options
+        options = materialize(_open(options, held))
+
+
+def _open(options: DataFrame, held: DataFrame) -> DataFrame:
+    return options.join(held.select("e", F.col("g").alias("h")), "e", "left").where("h IS NULL OR g <= h").select("g", "e", "score")
+
+
+def greedy_text_matching(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:
+    """``greedy_matching`` by ``text_similarity`` within ``by``: (g, e, score). Sides have (*by, g, text) and (*by, e, text).
+
+    Equal texts score 1 and others less: of one text the i-th ``g`` starts with
+    the i-th ``e``, since smaller ones hold those before. Further partners are
+    worked out only for a ``g`` that loses its own or has none. The outcome
+    doesn't depend on when an option becomes known, as long as each ``g``
+    proposes in order of its scores.
+    """
+    nth = lambda c: F.row_number().over(Window.partitionBy(*by, "text").orderBy(c))
+    a = materialize(left.select(*by, "g", N.plain_text("text").alias("text")).withColumn("i", nth("g")))
+    b = materialize(right.select(*by, "e", N.plain_text("text").alias("text")).withColumn("i", nth("e")))
+    options = materialize(a.join(b, [*by, "text", "i"]).select("g", "e", F.lit(1.0).alias("score")))
+    asked = materialize(a.where("false").select("g"))
+    while True:
+        held, options = _settled(options)
+        fresh = materialize(a.join(held, "g", "left_anti").join(asked, "g", "left_anti"))
+        if fresh.isEmpty():
             return held
-        options = materialize(options.join(refused, ["g", "e"], "left_anti"))
+        met = alike_across(fresh, b, by, threshold, True)
+        rated = met.withColumn("score", text_similarity(F.col("x"), F.col("y"))).where(F.col("score") >= threshold)
+        blank = fresh.where("text = ''").select(*by, F.col("text").alias("x")).distinct().select(*by, "x", F.col("x").alias("y"), F.lit(1.0).alias("score"))
+        links = materialize(rated.unionByName(blank))
+        more = fresh.select(*by, "g", F.col("text").alias("x")).join(links, [*by, "x"]).join(b.select(*by, "e", F.col("text").alias("y")), [*by, "y"]).select("g", "e", "score")
+        asked = materialize(asked.unionByName(fresh.select("g")))
+        options = materialize(options.unionByName(_open(more, held)))
 
 
 def first_similar(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:

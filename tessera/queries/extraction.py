@@ -574,17 +574,10 @@ def e01_fuzzy_groups(spark, d):
 
 @query()
 def o03_greedy_matching(spark, d):
-    """Sections of one copy against those of the other within a section number, each taken once, best first in order (with h08, o04)."""
-    row = lambda t, s: table(spark, d, t).where("entity_type = 'narrative_content' AND version = 1 AND NOT is_deleted AND data.name IS NOT NULL").select(
-        "study_id", F.col("data.sectionNumber").alias("part"), (F.col("pos") * 10 + s).cast("bigint").alias("p"), F.col("data.name").alias("name")
-    )
-    both = row("narrative", 0).unionByName(row("narrative_mirror", 1)).distinct()
-    rows = materialize(both.withColumn("o", F.xxhash64("study_id", "part", "p", "name")))
-    pairs = Z.similar_pairs(rows, ["study_id", "part"], "o", "name")
-    side = rows.select(F.col("o").alias("a"), (F.col("p") % 10).alias("s"))
-    cross = pairs.join(side, "a").join(side.select(F.col("a").alias("b"), F.col("s").alias("t")), "b").where("s <> t")
-    scores = cross.select(F.when(F.col("s") == 0, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(F.col("s") == 0, F.col("b")).otherwise(F.col("a")).alias("e"), F.round("score", 6).alias("score"))
-    return Z.greedy_matching(materialize(scores), 0.7)
+    """Live records of one copy against those of the other by study and type, each taken once, best first in order (with h08, o04)."""
+    row = lambda t, c: _current(spark, d, t, entity_no=F.lit(0)).select("study_id", "entity_type", F.struct("study_id", "entity_type", "pos", "sid").alias(c), F.col("name").alias("text"))
+    found = Z.greedy_text_matching(row("narrative", "g"), row("narrative_mirror", "e"), ["study_id", "entity_type"], 0.7)
+    return found.select("g.study_id", "g.entity_type", F.col("g.sid").alias("g"), F.col("e.sid").alias("e"), F.round("score", 6).alias("score"))
 
 
 @query()

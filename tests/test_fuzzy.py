@@ -2,7 +2,7 @@ import random
 import re
 from difflib import SequenceMatcher
 
-from tessera.operators.fuzzy import distinct_notes, first_similar, greedy_leaders, greedy_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
+from tessera.operators.fuzzy import distinct_notes, first_similar, greedy_leaders, greedy_matching, greedy_text_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
 from pyspark.sql import functions as F
 
 
@@ -114,3 +114,23 @@ def test_first_similar_equals_the_sequential_rule(spark):
 def test_short_names_meet_by_a_run(spark):
     df = spark.createDataFrame([(1, "t", "abcd"), (2, "t", "xabcd")], "o int, k string, name string")
     assert [(r["a"], r["b"]) for r in similar_pairs(df, ["k"], "o", "name").collect()] == [(1, 2)]
+
+
+def test_text_matching_equals_the_sequential_rule(spark, monkeypatch):
+    monkeypatch.setattr("tessera.operators.fuzzy.BLOCK", 7)
+    rng = random.Random(7)
+    base = ["Risk outline", "Consent steps", "Criteria for stable withdrawal", "Criteria for distal withdrawal", "Dose", "Dose rationale", "", "tbd", "abcdefghij", "abcdefgxyz", "abcdefgxyzw"]
+    noisy = lambda: "".join(c for c in rng.choice(base) if rng.random() > 0.12)
+    golden, found = [(k, i, noisy()) for i in range(40) for k in "pq"], [(k, i, noisy()) for i in range(36) for k in "pq"]
+    pairs = spark.createDataFrame([(k, g, e, x, y) for k, g, x in golden for h, e, y in found if k == h], "k string, g int, e int, x string, y string")
+    score = {(r["k"], r["g"], r["e"]): r["s"] for r in pairs.select("k", "g", "e", text_similarity(F.col("x"), F.col("y")).alias("s")).collect()}
+    want, used = {}, set()
+    for k, g, _ in golden:
+        free = [(score[k, g, e], -e) for h, e, _ in found if h == k and (k, e) not in used and score[k, g, e] >= 0.7]
+        if free:
+            want[k, g] = (-max(free)[1], max(free)[0])
+            used.add((k, -max(free)[1]))
+    assert any(s < 0.85 for _, s in want.values())
+    side = lambda rows, c: spark.createDataFrame(rows, "k string, i int, text string").select("k", F.struct("k", "i").alias(c), "text")
+    got = greedy_text_matching(side(golden, "g"), side(found, "e"), ["k"], 0.7)
+    assert {(r["g"]["k"], r["g"]["i"]): (r["e"]["i"], r["score"]) for r in got.collect()} == want
