@@ -3,13 +3,14 @@
 A record's bag of words is compared with all others at a multiset Jaccard
 similarity of at least ``threshold``. The steps:
 
-1. Words that hold at least ``common_share`` of all words (and 100 of them) are
-   counted as common ones; there can't be more than 1/common_share of them, so the list is small
+1. Words that hold at least ``common_share`` of all words are counted as common
+   ones; there can't be more than 1/common_share of them, so the list is small
    by construction and goes to every worker.
 2. Each text becomes a bottom-k sketch: the ``k`` smallest values of one hash
    function over its word shingles. The function puts shingles with two rare
    words first, then those with one, then the rest, and is uniform within each
-   kind, so what is retained is what tells texts apart.
+   kind, so what is retained is what tells texts apart. It is one function for
+   all texts, so the k smallest values of a union are those of its sketches.
 3. Texts with equal bags form a class; one representative goes on, so copies
    never meet each other in a list.
 4. Inverted lists of the retained values give the pairs of classes and their
@@ -17,13 +18,21 @@ similarity of at least ``threshold``. The steps:
    common_share x (mean words) of all lists. A value without rare words has no
    such bound; its list is split by the elements of the bags' prefixes (rarest
    first, n - ceil(threshold n) + 1 of them), of which similar bags always
-   share one, so the split loses nothing.
-5. Union-sketch estimate: the union of two sketches up to their common reach
-   has at least k values, so overlap / k bounds the estimate from above; pairs
-   below ``min_overlap`` / k go.
+   share one, so the split loses nothing. A posting carries the rank of its
+   value, so a value met through several parts of its list counts once.
+5. Union-sketch estimate: of the min(k, size) smallest values of the union the
+   share that both texts hold, from the ranks of the shared ones. Pairs below
+   :func:`least_share` go.
 6. A parity sketch of 256 bits of each bag bounds how much two bags differ at
    least; pairs that differ too much for the threshold go, none wrongly.
 7. The exact similarity of the two bags decides.
+
+Steps 2, 4 and 5 can lose a pair whose edits break nearly every shingle. With
+``exact`` they are replaced by a join that can't: the k smallest values are
+those of the bag's own elements, rarest first, with k = n - ceil(threshold n)
++ 2, so similar bags share at least two of them, and lists are kept for pairs
+of retained elements. It costs more lists a text and is meant for collections
+where every last pair matters more than time.
 """
 
 from __future__ import annotations
@@ -41,7 +50,11 @@ from pyspark.sql import functions as F
 from tessera.llm.wording import WORD, Hashes, mix, rolling, words
 from tessera.plans.runtime import materialize
 
-SKETCH_SCHEMA = "id bigint, hi bigint, lo bigint, n int, size int, odd array<bigint>, sketch array<bigint>, plain array<bigint>"
+SKETCH_SCHEMA = "id bigint, hi bigint, lo bigint, n int, size int, odd array<bigint>, sketch array<bigint>, plain array<bigint>, plain_rank array<tinyint>"
+#: Largest k: ranks of retained values are bits of one long.
+MOST_RANKS = 63
+#: Words from which a text is listed by single elements in exact mode, since its pairs of elements would be too many.
+LONG_BAG = 400
 
 
 def sent_if_few(ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
@@ -62,24 +75,22 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def common_words(texts: DataFrame, share: float, least: int = 100) -> dict[str, int]:
-    """Words with at least ``share`` of all words, and ``least`` in number, with their counts: at most 1/share entries.
-
-    In a small collection a few uses say nothing; without ``least`` only words
-    that edits brought in would count as rare there.
-    """
+def common_words(texts: DataFrame, share: float) -> dict[str, int]:
+    """Words with at least ``share`` of all words, with their counts: at most 1/share entries."""
     counts = materialize(word_counts(texts))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return {r["word"]: r["n"] for r in counts.where(F.col("n") >= F.lit(max(share * total, float(least)))).collect()}
+    return {r["word"]: r["n"] for r in counts.where(F.col("n") >= F.lit(share * total)).collect()}
 
 
-def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, threshold: float, min_words: int) -> DataFrame:
+def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, threshold: float, min_words: int, exact: bool = False) -> DataFrame:
     """Sketch and bag digest of each text with at least ``min_words`` words: ``SKETCH_SCHEMA``.
 
     ``hi``, ``lo`` and ``n`` identify the bag whatever the order of its words;
     ``odd`` is its parity sketch (bit b: an odd number of elements fall on b).
-    ``sketch`` has the retained values with rare words, ``plain`` those
-    without, each joined with every element of the bag's prefix.
+    ``sketch`` has the retained values with rare words, in order, so that the
+    place of one is its rank; ``plain`` those without, each joined with every
+    element of the bag's prefix, and ``plain_rank`` their ranks. With ``exact``
+    ``sketch`` has the lists of :func:`_element_pairs` and the rest is empty.
     """
     keep = Fraction(str(threshold))
 
@@ -113,15 +124,23 @@ def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, thr
             kind = 2 - np.minimum(amount, 2)
             values = (runs >> np.uint64(2)) | (kind.astype(np.uint64) << np.uint64(62))
             odd = _parities(flat, sizes)
-            sketch, plain, size = [], [], []
+            sketch, plain, ranks, size = [], [], [], []
             for i, w in enumerate(lists):
+                if exact:
+                    size.append(0)
+                    sketch.append(_element_pairs(flat[starts[i] : starts[i + 1]], rank, keep))
+                    plain.append(np.empty(0, np.int64))
+                    ranks.append(np.empty(0, np.int8))
+                    continue
                 kept = np.unique(values[starts[i] : max(starts[i], starts[i + 1] - shingle + 1)])[:k]
                 size.append(len(kept))
                 cut = int(np.searchsorted(kept, np.uint64(2 << 62)))
                 sketch.append(kept[:cut].view(np.int64))
-                plain.append(_split(kept[cut:], flat[starts[i] : starts[i + 1]], rank, keep) if cut < len(kept) else np.empty(0, np.int64))
+                parts = _split(kept[cut:], flat[starts[i] : starts[i + 1]], rank, keep) if cut < len(kept) else np.empty(0, np.int64)
+                plain.append(parts)
+                ranks.append(np.repeat(np.arange(cut, len(kept), dtype=np.int8), len(parts) // max(1, len(kept) - cut)))
             yield pd.DataFrame(
-                {"id": ids, "hi": hi.view(np.int64), "lo": lo.view(np.int64), "n": sizes.astype("int32"), "size": np.array(size, "int32"), "odd": odd, "sketch": sketch, "plain": plain}
+                {"id": ids, "hi": hi.view(np.int64), "lo": lo.view(np.int64), "n": sizes.astype("int32"), "size": np.array(size, "int32"), "odd": odd, "sketch": sketch, "plain": plain, "plain_rank": ranks}
             )
 
     return texts.select("id", "text").mapInPandas(run, SKETCH_SCHEMA)
@@ -143,41 +162,96 @@ def _parities(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return list(np.packbits(parity, axis=1).view(np.int64))
 
 
-def _split(values: np.ndarray, bag: np.ndarray, rank: dict[int, int], keep: Fraction) -> np.ndarray:
-    """Each value with each element of the bag's prefix, rarest elements first."""
+def _prefix(bag: np.ndarray, rank: dict[int, int], keep: Fraction, shared: int) -> np.ndarray:
+    """Hashes of the bag's rarest elements, so many that similar bags have ``shared`` of them in common at least."""
     seen: Counter = Counter()
     elements = []
     for h in bag.tolist():
         elements.append((rank.get(h, 0), h, seen[h]))
         seen[h] += 1
     elements.sort()
-    prefix = elements[: len(elements) - math.ceil(keep * len(elements)) + 1]
-    e = mix(np.array([h for _, h, _ in prefix], dtype=np.uint64) ^ mix(np.array([o for _, _, o in prefix], dtype=np.uint64), 3), 4)
-    both = mix(values[:, None] ^ e[None, :], 5).ravel()
+    prefix = elements[: len(elements) - math.ceil(keep * len(elements)) + shared]
+    return mix(np.array([h for _, h, _ in prefix], dtype=np.uint64) ^ mix(np.array([o for _, _, o in prefix], dtype=np.uint64), 3), 4)
+
+
+def _split(values: np.ndarray, bag: np.ndarray, rank: dict[int, int], keep: Fraction) -> np.ndarray:
+    """Each value with each element of the bag's prefix, value by value."""
+    both = mix(values[:, None] ^ _prefix(bag, rank, keep, 1)[None, :], 5).ravel()
     return ((both >> np.uint64(2)) | np.uint64(2 << 62)).view(np.int64)
 
 
-def candidate_pairs(classes: DataFrame, threshold: float, min_overlap: int) -> DataFrame:
+def _element_pairs(bag: np.ndarray, rank: dict[int, int], keep: Fraction) -> np.ndarray:
+    """List keys of a bag, of which similar bags always have one in common.
+
+    Pairs of prefix elements for all but long bags; single elements for those
+    and for bags that may be similar to a long one.
+    """
+    keys = []
+    if len(bag) <= LONG_BAG and math.ceil(keep * len(bag)) >= 2:
+        e = np.sort(_prefix(bag, rank, keep, 2))
+        i, j = np.triu_indices(len(e), 1)
+        keys.append(mix(e[i] ^ mix(e[j], 7), 8))
+    if len(bag) >= keep * LONG_BAG or math.ceil(keep * len(bag)) < 2 / keep:
+        keys.append(_prefix(bag, rank, keep, 1))
+    return np.unique(np.concatenate(keys)).view(np.int64)
+
+
+def least_share(threshold: float, shingle: int, k: int, sigmas: float = 3.0) -> float:
+    """Least share of a union sketch that similar bags have in common, but for its sampling error.
+
+    At a similarity of t the longer part of two bags differs in x = (1 - t) /
+    (1 + t) of its words; where these are replaced one by one each breaks
+    ``shingle`` runs at most, which leaves a resemblance of (1 - s x) / (1 + s
+    x). The share in k sampled values is ``sigmas`` standard deviations below
+    that with a chance of about 1 in 700. Moves and scattered insertions may
+    break more runs than replacements do; two shared values are asked for in
+    any case, and ``exact`` is the way for those that have none.
+    """
+    broken = shingle * (1 - threshold) / (1 + threshold)
+    share = max(0.0, (1 - broken) / (1 + broken))
+    return max(0.0, share - sigmas * math.sqrt(share * (1 - share) / k))
+
+
+def candidate_pairs(classes: DataFrame, threshold: float, k: int, min_overlap: int, share: float) -> DataFrame:
     """Pairs of class representatives that pass the union-sketch estimate: (a, b, overlap).
 
-    ``classes`` has (id, n, size, sketch, plain). Bags whose sizes alone forbid
-    the threshold don't meet: the logarithm of the size rides with each posting.
+    ``classes`` has (id, n, size, sketch, plain, plain_rank). Bags whose sizes
+    alone forbid the threshold don't meet: the logarithm of the size rides with
+    each posting, beside the rank of the value and the size of the sketch.
+
+    The shared value number p (from 0) of ranks i and j has the rank i + j - p
+    in the union. If the last one lies within the union sketch all do and the
+    estimate is overlap / min(k, size of the union); else it is at most
+    (overlap - 1) / k.
     """
     step = 0.05
     bin_of = F.least(F.lit(250), F.floor(F.log(F.col("n").cast("double")) / step)).cast("long")
     width = math.ceil(-math.log(threshold) / step) + 1
-    # one long for (id, size bin): the posting stays at two longs in the shuffle
-    post = classes.select(F.explode(F.concat("sketch", "plain")).alias("v"), (F.col("id") * 256 + bin_of).alias("p"))
+    # one long for (id, rank, sketch size, size bin): the posting stays at two longs in the shuffle
+    head = F.shiftleft("id", 20) + F.shiftleft("size", 8) + bin_of
+    rare = classes.select(F.posexplode("sketch").alias("r", "v"), head.alias("h"), "size")
+    ranked = rare.select("v", (F.col("h") + F.when(F.col("size") > 0, F.shiftleft(F.col("r").cast("long"), 14)).otherwise(0)).alias("p"))
+    plain = classes.where(F.size("plain") > 0).select(F.explode(F.arrays_zip("plain", "plain_rank")).alias("x"), head.alias("h"))
+    post = ranked.unionByName(plain.select(F.col("x.plain").alias("v"), (F.col("h") + F.shiftleft(F.col("x.plain_rank").cast("long"), 14)).alias("p")))
     a, b = post.alias("a"), post.alias("b")
     met = a.join(b, (F.col("a.v") == F.col("b.v")) & (F.col("a.p") < F.col("b.p"))).where(
         F.abs(F.pmod(F.col("a.p"), F.lit(256)) - F.pmod(F.col("b.p"), F.lit(256))) <= width
     )
-    return (
-        met.groupBy(F.shiftright("a.p", 8).alias("a"), F.shiftright("b.p", 8).alias("b"))
-        .agg(F.count("*").alias("overlap"))
-        .where(F.col("overlap") >= min_overlap)
+    part = lambda p, at, bits: F.shiftright(p, at).bitwiseAND(F.lit((1 << bits) - 1))
+    bit = lambda p: F.expr(f"shiftleft(1L, cast(shiftright({p}, 14) & 63 AS int))")
+    pairs = (
+        met.groupBy(F.shiftright("a.p", 20).alias("a"), F.shiftright("b.p", 20).alias("b"))
+        .agg(F.bit_or(bit("a.p")).alias("ma"), F.bit_or(bit("b.p")).alias("mb"), F.max(part("a.p", 8, 6)).alias("na"), F.max(part("b.p", 8, 6)).alias("nb"))
         .where("a <> b")
+        .withColumn("overlap", F.bit_count("ma"))
+        .where(F.col("overlap") >= min_overlap)
     )
+    if share <= 0:
+        return pairs.select("a", "b", "overlap")
+    top = lambda m: F.length(F.bin(m)) - 1
+    inside = top("ma") + top("mb") - F.col("overlap") + 1 < k
+    estimate = F.when(inside, F.col("overlap") / F.least(F.lit(k), F.col("na") + F.col("nb") - F.col("overlap"))).otherwise((F.col("overlap") - 1) / k)
+    return pairs.where(estimate >= share).select("a", "b", "overlap")
 
 
 def close_enough(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
@@ -224,7 +298,8 @@ class NearDuplicates:
     ``links`` are the similar pairs between class representatives (a < b),
     ``members`` tells the class of each id that has equal bags beside it.
     Null, blank and short texts (below ``min_words``) take no part; several
-    rows of one id are to be resolved before.
+    rows of one id are to be resolved before; ids lie between -2^43 and 2^43.
+    ``exact`` finds every similar pair for certain.
     """
 
     def __init__(
@@ -233,20 +308,24 @@ class NearDuplicates:
         threshold: float = 0.8,
         min_words: int = 5,
         shingle: int = 5,
-        k: int = 24,
+        k: int = 40,
         min_overlap: int = 2,
         common_share: float = 1 / 8000,
+        exact: bool = False,
     ):
         if min_words < shingle:
             raise ValueError("texts must have as many words as a shingle at least")
+        if not 0 < k <= MOST_RANKS:
+            raise ValueError(f"k must be from 1 to {MOST_RANKS}")
         self.texts = texts
         common = common_words(texts, common_share)
-        signed = self.signed = materialize(sketches(texts, common, shingle, k, threshold, min_words))
+        signed = self.signed = materialize(sketches(texts, common, shingle, k, threshold, min_words, exact))
         bag = ["hi", "lo", "n"]
         reps = signed.groupBy(*bag).agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1")
         self.members = materialize(signed.select("id", *bag).join(reps, bag).select("id", "rep", "c"))
-        # a text shorter than k + shingle - 1 words has fewer values, yet two of them always suffice
-        met = materialize(candidate_pairs(self._representatives(), threshold, min_overlap))
+        # a text shorter than k + shingle - 1 words has fewer values and its sketch is the whole of them
+        share = 0.0 if exact else least_share(threshold, shingle, k)
+        met = materialize(candidate_pairs(self._representatives(), threshold, k, 1 if exact else min_overlap, share))
         pairs = materialize(close_enough(met, signed, threshold))
         self.links = materialize(verified(pairs, texts, threshold))
 

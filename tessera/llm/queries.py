@@ -87,8 +87,15 @@ p AS (SELECT entity_no, word, occ, n FROM (SELECT x.*, row_number() OVER (PARTIT
 c AS (SELECT DISTINCT a.entity_no AS a, b.entity_no AS b, a.n + b.n AS n FROM p a JOIN p b USING (word, occ) WHERE a.entity_no < b.entity_no AND 10 * least(a.n, b.n) >= 7 * greatest(a.n, b.n)),
 s AS (SELECT c.a, c.b, c.n, count(*) AS shared FROM c JOIN x l ON l.entity_no = c.a JOIN x r ON r.entity_no = c.b AND r.word = l.word AND r.occ = l.occ GROUP BY ALL)
 SELECT a AS entity_no_a, b AS entity_no_b FROM s WHERE 10 * shared >= 7 * (n - shared)"""
+_P2_CLASSES = _P2.replace("SELECT a AS entity_no_a, b AS entity_no_b FROM s", """,
+k AS (SELECT entity_no, array_to_string(list_sort(w), ' ') AS bag FROM e WHERE len(w) >= 20),
+m AS (SELECT entity_no, min(entity_no) OVER (PARTITION BY bag) AS class_id, count(*) OVER (PARTITION BY bag) AS copies FROM k),
+d AS (SELECT a, b FROM s WHERE 10 * shared >= 7 * (n - shared) UNION ALL SELECT b, a FROM s""", 1) + """),
+o AS (SELECT d.a, count(*) AS links FROM d JOIN m x ON x.entity_no = d.a JOIN m y ON y.entity_no = d.b WHERE x.class_id <> y.class_id GROUP BY 1)
+SELECT m.entity_no, class_id, copies, coalesce(links, 0) AS links FROM m LEFT JOIN o ON o.a = m.entity_no"""
 ORACLES: dict[str, str] = {
     "p2_found": _P2,
+    "p2_classes": _P2_CLASSES,
     "p7_found": _P7 + "SELECT doc_id, item_id FROM found",
     "p7_items": _P7 + "SELECT item_id, topic, coalesce(n, 0) AS documents FROM eval_items LEFT JOIN (SELECT item_id, count(*) AS n FROM found GROUP BY 1) USING (item_id)",
 }

@@ -74,3 +74,27 @@ def test_copies_meet_once(spark):
 def test_empty(spark):
     got = NearDuplicates(frame(spark, []), threshold=0.8)
     assert got.pairs().count() == 0 and got.classes().count() == 0
+
+
+def test_exact_mode_loses_nothing_even_where_no_shingle_is_shared(spark):
+    # every third word of the copies is new, or the words are laid out in another order: no run of five is left
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for k in range(40):
+        base = rng.choices(vocabulary, k=rng.randint(20, 80))
+        spaced = [x for i, w in enumerate(base) for x in ([w, f"n{k}x{i}"] if not i % 3 else [w])]
+        rows += [(3 * k, " ".join(base)), (3 * k + 1, " ".join(spaced)), (3 * k + 2, " ".join(rng.sample(base, len(base) - 1)))]
+    long = [f"l{i}" for i in range(390)]
+    rows += [(900, " ".join(long)), (901, " ".join([*long, *(f"m{i}" for i in range(60))])), (902, " ".join(long * 3)), (903, " ".join(long * 3 + ["z"] * 50)), (904, None), (905, "")]
+    want = brute(rows, 0.7, 20)
+    assert len(want) >= 80 and {tuple(r) for r in NearDuplicates(frame(spark, rows), threshold=0.7, min_words=20, exact=True).pairs().collect()} == want
+    want = brute(rows, 0.5, 20)
+    assert {tuple(r) for r in NearDuplicates(frame(spark, rows), threshold=0.5, min_words=20, exact=True).pairs().collect()} == want
+
+
+def test_a_value_met_through_several_parts_of_its_list_counts_once(spark):
+    # one shared run of five common words, hence one shared value, whatever the number of shared prefix elements
+    rows = [(1, "a b c d e " + "f g h i j k l m n o " * 2), (2, "a b c d e " + "o m k i g f h j l n " * 2)]
+    links = NearDuplicates(frame(spark, rows), threshold=0.9, min_words=5, common_share=0.001, min_overlap=2).links
+    assert links.count() == 0
