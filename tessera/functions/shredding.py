@@ -71,6 +71,28 @@ def fuse(value, node: Node, always: frozenset[str] = frozenset(), key: str | Non
         node.scalar = node.scalar or value is not None
 
 
+def merge(node: Node, other: Node) -> None:
+    """Add the shape ``other`` to ``node``."""
+    node.scalar = node.scalar or other.scalar
+    if other.items is not None:
+        node.items = node.items or Node()
+        merge(node.items, other.items)
+    if other.keys is not None:
+        node.keys = {} if node.keys is None else node.keys
+        for k, child in other.keys.items():
+            merge(node.keys.setdefault(k, Node()), child)
+
+
+def settle(node: Node) -> None:
+    """What is a list somewhere is a list everywhere: a single object's keys become those of its elements."""
+    if node.items is not None and node.keys is not None:
+        single = Node()
+        single.keys, node.keys = node.keys, None
+        merge(node.items, single)
+    for child in [node.items] if node.items is not None else (node.keys or {}).values():
+        settle(child)
+
+
 def opened_all(value):
     """``value`` with every string that holds JSON replaced by what it holds."""
     value = opened(value)
@@ -91,6 +113,7 @@ def shred(record, always: frozenset[str] = frozenset()) -> dict[str, list[Entry]
     """
     root = Node()
     fuse(record, root, always)
+    settle(root)
     columns: dict[str, list[Entry]] = {}
 
     def put(path: str, rep: int, depth: int, value) -> None:

@@ -88,67 +88,77 @@ def target_states(tables: dict[str, DataFrame], references: list[Reference]) ->
     return out
 
 
+NODE = ["table_name", "study_id", "entity_type", "sid"]
+TARGET = ["target", "target_type", "study_id", "ref_id"]
+
+
+def _levels_below(references: list[Reference]) -> bool:
+    """Whether a record that refers to others may itself be referred to."""
+    return bool({(r.table, r.entity_type) for r in references} & {(r.target, r.target_type) for r in references})
+
+
 def find_orphans(tables: dict[str, DataFrame], references: list[Reference]) -> DataFrame:
-    """Direct orphan references: the columns of :func:`reference_rows` and ``kind``.
-
-    ``missing``: no row of that type and id in the study; else ``deleted``: its
-    highest version is deleted; else ``late``: its earliest ``created_at`` is
-    after that of the referring live row (never so where one of the two is
-    null). One outer join on (study, type, id) against one row a target, so a
-    target that a third of all references name is at most a skewed stream side,
-    which adaptive execution splits.
+    """Orphan references, direct and inherited, as the fixpoint of one cascade.
+
+    The columns of :func:`reference_rows`, ``kind`` and ``round``. Round 0 are
+    the direct ones. ``missing``: no row of that type and id in the study; else
+    ``deleted``: its highest version is deleted; else ``late``: its earliest
+    ``created_at`` is after that of the referring live row (never so where one
+    of the two is null). Round n are the ``inherited`` ones: references, not
+    orphans themselves, to a record that became an orphan in round n - 1, that
+    is a record with an orphan reference of that round and none of an earlier
+    one. Semi-joins run down the references until a round adds no record;
+    cycles end because a record is reached once only. Where the references
+    have no further level, which their types tell, round 0 is all there is.
+
+    The states of the targets are one row each, so a target that a third of
+    all references name is at most a skewed stream side, which adaptive
+    execution splits. Each round is written to the scratch folder.
     """
-    refs = reference_rows(tables, references)
-    states = target_states(tables, references)
-    on = ["target", "target_type", "study_id", "ref_id"]
     kind = (
         F.when(F.col("gone").isNull(), "missing")
         .when(F.col("gone"), "deleted")
         .when(F.col("since") > F.col("created_at"), "late")
     )
-    return refs.join(states, on, "left").withColumn("kind", kind).where("kind IS NOT NULL").drop("gone", "since")
+    refs = reference_rows(tables, references).join(target_states(tables, references), TARGET, "left")
+    refs = refs.withColumn("kind", kind).drop("gone", "since")
+    start = F.when(F.col("kind").isNotNull(), 0).alias("round")
+    if not _levels_below(references):
+        return refs.where("kind IS NOT NULL").select("*", start)
+    refs = materialize(refs)
+    reached = cascade(refs).select(
+        F.col("table_name").alias("target"), F.col("entity_type").alias("target_type"), "study_id", F.col("sid").alias("ref_id"), (F.col("round") + 1).alias("round")
+    )
+    inherited = refs.where("kind IS NULL").join(reached, TARGET).withColumn("kind", F.lit("inherited"))
+    direct = refs.where("kind IS NOT NULL").withColumn("round", F.lit(0))
+    return direct.unionByName(inherited)
 
 
-def cascade(orphans: DataFrame, refs: DataFrame) -> DataFrame:
-    """Records orphaned directly or through a record they refer to.
+def cascade(refs: DataFrame) -> DataFrame:
+    """Records orphaned directly or through a record they refer to: (table_name, study_id, entity_type, sid, round).
 
-    (target, study_id, sid, entity_type, round): round 0 are records with an
-    orphan reference of their own, round n those that refer to a record of
-    round n-1 and to none before. Semi-joins run down the references until a
-    round adds nothing; cycles end because a record joins once only. Each
-    round is written to the scratch folder, so plans don't grow.
+    ``refs`` has the columns of :func:`reference_rows` and ``kind``, null where
+    the reference itself is sound. Round 0 are records with an orphan reference
+    of their own, round n those that refer to a record of round n - 1 and to
+    none before. What is known is written as one table every few rounds, so a
+    long chain doesn't make long plans.
     """
-    node = ["table_name", "study_id", "entity_type", "sid"]
-    frontier = materialize(orphans.select(*node).distinct().withColumn("round", F.lit(0)))
-    known, n = frontier, 0
-    edges = refs.select(*node, F.col("target").alias("t"), F.col("target_type").alias("tt"), "ref_id")
+    frontier = known = materialize(refs.where("kind IS NOT NULL").select(*NODE).distinct().withColumn("round", F.lit(0)))
+    edges, n = refs.where("kind IS NULL").select(*NODE, "target", "target_type", "ref_id"), 0
     while not frontier.isEmpty():
         n += 1
-        hit = frontier.select(
-            F.col("table_name").alias("t"), F.col("entity_type").alias("tt"), F.col("sid").alias("ref_id"), F.col("study_id").alias("s")
-        )
-        cond = (edges.t == hit.t) & (edges.tt == hit.tt) & (edges.ref_id == hit.ref_id) & (edges.study_id == hit.s)
-        reached = edges.join(hit, cond, "left_semi").select(*node).distinct()
-        frontier = materialize(reached.join(known, node, "left_anti").withColumn("round", F.lit(n)))
+        hit = frontier.select(F.col("table_name").alias("target"), F.col("entity_type").alias("target_type"), "study_id", F.col("sid").alias("ref_id"))
+        found = edges.join(hit, TARGET, "left_semi").select(*NODE).distinct()
+        frontier = materialize(found.join(known, NODE, "left_anti").withColumn("round", F.lit(n)))
         known = known.unionByName(frontier)
+        known = known if n % 8 else materialize(known)
     return known
 
 
-def orphan_report(tables: dict[str, DataFrame], references: list[Reference]) -> DataFrame:
-    """Orphans by table, month of ``created_at``, field and kind.
+def orphan_report(orphans: DataFrame) -> DataFrame:
+    """Orphans of :func:`find_orphans` by table, month of ``created_at``, field and kind: (table_name, month, field, kind, n).
 
-    (table_name, month, field, kind, n): for direct kinds the number of
-    references, for kind ``inherited`` the number of references to a record
-    that is itself an orphan. A null ``created_at`` is the null month.
+    A null ``created_at`` is the null month.
     """
-    refs = materialize(reference_rows(tables, references))
-    direct = materialize(find_orphans(tables, references))
-    known = cascade(direct, refs)
-    inherited = refs.join(
-        known.select(F.col("table_name").alias("target"), F.col("entity_type").alias("target_type"), "study_id", F.col("sid").alias("ref_id")),
-        ["target", "target_type", "study_id", "ref_id"],
-        "left_semi",
-    ).withColumn("kind", F.lit("inherited"))
-    every = direct.unionByName(inherited, allowMissingColumns=True)
     month = F.date_format("created_at", "yyyy-MM").alias("month")
-    return every.groupBy("table_name", month, "field", "kind").agg(F.count("*").alias("n"))
+    return orphans.groupBy("table_name", month, "field", "kind").agg(F.count("*").alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera.operators import diff, drift, nested, orphans
 from tessera.operators.orphans import Reference
 from tessera.plans.runtime import materialize, table
@@ -12,6 +14,10 @@ REFERENCES = [
     Reference("objectives", "estimand", "interventionIds", "interventions", "study_intervention", many=True),
     Reference("soa_vision", "encounter", "epochId", "soa_vision", "epoch"),
 ]
+SECTIONS = [
+    Reference("narrative", "narrative_content", "childIds", "narrative", "narrative_content_item", many=True),
+    Reference("narrative", "narrative_content_item", "parent_id", "narrative", "narrative_content"),
+]
 
 
 def p1_found(spark, d):
@@ -58,13 +64,20 @@ def _reference_tables(spark, d):
 
 
 def p6_found(spark, d):
-    """References whose target is missing, deleted or later."""
-    return orphans.find_orphans(_reference_tables(spark, d), REFERENCES).select("entity_no", "field", "ref_id", "kind")
+    """References whose target is missing, deleted or later: the direct part of the cascade."""
+    return orphans.find_orphans(_reference_tables(spark, d), REFERENCES).where("round = 0").select("entity_no", "field", "ref_id", "kind")
 
 
 def p6_report(spark, d):
     """Direct and inherited orphans by table, month and field."""
-    return orphans.orphan_report(_reference_tables(spark, d), REFERENCES)
+    return orphans.orphan_report(orphans.find_orphans(_reference_tables(spark, d), REFERENCES))
+
+
+def p6_cascade(spark, d):
+    """The same for the sections of narrative and their items, which refer to one another."""
+    narrative = table(spark, d, "narrative")
+    tables = {"narrative": narrative.withColumn("data", F.struct("data.childIds", "parent_id"))}
+    return orphans.orphan_report(orphans.find_orphans(tables, SECTIONS))
 
 
 _LIVE = """{t}_live AS (
@@ -93,26 +106,37 @@ _SID = "lower(replace(trim({}), '-', '_'))"
 
 def _p6_refs(table, kind, field, target, target_type, many):
     ids = f"unnest(data.{field})" if many else f"data.{field}"
-    return f"""SELECT DISTINCT '{table}' AS table_name, entity_no, study_id, created_at, '{field}' AS field, '{target}' AS target, '{target_type}' AS target_type,
+    return f"""SELECT DISTINCT '{table}' AS table_name, entity_no, study_id, sid, entity_type, created_at, '{field}' AS field, '{target}' AS target, '{target_type}' AS target_type,
       lower(replace(trim(ref), '-', '_')) AS ref_id
     FROM (SELECT *, {ids} AS ref FROM {table}_live WHERE entity_type = '{kind}') WHERE trim(ref) <> ''"""
 
 
-_P6 = (
-    "WITH "
-    + ", ".join(_LIVE.format(t=t) for t in ("objectives", "soa_vision"))
-    + ", refs AS ("
-    + " UNION ALL ".join(_p6_refs(r.table, r.entity_type, r.field, r.target, r.target_type, r.many) for r in REFERENCES)
-    + "), states AS ("
-    + " UNION ALL ".join(
-        f"""SELECT '{t}' AS target, entity_type AS target_type, study_id, lower(replace(trim(id), '-', '_')) AS ref_id,
+def _p6(references, own_field=""):
+    tables = dict.fromkeys(r.table for r in references)
+    targets = dict.fromkeys(r.target for r in references)
+    return (
+        "WITH RECURSIVE "
+        + ", ".join(_LIVE.format(t=t) for t in tables)
+        + ", refs AS ("
+        + " UNION ALL ".join(_p6_refs(r.table, r.entity_type, r.field, r.target, r.target_type, r.many) for r in references).replace(f"data.{own_field} AS", f"{own_field} AS")
+        + "), states AS ("
+        + " UNION ALL ".join(
+            f"""SELECT '{t}' AS target, entity_type AS target_type, study_id, lower(replace(trim(id), '-', '_')) AS ref_id,
         arg_max(is_deleted, version) AS gone, min(created_at) AS since FROM {t} GROUP BY ALL"""
-        for t in ("objectives", "interventions", "soa_vision")
-    )
-    + """), found AS (SELECT refs.*, CASE WHEN gone IS NULL THEN 'missing' WHEN gone THEN 'deleted' WHEN since > created_at THEN 'late' END AS kind
-      FROM refs LEFT JOIN states USING (target, target_type, study_id, ref_id))
+            for t in targets
+        )
+        + """), found AS (SELECT refs.*, CASE WHEN gone IS NULL THEN 'missing' WHEN gone THEN 'deleted' WHEN since > created_at THEN 'late' END AS kind
+      FROM refs LEFT JOIN states USING (target, target_type, study_id, ref_id)),
+reached AS (SELECT DISTINCT table_name, entity_type, study_id, sid FROM found WHERE kind IS NOT NULL
+  UNION SELECT f.table_name, f.entity_type, f.study_id, f.sid FROM found f JOIN reached r ON r.table_name = f.target AND r.entity_type = f.target_type AND r.study_id = f.study_id AND r.sid = f.ref_id WHERE f.kind IS NULL),
+every AS (SELECT * FROM found WHERE kind IS NOT NULL
+  UNION ALL SELECT f.* REPLACE ('inherited' AS kind) FROM found f SEMI JOIN reached r ON r.table_name = f.target AND r.entity_type = f.target_type AND r.study_id = f.study_id AND r.sid = f.ref_id WHERE f.kind IS NULL)
 """
-)
+    )
+
+
+_P6 = _p6(REFERENCES)
+_REPORT = "SELECT table_name, strftime(created_at, '%Y-%m') AS month, field, kind, count(*) AS n FROM every GROUP BY ALL"
 
 _P3_CELLS = """WITH readable AS (SELECT DISTINCT file_no, entity_type, record_id, file_ts, payload FROM agent_files WHERE json_valid(payload)),
 cell AS (SELECT r.*, k.key AS field, CASE k.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object'
@@ -175,6 +199,7 @@ QUERIES = {
     "p5_levels": p5_levels,
     "p6_found": p6_found,
     "p6_report": p6_report,
+    "p6_cascade": p6_cascade,
 }
 ORACLES = {
     "p1_found": _P1 + "SELECT study_id, id, diff FROM found",
@@ -187,6 +212,6 @@ SELECT entity_type, field, [x for x in ['string', 'number', 'boolean', 'object',
   min(file_ts) AS first_ts, max(file_ts) AS last_ts FROM c JOIN n USING (entity_type, field) GROUP BY ALL""",
     "p5_found": _P5,
     "p6_found": _P6 + "SELECT entity_no, field, ref_id, kind FROM found WHERE kind IS NOT NULL",
-    "p6_report": _P6
-    + "SELECT table_name, strftime(created_at, '%Y-%m') AS month, field, kind, count(*) AS n FROM found WHERE kind IS NOT NULL GROUP BY ALL",
+    "p6_report": _P6 + _REPORT,
+    "p6_cascade": _p6(SECTIONS, "parent_id") + _REPORT,
 }

@@ -22,6 +22,12 @@ def test_absent_empty_and_scalars():
     assert kids({"g": [{"id": "p", "g": [{"id": "c"}]}]}) == [("p", 0, "c"), (None, 0, "p")]
 
 
+def test_a_list_beside_a_single_object():
+    doc = {"x": [{"s": [{"a": 1}]}, {"s": {"g": [{"id": "k"}]}}, {"s": {"t": {"g": {"id": "l"}}}}]}
+    assert kids(doc) == [(None, 0, "k"), (None, 0, "l")]
+    assert {p for p in S.shred(doc) if p.endswith("a")} == {"x[].s[].a"}
+
+
 def walk(value, key, parent, out):
     """Plain recursion, to compare the level columns with."""
     if isinstance(value, dict):
@@ -41,7 +47,7 @@ leaf = st.one_of(st.none(), st.text("ab", max_size=2))
 objects = st.recursive(
     st.fixed_dictionaries({}, optional={"id": leaf, "n": leaf}),
     lambda inner: st.fixed_dictionaries(
-        {}, optional={"id": leaf, "g": st.lists(st.one_of(st.none(), inner), max_size=3), "d": st.lists(inner, max_size=3), "e": inner}
+        {}, optional={"id": leaf, "g": st.one_of(inner, st.lists(st.one_of(st.none(), inner), max_size=3)), "d": st.one_of(inner, st.lists(inner, max_size=3)), "e": inner}
     ),
     max_leaves=12,
 )
@@ -63,12 +69,14 @@ def test_operators_on_rows(spark, at):
             (3, "s", "c", "country", 1, False, json.dumps({"geographicScopes": [{"id": "x"}]})),
             (4, "s", "d", "study_amendment", 1, False, "{\"geographicScopes\": [{"),
             (5, None, None, "study_amendment", None, None, None),
+            (6, "s", "e", "study_amendment", 1, False, '{"id":"e","geographic\\u0053copes":[{"id":"esc"}]}'),
         ],
         head + ", data string",
     )
     assert sorted(map(tuple, nested.scope_children(adv).collect())) == [
         (1, "geographicScopes", "a", 0, "7"),
         (1, "geographicScopes", "a", 1, ""),
+        (6, "geographicScopes", "e", 0, "esc"),
     ]
     data = "data struct<id string, level struct<id string, code string>, intercurrentEvents array<struct<id string, name string>>>"
     obj = spark.createDataFrame(

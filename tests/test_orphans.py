@@ -1,4 +1,4 @@
-from tessera.operators.orphans import Reference, cascade, find_orphans, orphan_report, reference_rows
+from tessera.operators.orphans import Reference, find_orphans, orphan_report
 
 HEAD = "entity_no bigint, study_id string, id string, entity_type string, version int, is_deleted boolean, created_at timestamp_ntz"
 REFS = [
@@ -51,18 +51,23 @@ def test_cascade_reaches_children_of_orphans_and_ends_in_cycles(spark, at):
         (4, "s", "d", "child", 1, False, 40, (["ok"], None, None)),
     ]
     t = tables(spark, at, a, [(9, "s", "t", "top", 1, False, 1)])
-    refs = reference_rows(t, REFS)
-    direct = find_orphans(t, REFS)
-    assert rows(cascade(direct, refs), "sid", "round") == [("c", 1), ("m", 0)]
-    assert rows(orphan_report(t, REFS), "table_name", "month", "field", "kind", "n") == [
+    found = find_orphans(t, REFS)
+    assert rows(found, "sid", "kind", "round") == [("c", "inherited", 1), ("m", "missing", 0)]
+    assert rows(orphan_report(found), "table_name", "month", "field", "kind", "n") == [
         ("a", "2025-01", "parents", "inherited", 1),
         ("a", "2025-01", "top", "missing", 1),
     ]
     loop = [Reference("a", "mid", "parents", "a", "mid", many=True), Reference("a", "mid", "top", "b", "top")]
     t = tables(spark, at, [(1, "s", "x", "mid", 1, False, 1, (["y"], "gone", None)), (2, "s", "y", "mid", 1, False, 1, (["x"], None, None))], [])
-    assert rows(cascade(find_orphans(t, loop), reference_rows(t, loop)), "sid", "round") == [("x", 0), ("y", 1)]
+    assert rows(find_orphans(t, loop), "sid", "field", "kind", "round") == [("x", "parents", "inherited", 2), ("x", "top", "missing", 0), ("y", "parents", "inherited", 1)]
+
+
+def test_a_chain_longer_than_a_batch_of_rounds_is_followed_to_its_end(spark, at):
+    chain = [Reference("a", "mid", "top", "a", "mid")]
+    t = tables(spark, at, [(i, "s", f"m{i}", "mid", 1, False, 1, (None, f"m{i - 1}", None)) for i in range(1, 13)], [])
+    assert rows(find_orphans(t, chain), "entity_no", "round") == sorted(((i, i - 1) for i in range(1, 13)), key=str)
 
 
 def test_empty(spark, at):
     t = tables(spark, at, [], [])
-    assert find_orphans(t, REFS).count() == 0 and orphan_report(t, REFS).count() == 0
+    assert find_orphans(t, REFS).count() == 0 and orphan_report(find_orphans(t, REFS)).count() == 0
