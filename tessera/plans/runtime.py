@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,28 +42,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception:  # noqa: BLE001 - the context may have ended before
+        pass
+
+
 def _scratch_root(spark: SparkSession) -> str:
     """The session's own folder below spark.checkpoint.dir.
 
-    Only where that setting is absent, as in tests, is a folder of this machine
-    used. The folder goes when the driver ends.
+    A folder of this machine is used only by a local session without that
+    setting, as in tests, where every executor is on it; on a cluster a missing
+    setting is an error. The folder goes when the driver ends.
     """
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file://" + os.path.join(tempfile.gettempdir(), "tessera-scratch")
         root = _SCRATCH[app] = f"{base.rstrip('/')}/tessera-{app}"
-
-        def drop() -> None:
-            try:
-                jvm = spark.sparkContext._jvm
-                path = jvm.org.apache.hadoop.fs.Path(root)
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-            except Exception:  # noqa: BLE001 - the context may have ended before
-                pass
-
-        atexit.register(drop)
+        atexit.register(_delete, spark, root)
     return _SCRATCH[app]
 
 
@@ -71,8 +74,9 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
 
     Cuts the lineage so that a lost executor costs tasks, not whole stages, and
     a result read several times is computed once. After the write the shuffle
-    files of the job are garbage; the collectors are called so that Spark's
-    cleaner removes them now and not some time later.
+    files of the job are garbage; Spark removes them when its own objects are
+    collected, so the collectors are called now and not some time later. A
+    table that no later plan reads can be dropped with :func:`discard`.
     """
     spark = df.sparkSession
     path = f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
@@ -82,7 +86,16 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     writer.parquet(path)
     schema = df.schema
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialize` wrote; nothing may read it any more."""
+    path = getattr(df, "_scratch_path", None)
+    if path:
+        _delete(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:

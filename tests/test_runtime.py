@@ -1,3 +1,5 @@
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,3 +50,10 @@ def test_a_hot_key_reaches_the_shuffle_once_a_task(spark):
     df = spark.range(0, 50_000, 1, 4).select(F.lit("s").alias("study_id"), F.lit("hot").alias("id"), F.col("id").cast("int").alias("version"), F.lit(False).alias("is_deleted"))
     plan = live_entities(df, {"w": F.col("version")})._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_max" in plan
+
+
+def test_a_discarded_table_is_gone_and_its_folder_stays(spark):
+    kept, gone = R.materialize(spark.range(3)), R.materialize(spark.range(4))
+    R.discard(gone)
+    assert kept.count() == 3 and not glob.glob(gone._scratch_path.removeprefix("file://"))
+    R.discard(spark.range(1))
