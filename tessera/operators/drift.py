@@ -1,11 +1,12 @@
-"""Schemas that drift between files: fused types, one table, a list of changes."""
+"""Schemas that drift between files: fused types, one table, a list of changes.
 
-from __future__ import annotations
+Payloads are parsed and taken apart inside the JVM, as variants. What each file
+holds is folded to one row per file and field while it is read, so no cells are
+laid out but those of the few fields that may have been renamed.
+"""
 
-import hashlib
-import json
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,128 +14,129 @@ from tessera.plans.runtime import bounded_rows, materialize
 
 #: JSON types as bits of a tag, in the order of their branches.
 TYPES = {"string": 1, "number": 2, "boolean": 4, "object": 8, "array": 16}
-CELL_SCHEMA = (
-    "study_id string, agent_id string, entity_type string, file_no bigint, file_ts timestamp_ntz, "
-    "record_id string, field string, tag int, h1 bigint, h2 bigint"
-)
 GROUP = ["study_id", "agent_id", "entity_type"]
+#: Ends the list that a payload is put into; see :func:`readable`.
+_END = "end-of-payload-9f4b3c"
+
+
+def readable(payload: Column) -> Column:
+    """The payload as a variant, null where it isn't one valid JSON value and nothing else.
+
+    The parser ignores what follows a value, so the payload is read as the
+    first member of a list that must end with the mark right after it. Of
+    repeated keys the last one counts.
+    """
+    both = F.try_parse_json(F.concat(F.lit("["), payload, F.lit(f',"{_END}"]')))
+    mark = F.try_variant_get(both, "$[1]", "string")
+    return F.when((mark == _END) & F.variant_get(both, "$[2]", "variant").isNull(), F.variant_get(both, "$[0]", "variant"))
 
 
-def _no_constant(name: str):
-    raise ValueError(name)
+def tag_of(value: Column) -> Column:
+    """The type of a variant as a bit of a tag, 0 for null."""
+    shape = F.schema_of_variant(value)
+    return (
+        F.when(shape == "STRING", 1).when(shape == "VOID", 0).when(shape == "BOOLEAN", 4).when(shape.startswith("OBJECT"), 8).when(shape.startswith("ARRAY"), 16).otherwise(2)
+    )
 
 
-def _tag(v) -> int:
-    if isinstance(v, bool):
-        return 4
-    if isinstance(v, (int, float)):
-        return 2
-    return 1 if isinstance(v, str) else 8 if isinstance(v, dict) else 16
+def _records(files: DataFrame, *columns: str) -> DataFrame:
+    files.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return files.select(*columns, readable(F.col("payload")).alias("doc")).where("doc IS NOT NULL")
 
 
-def _number(v):
-    """Numbers that are equal get one form, so that 1 and 1.0 agree."""
-    if isinstance(v, float) and v.is_integer():
-        return int(v)
-    if isinstance(v, dict):
-        return {k: _number(x) for k, x in v.items()}
-    return [_number(x) for x in v] if isinstance(v, list) else v
+def _members(rows: DataFrame, doc: str) -> DataFrame:
+    """``rows`` with (pos, key, value) of each member of an object or array; one row with nulls where there is none."""
+    return rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col(doc).outer()))
 
 
-def cells(files: DataFrame) -> DataFrame:
-    """Field cells of readable records: ``CELL_SCHEMA``.
+def file_fields(files: DataFrame) -> DataFrame:
+    """What each file holds: (study_id, agent_id, entity_type, file_no, field, tag, n, first_ts, last_ts), written.
 
-    One row for each non-null value under a top-level key, with the type as a
-    bit of a tag and a 128-bit digest of the value, and one row with a null
-    field for each readable record. Payloads that are not valid JSON give none.
+    One row per file and top-level key with a non-null value, the alternatives
+    of its type fused into ``tag``, and one with a null field for each file
+    that has readable records. Payloads that are not valid JSON give none.
     """
-    columns = ["study_id", "agent_id", "entity_type", "file_no", "file_ts", "record_id"]
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for head, payload in zip(pdf[columns].itertuples(index=False, name=None), pdf["payload"]):
-                try:
-                    record = json.loads(payload, parse_constant=_no_constant)
-                except (ValueError, TypeError, RecursionError):
-                    continue
-                rows.append((*head, None, 0, 0, 0))
-                for k, v in record.items() if isinstance(record, dict) else ():
-                    if v is not None:
-                        text = json.dumps([_tag(v), _number(v)], sort_keys=True)
-                        digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                        rows.append((*head, k, _tag(v), *(int.from_bytes(digest[i : i + 8], "big", signed=True) for i in (0, 8))))
-            out = pd.DataFrame(rows, columns=[*columns, "field", "tag", "h1", "h2"])
-            out["file_ts"] = pd.to_datetime(out["file_ts"])
-            yield out
-
-    return files.select(*columns, "payload").mapInPandas(run, CELL_SCHEMA)
-
-
-def _previous_files(cell: DataFrame) -> DataFrame:
+    rows = _members(_records(files, *GROUP, "file_no", "file_ts"), "doc")
+    # members of arrays have no key; the record itself is counted once, by its first member
+    tag = F.when(F.col("key").isNotNull(), tag_of(F.col("value"))).otherwise(0)
+    field = F.when(tag > 0, F.col("key"))
+    return materialize(
+        rows.select(*GROUP, "file_no", "file_ts", field.alias("field"), tag.alias("tag"))
+        .groupBy(*GROUP, "file_no", "field")
+        .agg(F.bit_or("tag").alias("tag"), F.count("*").alias("n"), F.min("file_ts").alias("first_ts"), F.max("file_ts").alias("last_ts"))
+    )
+
+
+def _previous_files(fields: DataFrame) -> DataFrame:
     """(study_id, agent_id, entity_type, file_no, before): each file and the latest earlier one of its line.
 
     Files of one ``file_ts`` all have the same predecessor, the highest
     ``file_no`` of the latest earlier time. Files without time take no part.
     """
-    files = cell.where("file_ts IS NOT NULL").groupBy(*GROUP, "file_no").agg(F.max("file_ts").alias("file_ts"))
-    times = files.groupBy(*GROUP, "file_ts").agg(F.max("file_no").alias("last"), F.collect_set("file_no").alias("files"))
+    files = fields.groupBy(*GROUP, "file_no").agg(F.max("last_ts").alias("file_ts")).where("file_ts IS NOT NULL")
+    times = files.groupBy(*GROUP, "file_ts").agg(F.max("file_no").alias("last"))
     before = F.lag("last").over(Window.partitionBy(*GROUP).orderBy("file_ts")).alias("before")
-    return times.select(*GROUP, "files", before).where("before IS NOT NULL").select(*GROUP, F.explode("files").alias("file_no"), "before")
+    earlier = times.select(*GROUP, "file_ts", before).where("before IS NOT NULL")
+    return files.join(earlier, [*GROUP, "file_ts"]).select(*GROUP, "file_no", "before")
 
 
-def _both_sides(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``rows`` seen from the later file of each pair: side 'b' is the file itself, 'a' its predecessor."""
-    later = rows.join(pairs.drop("before"), [*GROUP, "file_no"], "left_semi").withColumn("side", F.lit("b"))
-    link = pairs.select(*GROUP, F.col("before").alias("file_no"), F.col("file_no").alias("later"))
-    earlier = rows.join(link, [*GROUP, "file_no"]).drop("file_no").withColumnRenamed("later", "file_no").withColumn("side", F.lit("a"))
-    return later.unionByName(earlier)
+def _sides(pairs: DataFrame) -> DataFrame:
+    """(*GROUP, file_no, later, side): side 'b' is the later file of a pair itself, 'a' its predecessor."""
+    pair = F.explode(F.array(F.struct(F.col("file_no"), F.col("file_no").alias("later"), F.lit("b").alias("side")), F.struct(F.col("before").alias("file_no"), F.col("file_no").alias("later"), F.lit("a").alias("side"))))
+    return pairs.select(*GROUP, pair.alias("x")).select(*GROUP, "x.*")
 
 
-def changes(cell: DataFrame) -> DataFrame:
-    """Schema changes against the preceding file: (study_id, agent_id, entity_type, file_no, field, change, old_field, types).
+def changes(files: DataFrame, fields: DataFrame | None = None) -> DataFrame:
+    """Schema changes against the preceding file: (study_id, agent_id, entity_type, file_no, field, change, old_field, old_types, new_types).
 
     ``removed``, ``added``, ``type`` or ``renamed``, the last under the new key
     with the old one beside it. A removed and an added field are one renaming
     when their values agree in every record that both files hold and one such
     record has a value: each field is reduced to a count and the exclusive or
     of its (record, value) digests, and equal reductions join, so no pairs of
-    records or fields are ever laid out. ``cell`` is read several times; give
-    a written table.
+    records or fields are ever laid out. Only the values of removed and added
+    fields are read for that, in files that have both. ``fields`` are those of
+    :func:`file_fields`, if there already. Rows with a null study, agent, type
+    or file number take part in no comparison.
     """
     key = [*GROUP, "file_no"]
-    pairs = materialize(_previous_files(cell))
-    fields = cell.where("field IS NOT NULL").groupBy(*key, "field").agg(F.bit_or("tag").alias("tag"))
-    sides = _both_sides(fields, pairs).groupBy(*key, "field").agg(
-        F.max(F.when(F.col("side") == "a", F.col("tag"))).alias("old"),
-        F.max(F.when(F.col("side") == "b", F.col("tag"))).alias("new"),
+    fields = (file_fields(files) if fields is None else fields).where(F.expr(" AND ".join(f"{c} IS NOT NULL" for c in key)))
+    pairs = materialize(_previous_files(fields))
+    held = fields.where("field IS NOT NULL").select(*key, "field", "tag")
+    old, new = (F.max(F.when(F.col("side") == s, F.col("tag"))) for s in ("a", "b"))
+    sides = (
+        held.join(_sides(pairs), key).groupBy(*GROUP, F.col("later").alias("file_no"), "field").agg(old.alias("old"), new.alias("new"))
     )
     change = F.when(F.col("new").isNull(), "removed").when(F.col("old").isNull(), "added").when(F.col("old") != F.col("new"), "type")
     found = materialize(sides.withColumn("change", change).where("change IS NOT NULL"))
 
-    open_files = found.groupBy(*key).agg(F.bit_or(F.when(F.col("change") == "removed", 1).when(F.col("change") == "added", 2).otherwise(0)).alias("m")).where("m = 3").drop("m")
-    seen = _both_sides(cell.select(*key, "record_id", "field", "h1", "h2"), pairs.join(open_files, key, "left_semi"))
-    shared = seen.groupBy(*key, "record_id").agg(F.count_distinct("side").alias("n")).where("n = 2").drop("n")
-    wanted = found.where("change <> 'type'").select(*key, "field", F.when(F.col("change") == "removed", "a").otherwise("b").alias("side"))
+    kinds = F.bit_or(F.when(F.col("change") == "removed", 1).when(F.col("change") == "added", 2).otherwise(0))
+    open_files = found.groupBy(*key).agg(kinds.alias("m")).where("m = 3").drop("m")
+    link = _sides(pairs.join(open_files, key, "left_semi"))
+    later = [*GROUP, "later"]
+    seen = materialize(_records(files.join(link.select(*key).distinct(), key, "left_semi"), *key, "record_id").join(link, key).drop("file_no"))
+    shared = seen.groupBy(*later, "record_id").agg((F.bool_or(F.col("side") == "a") & F.bool_or(F.col("side") == "b")).alias("both")).where("both").drop("both")
+    wanted = found.where("change <> 'type'").select(*GROUP, F.col("file_no").alias("later"), "field", F.when(F.col("change") == "removed", "a").otherwise("b").alias("side"))
+    text = F.to_json("value")
     values = (
-        seen.where("field IS NOT NULL")
-        .join(wanted, [*key, "field", "side"], "left_semi")
-        .join(shared, [*key, "record_id"], "left_semi")
-        .select(*key, "side", "field", "record_id", "h1", "h2")
+        _members(seen.where("record_id IS NOT NULL"), "doc")
+        .where("key IS NOT NULL AND NOT is_variant_null(value)")
+        .select(*later, "side", F.col("key").alias("field"), "record_id", F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"))
+        .join(wanted, [*later, "field", "side"], "left_semi")
         .distinct()
+        .join(shared, [*later, "record_id"], "left_semi")
     )
-    shape = values.groupBy(*key, "side", "field").agg(
+    shape = values.groupBy(*later, "side", "field").agg(
         F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("record_id", "h1", "h2")).alias("x1"),
         F.bit_xor(F.xxhash64(F.lit("second"), "record_id", "h2", "h1")).alias("x2"),
     )
+    shape = materialize(shape.withColumnRenamed("later", "file_no"))
     olds = shape.where("side = 'a'").select(*key, "n", "x1", "x2", F.col("field").alias("old_field"))
     news = shape.where("side = 'b'").select(*key, "n", "x1", "x2", "field")
     renamed = materialize(news.join(olds, [*key, "n", "x1", "x2"]).select(*key, "field", "old_field"))
 
-    gone = renamed.select(*key, F.col("old_field").alias("field"), F.lit("removed").alias("change")).unionByName(
-        renamed.select(*key, "field", F.lit("added").alias("change"))
-    )
+    gone = renamed.select(*key, F.explode(F.array(F.struct(F.col("old_field").alias("field"), F.lit("removed").alias("change")), F.struct(F.col("field"), F.lit("added").alias("change")))).alias("x")).select(*key, "x.*")
     rest = found.join(gone, [*key, "field", "change"], "left_anti").select(
         *key, "field", "change", F.lit(None).cast("string").alias("old_field"), _names(F.col("old")).alias("old_types"), _names(F.col("new")).alias("new_types")
     )
@@ -149,18 +151,41 @@ def _names(tag: Column) -> Column:
     return F.array_compact(F.array(*[F.when(tag.bitwiseAND(b) != 0, F.lit(n)) for n, b in TYPES.items()]))
 
 
-def fused_schema(cell: DataFrame) -> DataFrame:
-    """The fused schema with every alternative type kept: (entity_type, field, types, n_values, n_files, first_ts, last_ts)."""
+def fused_schema(fields: DataFrame) -> DataFrame:
+    """The fused schema of :func:`file_fields` with every alternative type kept: (entity_type, field, types, n_values, n_files, first_ts, last_ts)."""
     return (
-        cell.where("field IS NOT NULL")
-        .groupBy("entity_type", "field", "file_no")
-        .agg(F.bit_or("tag").alias("tag"), F.count("*").alias("n"), F.min("file_ts").alias("a"), F.max("file_ts").alias("b"))
+        fields.where("field IS NOT NULL")
         .groupBy("entity_type", "field")
-        .agg(F.bit_or("tag").alias("tag"), F.sum("n").alias("n_values"), F.count("*").alias("n_files"), F.min("a").alias("first_ts"), F.max("b").alias("last_ts"))
+        .agg(F.bit_or("tag").alias("tag"), F.sum("n").alias("n_values"), F.count_distinct("file_no").alias("n_files"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
         .select("entity_type", "field", _names(F.col("tag")).alias("types"), "n_values", "n_files", "first_ts", "last_ts")
     )
 
 
+def path_schema(files: DataFrame) -> DataFrame:
+    """The fused schema of whole payloads: (entity_type, path, types, n_values), paths like ``a.b[].c``.
+
+    Every key and list member at any depth is a path of its own with all its
+    alternative types; ``[]`` stands for the members of a list, the empty path
+    for the payload itself. Nulls count for nothing. One round per level of
+    nesting, each over what is left to be opened, folded as it is read.
+    """
+    open_rows = materialize(_records(files, "entity_type").select("entity_type", F.lit("").alias("path"), F.col("doc").alias("value")))
+    levels = []
+    while True:
+        marked = open_rows.withColumn("tag", tag_of(F.col("value")))
+        levels.append(marked.where("tag > 0").groupBy("entity_type", "path").agg(F.bit_or("tag").alias("tag"), F.count("*").alias("n")))
+        # names with dots, brackets or blanks stay as they are written
+        name = F.when(F.col("key").isNull(), F.lit("[]")).otherwise(F.concat(F.when(F.col("path") == "", "").otherwise("."), F.col("key")))
+        inner = _members(marked.where("tag >= 8").select("entity_type", "path", F.col("value").alias("doc")), "doc").where("pos IS NOT NULL AND NOT is_variant_null(value)")
+        open_rows = materialize(inner.select("entity_type", F.concat("path", name).alias("path"), "value"))
+        if open_rows.isEmpty():
+            break
+    out = levels[0]
+    for x in levels[1:]:
+        out = out.unionByName(x)
+    return out.select("entity_type", "path", _names(F.col("tag")).alias("types"), F.col("n").alias("n_values"))
+
+
 def unified(files: DataFrame, schema: DataFrame, renamings: DataFrame | None = None) -> DataFrame:
     """All readable records in one consistent table, by a projection alone.
 
@@ -204,8 +229,7 @@ def unified(files: DataFrame, schema: DataFrame, renamings: DataFrame | None = N
         return out
 
     cast = {"string": "string", "number": "double", "boolean": "boolean", "object": "string", "array": "string"}
-    doc = F.try_parse_json("payload")
-    source = files.select(*fixed, doc.alias("__v")).where("__v IS NOT NULL")
+    source = _records(files, *fixed).withColumnRenamed("doc", "__v")
 
     def path(name: str) -> str:
         return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
@@ -221,13 +245,6 @@ def unified(files: DataFrame, schema: DataFrame, renamings: DataFrame | None = N
             out.append(pick(names, cast[kinds[0]]).alias(fresh(name)))
             continue
         out.append(pick(names, "string").alias(fresh(name)))
-        shape = F.schema_of_variant(pick(names, "variant"))
-        is_kind = {
-            "string": shape == "STRING",
-            "boolean": shape == "BOOLEAN",
-            "object": shape.startswith("OBJECT"),
-            "array": shape.startswith("ARRAY"),
-        }
-        is_kind["number"] = shape.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-        out += [F.when(is_kind[k], pick(names, cast[k])).alias(fresh(f"{name}__{k}")) for k in kinds]
+        tag = tag_of(pick(names, "variant"))
+        out += [F.when(tag == TYPES[k], pick(names, cast[k])).alias(fresh(f"{name}__{k}")) for k in kinds]
     return source.dropDuplicates(["file_no", "record_no", "entity_type", "record_id"]).select(*fixed, *out)

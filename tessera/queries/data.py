@@ -32,20 +32,33 @@ def p1_by_study(spark, d):
 
 def p3_found(spark, d):
     """Changes of shape from one output file to the next."""
-    cell = materialize(drift.cells(table(spark, d, "agent_files")))
-    return drift.changes(cell).select("file_no", "entity_type", "field", "change")
+    return drift.changes(table(spark, d, "agent_files")).select("file_no", "entity_type", "field", "change")
 
 
 def p3_schema(spark, d):
     """The fused schema of all readable records, alternative types kept."""
-    return drift.fused_schema(drift.cells(table(spark, d, "agent_files")))
+    return drift.fused_schema(drift.file_fields(table(spark, d, "agent_files")))
+
+
+def p3_paths(spark, d):
+    """The same at every depth of the payloads."""
+    return drift.path_schema(table(spark, d, "agent_files"))
 
 
 def p3_unified(spark, d):
     """All readable records in one consistent table."""
     files = table(spark, d, "agent_files")
-    cell = materialize(drift.cells(files))
-    return drift.unified(files, drift.fused_schema(cell), drift.changes(cell).where("change = 'renamed'"))
+    fields = drift.file_fields(files)
+    return drift.unified(files, drift.fused_schema(fields), drift.changes(files, fields).where("change = 'renamed'"))
+
+
+def p3_unified_counts(spark, d):
+    """How many records have a value in each column of the consistent table, renamings left apart."""
+    files = table(spark, d, "agent_files")
+    wide = drift.unified(files, drift.fused_schema(drift.file_fields(files)))
+    names = wide.columns[8:]
+    counts = wide.agg(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.count(F.col(f"`{c}`")) for c in names])).alias("m"))
+    return counts.select(F.explode("m").alias("column_name", "n"))
 
 
 def p5_found(spark, d):
@@ -194,7 +207,9 @@ QUERIES = {
     "p1_by_study": p1_by_study,
     "p3_found": p3_found,
     "p3_schema": p3_schema,
+    "p3_paths": p3_paths,
     "p3_unified": p3_unified,
+    "p3_unified_counts": p3_unified_counts,
     "p5_found": p5_found,
     "p5_levels": p5_levels,
     "p6_found": p6_found,
@@ -210,6 +225,17 @@ ORACLES = {
 n AS (SELECT k.key AS field, a.entity_type, count(*) AS n FROM agent_files a, json_each(a.payload) k WHERE json_valid(a.payload) AND k.type <> 'NULL' GROUP BY ALL)
 SELECT entity_type, field, [x for x in ['string', 'number', 'boolean', 'object', 'array'] if list_contains(list(DISTINCT tag), x)] AS types, any_value(n) AS n_values, count(DISTINCT file_no) AS n_files,
   min(file_ts) AS first_ts, max(file_ts) AS last_ts FROM c JOIN n USING (entity_type, field) GROUP BY ALL""",
+    "p3_paths": r"""SELECT entity_type, regexp_replace(regexp_replace(fullkey[2:], '\[\d+\]', '[]', 'g'), '^\.', '') AS path,
+  [x for x in ['string', 'number', 'boolean', 'object', 'array'] if list_contains(list(DISTINCT CASE j.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'number' END), x)] AS types, count(*) AS n_values
+FROM (SELECT entity_type, payload FROM agent_files WHERE json_valid(payload)) f, json_tree(f.payload) j WHERE j.type <> 'NULL' GROUP BY ALL""",
+    "p3_unified_counts": """WITH r AS (SELECT DISTINCT ON (file_no, record_no, entity_type, record_id) payload FROM agent_files WHERE json_valid(payload)),
+c AS (SELECT k.key, CASE k.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'number' END AS t
+  FROM r, json_each(r.payload) k WHERE k.type <> 'NULL'),
+n AS (SELECT *, count(DISTINCT t) OVER (PARTITION BY key) AS kinds FROM c),
+w AS (SELECT key, key AS name, count(*) AS n FROM n GROUP BY 1 UNION ALL SELECT key, key || '__' || t, count(*) FROM n WHERE kinds > 1 GROUP BY 1, t, 2),
+-- names that differ in case only, or are those of head columns, get a number
+o AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY key) + (lower(name) IN ('file_no', 'file_name', 'study_id', 'agent_id', 'file_ts', 'record_no', 'entity_type', 'record_id'))::INT AS i FROM w)
+SELECT name || CASE WHEN i > 1 THEN '_' || i ELSE '' END AS column_name, n FROM o""",
     "p5_found": _P5,
     "p6_found": _P6 + "SELECT entity_no, field, ref_id, kind FROM found WHERE kind IS NOT NULL",
     "p6_report": _P6 + _REPORT,

@@ -3,7 +3,6 @@ import json
 import pytest
 
 from tessera.operators import drift
-from tessera.plans.runtime import materialize
 
 SCHEMA = (
     "file_no bigint, file_name string, study_id string, agent_id string, file_ts timestamp_ntz, received_at timestamp_ntz, "
@@ -24,7 +23,7 @@ def files(spark, at):
 
 
 def found(df):
-    rows = drift.changes(materialize(drift.cells(df))).select("file_no", "field", "change", "old_field").collect()
+    rows = drift.changes(df).select("file_no", "field", "change", "old_field").collect()
     return sorted((tuple(r) for r in rows), key=str)
 
 
@@ -74,13 +73,34 @@ def test_schema_keeps_alternatives_and_table_splits_them(files):
         (2, 2, "a", {"v": "one", "only": "z", "V": True}),
         (3, 3, "a", {"v": [1, 2], "renamed": "z"}),
     ])
-    schema = drift.fused_schema(drift.cells(df))
+    fields = drift.file_fields(df)
+    schema = drift.fused_schema(fields)
     assert {r["field"]: r["types"] for r in schema.collect()}["v"] == ["string", "number", "array"]
-    cell = materialize(drift.cells(df))
-    out = drift.unified(df, schema, drift.changes(cell).where("change = 'renamed'"))
+    out = drift.unified(df, schema, drift.changes(df, fields).where("change = 'renamed'"))
     rows = {r["file_no"]: r.asDict() for r in out.collect()}
     assert rows[1]["v__number"] == 1.0 and rows[2]["v__number"] is None
     assert rows[2]["v__string"] == "one" and rows[1]["v__string"] is None
     assert rows[3]["v__array"] == "[1,2]" and rows[3]["v_2"] == "[1,2]" and rows[1]["v_2"] == "1"
     assert rows[3]["only"] == "z"  # the renamed field goes on under the most used name
     assert rows[1]["File_No_2"] == "y" and rows[2]["V"] is True
+
+
+def test_only_one_whole_json_value_is_readable(spark):
+    texts = ['{"a":1}', ' {"a":1} ', '{"a":1} x', '{"a":1}}', '{"a":1},{"b":2}', '{"a":1}],[{"b":2}', '{"a":1', "", None, "NaN", '{"a":NaN}', '{"a":1,"a":2}', "null", '"s"', "[1]"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, payload string")
+    got = {r["i"] for r in drift._records(df, "i").select("i").collect()}
+    assert got == {0, 1, 11, 12, 13, 14}
+
+
+def test_paths_at_any_depth_keep_their_alternatives(files):
+    df = files([
+        (1, 1, "a", {"p": {"q": [1, "x", {"r": None, "s": True}]}, "e": {}}),
+        (2, 2, "a", {"p": "text", "e": [[2]]}),
+        (2, 2, "a", "{\"cut"),
+    ])
+    got = {r["path"]: (r["types"], r["n_values"]) for r in drift.path_schema(df).collect()}
+    assert got == {
+        "": (["object"], 2), "p": (["string", "object"], 2), "p.q": (["array"], 1), "p.q[]": (["string", "number", "object"], 3), "p.q[].s": (["boolean"], 1),
+        "e": (["object", "array"], 2), "e[]": (["array"], 1), "e[][]": (["number"], 1),
+    }
+    assert drift.path_schema(files([])).count() == 0
