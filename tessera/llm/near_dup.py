@@ -20,9 +20,8 @@ similarity of at least ``threshold``. The steps:
    first, n - ceil(threshold n) + 1 of them), of which similar bags always
    share one, so the split loses nothing. A posting carries the rank of its
    value, so a value met through several parts of its list counts once.
-5. Union-sketch estimate: of the min(k, size) smallest values of the union the
-   share that both texts hold, from the ranks of the shared ones. Pairs below
-   :func:`least_share` go.
+5. Union-sketch estimate: the overlap's share in the min(k, size) smallest
+   values of the union. Pairs below :func:`least_share` go.
 6. A parity sketch of 256 bits of each bag bounds how much two bags differ at
    least; pairs that differ too much for the threshold go, none wrongly.
 7. The exact similarity of the two bags decides.
@@ -48,10 +47,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.wording import WORD, Hashes, mix, rolling, words
-from tessera.plans.runtime import materialize
+from tessera.plans.runtime import discard, materialize
 
 SKETCH_SCHEMA = "id bigint, hi bigint, lo bigint, n int, size int, odd array<bigint>, sketch array<bigint>, plain array<bigint>, plain_rank array<tinyint>"
-#: Largest k: ranks of retained values are bits of one long.
+#: Largest k: ranks of retained values are bits of one long; the number itself marks values whose lists aren't split.
 MOST_RANKS = 63
 #: Words from which a text is listed by single elements in exact mode, since its pairs of elements would be too many.
 LONG_BAG = 400
@@ -212,60 +211,51 @@ def least_share(threshold: float, shingle: int, k: int, sigmas: float = 3.0) ->
     return max(0.0, share - sigmas * math.sqrt(share * (1 - share) / k))
 
 
-def candidate_pairs(classes: DataFrame, threshold: float, k: int, min_overlap: int, share: float) -> DataFrame:
-    """Pairs of class representatives that pass the union-sketch estimate: (a, b, overlap).
+def candidate_pairs(classes: DataFrame, threshold: float, min_overlap: int) -> DataFrame:
+    """Pairs of class representatives that share ``min_overlap`` retained values: (a, b, overlap).
 
-    ``classes`` has (id, n, size, sketch, plain, plain_rank). Bags whose sizes
-    alone forbid the threshold don't meet: the logarithm of the size rides with
-    each posting, beside the rank of the value and the size of the sketch.
-
-    The shared value number p (from 0) of ranks i and j has the rank i + j - p
-    in the union. If the last one lies within the union sketch all do and the
-    estimate is overlap / min(k, size of the union); else it is at most
-    (overlap - 1) / k.
+    ``classes`` has (id, n, sketch, plain, plain_rank). Bags whose sizes alone
+    forbid the threshold don't meet: the logarithm of the size rides with each
+    posting, and with those of split lists the rank of the value.
     """
     step = 0.05
     bin_of = F.least(F.lit(250), F.floor(F.log(F.col("n").cast("double")) / step)).cast("long")
     width = math.ceil(-math.log(threshold) / step) + 1
-    # one long for (id, rank, sketch size, size bin): the posting stays at two longs in the shuffle
-    head = F.shiftleft("id", 20) + F.shiftleft("size", 8) + bin_of
-    rare = classes.select(F.posexplode("sketch").alias("r", "v"), head.alias("h"), "size")
-    ranked = rare.select("v", (F.col("h") + F.when(F.col("size") > 0, F.shiftleft(F.col("r").cast("long"), 14)).otherwise(0)).alias("p"))
+    # one long for (id, rank, size bin): the posting stays at two longs in the shuffle
+    head = F.shiftleft("id", 14) + bin_of
+    whole = classes.select(F.explode("sketch").alias("v"), (head + (MOST_RANKS << 8)).alias("p"))
     plain = classes.where(F.size("plain") > 0).select(F.explode(F.arrays_zip("plain", "plain_rank")).alias("x"), head.alias("h"))
-    post = ranked.unionByName(plain.select(F.col("x.plain").alias("v"), (F.col("h") + F.shiftleft(F.col("x.plain_rank").cast("long"), 14)).alias("p")))
+    post = whole.unionByName(plain.select(F.col("x.plain").alias("v"), (F.col("h") + F.shiftleft(F.col("x.plain_rank").cast("long"), 8)).alias("p")))
     a, b = post.alias("a"), post.alias("b")
     met = a.join(b, (F.col("a.v") == F.col("b.v")) & (F.col("a.p") < F.col("b.p"))).where(
         F.abs(F.pmod(F.col("a.p"), F.lit(256)) - F.pmod(F.col("b.p"), F.lit(256))) <= width
     )
-    part = lambda p, at, bits: F.shiftright(p, at).bitwiseAND(F.lit((1 << bits) - 1))
-    bit = lambda p: F.expr(f"shiftleft(1L, cast(shiftright({p}, 14) & 63 AS int))")
-    pairs = (
-        met.groupBy(F.shiftright("a.p", 20).alias("a"), F.shiftright("b.p", 20).alias("b"))
-        .agg(F.bit_or(bit("a.p")).alias("ma"), F.bit_or(bit("b.p")).alias("mb"), F.max(part("a.p", 8, 6)).alias("na"), F.max(part("b.p", 8, 6)).alias("nb"))
-        .where("a <> b")
-        .withColumn("overlap", F.bit_count("ma"))
+    rank = F.expr(f"cast(shiftright(a.p, 8) & {MOST_RANKS} AS int)")
+    return (
+        met.groupBy(F.shiftright("a.p", 14).alias("a"), F.shiftright("b.p", 14).alias("b"))
+        .agg(F.count_if(rank == MOST_RANKS).alias("n"), F.bit_or(F.when(rank < MOST_RANKS, F.expr(f"shiftleft(1L, cast(shiftright(a.p, 8) & {MOST_RANKS} AS int))")).otherwise(0)).alias("m"))
+        .select("a", "b", (F.col("n") + F.bit_count("m")).alias("overlap"))
         .where(F.col("overlap") >= min_overlap)
+        .where("a <> b")
     )
-    if share <= 0:
-        return pairs.select("a", "b", "overlap")
-    top = lambda m: F.length(F.bin(m)) - 1
-    inside = top("ma") + top("mb") - F.col("overlap") + 1 < k
-    estimate = F.when(inside, F.col("overlap") / F.least(F.lit(k), F.col("na") + F.col("nb") - F.col("overlap"))).otherwise((F.col("overlap") - 1) / k)
-    return pairs.where(estimate >= share).select("a", "b", "overlap")
 
 
-def close_enough(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose parity sketches allow the threshold: (a, b).
+def close_enough(pairs: DataFrame, signed: DataFrame, threshold: float, k: int, share: float) -> DataFrame:
+    """Pairs whose union sketches and parity sketches allow the threshold: (a, b).
 
-    Bags of n and m elements with a similarity of t or more differ in at most
-    (1 - t) / (1 + t) x (n + m) elements, and two parity sketches never differ
-    in more bits than the bags in elements.
+    The union sketch of two texts has min(k, size of the union) values, of
+    which ``overlap`` are shared at most; pairs with less than ``share`` of it
+    go. Bags of n and m elements with a similarity of t or more differ in at
+    most (1 - t) / (1 + t) x (n + m) elements, and two parity sketches never
+    differ in more bits than the bags in elements.
     """
     t = Fraction(str(threshold))
-    side = lambda s: signed.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("odd").alias(f"odd_{s}"))
+    side = lambda s: signed.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("size").alias(f"size_{s}"), F.col("odd").alias(f"odd_{s}"))
     bits = [F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(4)]
     differ = bits[0] + bits[1] + bits[2] + bits[3]
-    met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    if share > 0:
+        met = met.where(F.col("overlap") >= share * F.least(F.lit(k), F.col("size_a") + F.col("size_b") - F.col("overlap")))
     p, q = t.numerator, t.denominator
     return met.where(differ * (q + p) <= (F.col("n_a") + F.col("n_b")) * (q - p)).select("a", "b")
 
@@ -308,7 +298,7 @@ class NearDuplicates:
         threshold: float = 0.8,
         min_words: int = 5,
         shingle: int = 5,
-        k: int = 40,
+        k: int = 32,
         min_overlap: int = 2,
         common_share: float = 1 / 8000,
         exact: bool = False,
@@ -319,19 +309,22 @@ class NearDuplicates:
             raise ValueError(f"k must be from 1 to {MOST_RANKS}")
         self.texts = texts
         common = common_words(texts, common_share)
-        signed = self.signed = materialize(sketches(texts, common, shingle, k, threshold, min_words, exact))
+        whole = materialize(sketches(texts, common, shingle, k, threshold, min_words, exact))
+        signed = self.signed = materialize(whole.drop("sketch", "plain", "plain_rank"))
         bag = ["hi", "lo", "n"]
         reps = signed.groupBy(*bag).agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1")
         self.members = materialize(signed.select("id", *bag).join(reps, bag).select("id", "rep", "c"))
         # a text shorter than k + shingle - 1 words has fewer values and its sketch is the whole of them
         share = 0.0 if exact else least_share(threshold, shingle, k)
-        met = materialize(candidate_pairs(self._representatives(), threshold, k, 1 if exact else min_overlap, share))
-        pairs = materialize(close_enough(met, signed, threshold))
+        met = materialize(candidate_pairs(self._representatives(whole), threshold, 1 if exact else min_overlap))
+        discard(whole)
+        pairs = materialize(close_enough(met, signed, threshold, k, share))
+        discard(met)
         self.links = materialize(verified(pairs, texts, threshold))
 
-    def _representatives(self) -> DataFrame:
+    def _representatives(self, whole: DataFrame) -> DataFrame:
         """The sketches without those of further copies."""
-        return self.signed.join(sent_if_few(self.members.where("id <> rep").select("id")), "id", "left_anti")
+        return whole.join(sent_if_few(self.members.where("id <> rep").select("id")), "id", "left_anti")
 
     def pairs(self) -> DataFrame:
         """Every similar pair of ids: (a, b), a < b; copies are laid out."""
