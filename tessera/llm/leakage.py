@@ -7,13 +7,17 @@ join finds it: the shingles of each window are ordered by their frequency in
 the corpus, of which a containment of 1 needs only the first, the rarest; a
 shingle met at word p of a document and at offset o of a window fixes the
 window's place, p - o, which must lie inside the document (positional and
-length bounds); there the words are compared one by one.
+length bounds); there the words themselves are compared.
+
+The corpus is read twice whatever the number of items: once to count the
+shingles that items have, once to give out the surroundings of the chosen
+ones. Which shingles those are the readers know from a bit set of bounded size
+that may say yes too often, never no; the joins settle it.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.wording import WORD, Hashes, rolling
-from tessera.plans.runtime import row_blocks, spread
+from tessera.llm.wording import WORD, Hashes, mix, rolling
+from tessera.plans.runtime import materialize, spread
 
 #: Soft hyphens, zero-width spaces and hyphens before a line break vanish, with the break.
 _GONE = re.compile("[\u00ad\u200b]|-(?:\r\n|\n)")
@@ -37,66 +41,108 @@ def clean_words(text: str | None) -> list[str]:
     return WORD.findall(text.lower())
 
 
-class ItemIndex:
-    """Windows of a block of items and their shingles, by shingle size.
+WINDOW_SCHEMA = "item_id bigint, words string, size int, length int"
+#: Largest bit set sent to the readers, in bits; beyond it they pass more on to the join.
+MOST_BITS = 1 << 27
+#: Bits of the set that each member sets.
+PROBES = 4
+
+
+def item_windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
+    """Windows of each item: ``WINDOW_SCHEMA``, distinct within an item.
 
-    Items shorter than ``shingle`` have a shingle size of their own, so there
-    are at most ``shingle`` sizes. Items without words have no window.
+    ``size`` is the number of words of its shingles, which is smaller than
+    ``shingle`` for windows that are shorter. Items without words have none.
     """
 
-    def __init__(self, items: list[tuple[int, str]], window: int, shingle: int):
+    def run(batches: Iterator[pd.DataFrame]):
+        names = [c.split()[0] for c in WINDOW_SCHEMA.split(", ")]
+        for pdf in batches:
+            rows: list[tuple] = []
+            for item, text in zip(pdf["item_id"].tolist(), pdf["text"]):
+                w = clean_words(text)
+                for i in range(max(1, len(w) - window + 1) if w else 0):
+                    part = w[i : i + window]
+                    rows.append((item, " ".join(part), min(shingle, len(part)), len(part)))
+                    if len(rows) >= 20_000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+            yield pd.DataFrame(rows, columns=names)
+
+    return items.select("item_id", "text").mapInPandas(run, WINDOW_SCHEMA).distinct()
+
+
+def window_shingles(windows: DataFrame) -> DataFrame:
+    """The shingles of each distinct window: (words, size, length, offset, shingle)."""
+
+    def run(batches: Iterator[pd.DataFrame]):
         hashes = Hashes()
-        seen: dict[bytes, list[int]] = defaultdict(list)
-        for item, text in items:
-            w = np.fromiter((hashes[x] for x in clean_words(text)), dtype=np.uint64)
-            for i in range(max(1, len(w) - window + 1) if len(w) else 0):
-                seen[w[i : i + window].tobytes()].append(item)
-        self.windows = [np.frombuffer(b, dtype=np.uint64) for b in seen]
-        self.items = [sorted(set(x)) for x in seen.values()]
-        self.shingle = [min(shingle, len(w)) for w in self.windows]
-        self.vocabulary: dict[int, np.ndarray] = {}
-        for size in sorted(set(self.shingle)):
-            runs = [rolling(w, size) for w, s in zip(self.windows, self.shingle) if s == size]
-            self.vocabulary[size] = np.unique(np.concatenate(runs))
-
-    def choose(self, counts: dict[tuple[int, int], int]) -> None:
-        """Keep for each window its rarest shingle only; ties fall to the first."""
-        probe: dict[int, dict[int, list[tuple[int, int]]]] = {s: defaultdict(list) for s in self.vocabulary}
-        for k, (w, size) in enumerate(zip(self.windows, self.shingle)):
-            runs = rolling(w, size).tolist()
-            o = min(range(len(runs)), key=lambda i: (counts.get((size, runs[i]), 0), i))
-            if counts.get((size, runs[o]), 0):
-                probe[size][runs[o]].append((k, o))
-        self.probe = {s: dict(p) for s, p in probe.items() if p}
-        self.vocabulary = {s: np.array(sorted(p), dtype=np.uint64) for s, p in self.probe.items()}
+        for pdf in batches:
+            rows = []
+            for words, size, length in zip(pdf["words"], pdf["size"].tolist(), pdf["length"].tolist()):
+                flat = np.fromiter((hashes[x] for x in words.split(" ")), dtype=np.uint64, count=length)
+                rows += [(words, size, length, o, x) for o, x in enumerate(rolling(flat, size).view(np.int64).tolist())]
+            yield pd.DataFrame(rows, columns=["words", "size", "length", "offset", "shingle"])
+
+    distinct = windows.select("words", "size", "length").distinct()
+    return distinct.mapInPandas(run, "words string, size int, length int, offset int, shingle bigint")
+
+
+class Members:
+    """A set of (size, shingle) as bits: none is missed, a few others pass."""
+
+    def __init__(self, rows: DataFrame):
+        """``rows`` has (size, shingle). Its bits are put together by the cluster; the driver gets at most MOST_BITS / 64 longs."""
+        n = rows.count()
+        self.bits = 1 << min(MOST_BITS.bit_length() - 1, max(10, (16 * n).bit_length()))
+        self.sizes = sorted(r["size"] for r in rows.select("size").distinct().collect())
+        bits = self.bits
+
+        def run(batches: Iterator[pd.DataFrame]):
+            for pdf in batches:
+                if len(pdf):
+                    at = np.concatenate(list(_places(pdf["shingle"].to_numpy().view(np.uint64), pdf["size"].to_numpy().astype(np.uint64), bits)))
+                    yield pd.DataFrame({"at": np.unique(at)})
+
+        places = rows.select("size", "shingle").mapInPandas(run, "at bigint")
+        words = places.groupBy(F.shiftright("at", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("b")).toPandas()
+        self.words = np.zeros(bits // 64, dtype=np.uint64)
+        self.words[words["w"].to_numpy()] = words["b"].to_numpy().astype(np.int64).view(np.uint64)
 
     def hits(self, flat: np.ndarray):
-        """(size, positions, shingles) of the words whose runs are in the vocabulary."""
-        for size, known in self.vocabulary.items():
+        """(size, positions, shingles) of the words at which a shingle of the set may start."""
+        for size in self.sizes:
             runs = rolling(flat, size)
-            if len(runs) and len(known):
-                at = np.searchsorted(known, runs)
-                at[at == len(known)] = 0
-                pos = np.flatnonzero(known[at] == runs)
-                if len(pos):
-                    yield size, pos, runs[pos]
+            pos = np.arange(len(runs))
+            for at in _places(runs, np.uint64(size), self.bits, lambda: pos):
+                pos = pos[(self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1]
+            if len(pos):
+                yield size, pos, runs[pos]
+
+
+def _places(shingles: np.ndarray, size, bits: int, left=None):
+    """The bits of shingles, probe by probe; ``left`` tells which of them are still of interest."""
+    with np.errstate(over="ignore"):
+        mixed = shingles ^ (size * np.uint64(0x9E3779B97F4A7C15))
+    for probe in range(PROBES):
+        some = mixed if left is None else mixed[left()]
+        yield (mix(some, 11 + probe) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _flat(texts, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: list[list[str]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a batch one after the other, and where each text starts."""
-    lists = [clean_words(t) for t in texts]
     starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, lists), "int64", len(lists)))))
     return np.fromiter((hashes[x] for w in lists for x in w), dtype=np.uint64, count=int(starts[-1])), starts
 
 
-def shingle_counts(documents: DataFrame, index: ItemIndex) -> DataFrame:
-    """How often each shingle of the items stands in the corpus: (size, shingle, n)."""
-    sent = documents.sparkSession.sparkContext.broadcast(index)
+def shingle_counts(documents: DataFrame, members: Members) -> DataFrame:
+    """How often each shingle of the set stands in the corpus: (size, shingle, n), with a few others."""
+    sent = documents.sparkSession.sparkContext.broadcast(members)
 
     def run(batches: Iterator[pd.DataFrame]):
         hashes, known = Hashes(), sent.value
         for pdf in batches:
-            flat, starts = _flat(pdf["text"], hashes)
+            flat, starts = _flat([clean_words(t) for t in pdf["text"]], hashes)
             for size, pos, runs in known.hits(flat):
                 inside = np.searchsorted(starts, pos, side="right") == np.searchsorted(starts, pos + size - 1, side="right")
                 value, n = np.unique(runs[inside], return_counts=True)
@@ -105,54 +151,54 @@ def shingle_counts(documents: DataFrame, index: ItemIndex) -> DataFrame:
     return documents.select("text").mapInPandas(run, "size int, shingle bigint, n bigint").groupBy("size", "shingle").agg(F.sum("n").alias("n"))
 
 
-def contained(documents: DataFrame, index: ItemIndex) -> DataFrame:
-    """(doc_id, item_id) for each window of the index that stands in a document."""
-    sent = documents.sparkSession.sparkContext.broadcast(index)
+def surroundings(documents: DataFrame, members: Members, window: int) -> DataFrame:
+    """The words around each shingle of the set: (doc_id, size, shingle, lead, around).
+
+    ``around`` has all words that a window over the shingle can have, ``lead``
+    of them before the shingle.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(members)
 
     def run(batches: Iterator[pd.DataFrame]):
         hashes, known = Hashes(), sent.value
+        names = ["doc_id", "size", "shingle", "lead", "around"]
         for pdf in batches:
-            flat, starts = _flat(pdf["text"], hashes)
-            ids = pdf["doc_id"].tolist()
-            found = set()
+            lists = [clean_words(t) for t in pdf["text"]]
+            flat, starts = _flat(lists, hashes)
+            ids, rows = pdf["doc_id"].tolist(), []
             for size, pos, runs in known.hits(flat):
                 doc = np.searchsorted(starts, pos, side="right") - 1
-                for p, h, i in zip(pos.tolist(), runs.tolist(), doc.tolist()):
-                    for k, o in known.probe[size][h]:
-                        w = known.windows[k]
-                        begin = p - o
-                        if begin >= starts[i] and begin + len(w) <= starts[i + 1] and np.array_equal(flat[begin : begin + len(w)], w):
-                            found.update((ids[i], item) for item in known.items[k])
-            yield pd.DataFrame(sorted(found, key=str), columns=["doc_id", "item_id"]).astype({"item_id": "int64"})
+                for p, h, i in zip((pos - starts[doc]).tolist(), runs.view(np.int64).tolist(), doc.tolist()):
+                    w = lists[i]
+                    if p + size <= len(w):
+                        first = max(0, p - window + size)
+                        rows.append((ids[i], size, h, p - first, " ".join(w[first : p + window])))
+            yield pd.DataFrame(rows, columns=names).astype({"size": "int32", "lead": "int32", "shingle": "int64"})
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id bigint, item_id bigint")
+    return documents.select("doc_id", "text").mapInPandas(run, "doc_id bigint, size int, shingle bigint, lead int, around string")
 
 
-def leaked(documents: DataFrame, items: DataFrame, window: int = 12, shingle: int = 5, block: int = 5_000) -> DataFrame:
+def leaked(documents: DataFrame, items: DataFrame, window: int = 12, shingle: int = 5) -> DataFrame:
     """Documents that hold an item fully or partly: (doc_id, item_id), distinct.
 
-    Items are held-out material and don't grow with the corpus; they are taken
-    in blocks of at most ``block`` items, and the index of one block is what
-    goes to every worker, so its size is bounded whatever the number of items.
-    Each block reads the corpus twice, once to count and once to look up; texts
-    are never shuffled. Null and blank texts and items without words give no
-    rows; equal items are all reported; a null ``doc_id`` stays null.
+    Texts are never shuffled, only the surroundings of shingles that are the
+    rarest of some window; nothing of the items is held by the driver or sent
+    to the readers but a bit set of at most MOST_BITS. Null and blank texts and
+    items without words give no rows; equal items are all reported; a null
+    ``doc_id`` stays null, an item without id takes no part.
     """
-    out = None
     documents = spread(documents.select("doc_id", "text"))
-    for rows in row_blocks(items.where("item_id IS NOT NULL").select("item_id", "text").distinct(), block):
-        index = ItemIndex([(r["item_id"], r["text"]) for r in rows], window, shingle)
-        if not index.windows:
-            continue
-        # at most one row for each distinct shingle of the block
-        counts = {(r["size"], r["shingle"] % (1 << 64)): r["n"] for r in shingle_counts(documents, index).collect()}
-        index.choose(counts)
-        if index.probe:
-            part = contained(documents, index)
-            out = part if out is None else out.unionByName(part)
-    if out is None:
-        return documents.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint")
-    return out.distinct()
+    windows = materialize(item_windows(items.where("item_id IS NOT NULL"), window, shingle))
+    parts = materialize(window_shingles(windows))
+    counts = shingle_counts(documents, Members(parts.select("size", "shingle").distinct()))
+    # a window of which a shingle is missing in the corpus stands nowhere
+    rarest = F.min(F.struct("n", "offset", "shingle")).alias("r")
+    chosen = parts.join(counts, ["size", "shingle"]).groupBy("words", "size", "length").agg(rarest, F.count("*").alias("there"))
+    chosen = materialize(chosen.where("there = length - size + 1").select("words", "size", "length", "r.offset", "r.shingle"))
+    around = surroundings(documents, Members(chosen.select("size", "shingle").distinct()), window)
+    begin = F.col("lead") - F.col("offset")
+    placed = around.join(chosen, ["size", "shingle"]).where((begin >= 0) & (F.slice(F.split("around", " "), begin + 1, F.col("length")) == F.split("words", " ")))
+    return placed.select("doc_id", "words").distinct().join(windows.select("item_id", "words"), "words").select("doc_id", "item_id").distinct()
 
 
 def leaked_items(found: DataFrame, items: DataFrame) -> DataFrame:

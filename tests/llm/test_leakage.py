@@ -1,5 +1,6 @@
 import random
 
+from tessera.llm import leakage
 from tessera.llm.leakage import clean_words, leaked, leaked_items
 
 
@@ -33,9 +34,24 @@ def test_against_brute_force(spark):
             k = rng.randrange(len(part))
             w[5:5] = part[k : k + rng.choice([5, 12, 20])]
         docs.append((i, ", ".join(w)))
-    for block in (7, 1000):
-        got = [tuple(r) for r in run(spark, docs, items, block=block)[2].collect()]
-        assert len(got) == len(set(got)) and set(got) == brute(docs, items, 12)
+    got = [tuple(r) for r in run(spark, docs, items)[2].collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(docs, items, 12)
+
+
+def test_a_bit_set_that_is_too_small_costs_time_but_no_result(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "MOST_BITS", 1 << 10)
+    rng = random.Random(7)
+    vocabulary = [f"v{i}" for i in range(30)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=40))) for i in range(60)]
+    docs = [(i, " ".join(rng.choices(vocabulary, k=30) + items[i % 60][1].split()[3 : 3 + i % 20])) for i in range(60)]
+    assert {tuple(r) for r in run(spark, docs, items)[2].collect()} == brute(docs, items, 12) != set()
+
+
+def test_a_very_long_item(spark):
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(5000)}" for _ in range(30_000)]
+    docs = [(1, " ".join(long[20_000:20_012])), (2, " ".join(long[20_000:20_011])), (3, " ".join(long))]
+    assert sorted(map(tuple, run(spark, docs, [(1, " ".join(long))])[2].collect())) == [(1, 1), (3, 1)]
 
 
 def test_layout_marks_vanish_and_documents_do_not_run_together(spark):
