@@ -19,29 +19,30 @@ GROUP = ["study_id", "agent_id", "entity_type"]
 _END = "end-of-payload-9f4b3c"
 
 
-def readable(payload: Column) -> Column:
-    """The payload as a variant, null where it isn't one valid JSON value and nothing else.
+def readable(rows: DataFrame, payload: str = "payload", name: str = "doc") -> DataFrame:
+    """``rows`` whose payload is one valid JSON value and nothing else, with that value as a variant in ``name`` instead.
 
     The parser ignores what follows a value, so the payload is read as the
     first member of a list that must end with the mark right after it. Of
-    repeated keys the last one counts.
+    repeated keys the last one counts. The list comes out of a generator, so
+    that no filter on it makes the optimizer parse twice.
     """
-    both = F.try_parse_json(F.concat(F.lit("["), payload, F.lit(f',"{_END}"]')))
-    mark = F.try_variant_get(both, "$[1]", "string")
-    return F.when((mark == _END) & F.variant_get(both, "$[2]", "variant").isNull(), F.variant_get(both, "$[0]", "variant"))
+    rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    both = F.try_parse_json(F.concat(F.lit("["), F.col(payload), F.lit(f',"{_END}"]')))
+    rest = [c for c in rows.columns if c != payload]
+    listed = rows.select(*rest, F.explode(F.array(both)).alias("__both"))
+    ended = (F.try_variant_get("__both", "$[1]", "string") == _END) & F.variant_get("__both", "$[2]", "variant").isNull()
+    return listed.where(ended).select(*rest, F.variant_get("__both", "$[0]", "variant").alias(name))
 
 
-def tag_of(value: Column) -> Column:
-    """The type of a variant as a bit of a tag, 0 for null."""
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(shape == "STRING", 1).when(shape == "VOID", 0).when(shape == "BOOLEAN", 4).when(shape.startswith("OBJECT"), 8).when(shape.startswith("ARRAY"), 16).otherwise(2)
-    )
+def tag_of(shape: str) -> Column:
+    """The type of a variant as a bit of a tag, 0 for null, from its schema in column ``shape``."""
+    s = F.col(shape)
+    return F.when(s == "STRING", 1).when(s == "VOID", 0).when(s == "BOOLEAN", 4).when(s.startswith("OBJECT"), 8).when(s.startswith("ARRAY"), 16).otherwise(2)
 
 
 def _records(files: DataFrame, *columns: str) -> DataFrame:
-    files.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return files.select(*columns, readable(F.col("payload")).alias("doc")).where("doc IS NOT NULL")
+    return readable(files.select(*columns, "payload"))
 
 
 def _members(rows: DataFrame, doc: str) -> DataFrame:
@@ -57,11 +58,11 @@ def file_fields(files: DataFrame) -> DataFrame:
     that has readable records. Payloads that are not valid JSON give none.
     """
     rows = _members(_records(files, *GROUP, "file_no", "file_ts"), "doc")
-    # members of arrays have no key; the record itself is counted once, by its first member
-    tag = F.when(F.col("key").isNotNull(), tag_of(F.col("value"))).otherwise(0)
-    field = F.when(tag > 0, F.col("key"))
+    # members of arrays have no key, and nothing but null has a value of type VOID
+    shape = F.when(F.col("key").isNotNull(), F.schema_of_variant("value")).otherwise("VOID")
+    rows = rows.select(*GROUP, "file_no", "file_ts", F.when(~F.is_variant_null("value"), F.col("key")).alias("field"), shape.alias("shape"))
     return materialize(
-        rows.select(*GROUP, "file_no", "file_ts", field.alias("field"), tag.alias("tag"))
+        rows.withColumn("tag", tag_of("shape"))
         .groupBy(*GROUP, "file_no", "field")
         .agg(F.bit_or("tag").alias("tag"), F.count("*").alias("n"), F.min("file_ts").alias("first_ts"), F.max("file_ts").alias("last_ts"))
     )
@@ -172,7 +173,7 @@ def path_schema(files: DataFrame) -> DataFrame:
     open_rows = materialize(_records(files, "entity_type").select("entity_type", F.lit("").alias("path"), F.col("doc").alias("value")))
     levels = []
     while True:
-        marked = open_rows.withColumn("tag", tag_of(F.col("value")))
+        marked = open_rows.withColumn("shape", F.schema_of_variant("value")).withColumn("tag", tag_of("shape"))
         levels.append(marked.where("tag > 0").groupBy("entity_type", "path").agg(F.bit_or("tag").alias("tag"), F.count("*").alias("n")))
         # names with dots, brackets or blanks stay as they are written
         name = F.when(F.col("key").isNull(), F.lit("[]")).otherwise(F.concat(F.when(F.col("path") == "", "").otherwise("."), F.col("key")))
@@ -229,7 +230,7 @@ def unified(files: DataFrame, schema: DataFrame, renamings: DataFrame | None = N
         return out
 
     cast = {"string": "string", "number": "double", "boolean": "boolean", "object": "string", "array": "string"}
-    source = _records(files, *fixed).withColumnRenamed("doc", "__v")
+    source = readable(files.select(*fixed, "payload"), name="__v")
 
     def path(name: str) -> str:
         return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
@@ -237,7 +238,8 @@ def unified(files: DataFrame, schema: DataFrame, renamings: DataFrame | None = N
     def pick(names: list[str], kind: str) -> Column:
         return F.coalesce(*[F.try_variant_get("__v", path(x), kind) for x in names])
 
-    out = []
+    out: list[Column] = []
+    shapes: dict[str, Column] = {}
     for name in sorted(members):
         names = members[name]
         kinds = sorted(set().union(*(types[x] for x in names)), key=list(TYPES).index)
@@ -245,6 +247,7 @@ def unified(files: DataFrame, schema: DataFrame, renamings: DataFrame | None = N
             out.append(pick(names, cast[kinds[0]]).alias(fresh(name)))
             continue
         out.append(pick(names, "string").alias(fresh(name)))
-        tag = tag_of(pick(names, "variant"))
-        out += [F.when(tag == TYPES[k], pick(names, cast[k])).alias(fresh(f"{name}__{k}")) for k in kinds]
-    return source.dropDuplicates(["file_no", "record_no", "entity_type", "record_id"]).select(*fixed, *out)
+        shape = f"__shape_{len(shapes)}"
+        shapes[shape] = F.schema_of_variant(pick(names, "variant"))
+        out += [F.when(tag_of(shape) == TYPES[k], pick(names, cast[k])).alias(fresh(f"{name}__{k}")) for k in kinds]
+    return source.dropDuplicates(["file_no", "record_no", "entity_type", "record_id"]).withColumns(shapes).select(*fixed, *out)
