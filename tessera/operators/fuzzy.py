@@ -65,8 +65,9 @@ def similar_pairs(df: DataFrame, by: list[str], order: str, name: str, threshold
     """
     if threshold < 0.85:
         raise ValueError("runs of three characters lose pairs below 0.85")
+    given, by = by, [f"__by_{i}" for i in range(len(by))]
     text = F.lower(N.clean_name(name))
-    rows = df.select(*by, F.col(order).alias("o"), text.alias("t")).where("t <> ''")
+    rows = df.select(*[F.col(c).alias(x) for c, x in zip(given, by)], F.col(order).alias("o"), text.alias("t")).where("t <> ''")
     distinct = materialize(rows.select(*by, "t").distinct())
     runs = F.when(F.length("t") >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - 2), lambda i: F.substring(F.col("t"), i, 3)))).otherwise(F.array(F.substring("t", 1, 1)))
     short = F.array(F.substring("t", 1, 1))
@@ -84,13 +85,13 @@ def similar_pairs(df: DataFrame, by: list[str], order: str, name: str, threshold
             pdf["score"] = [SequenceMatcher(None, x, y).ratio() for x, y in zip(pdf["x"], pdf["y"])]
             yield pdf[pdf["score"] >= threshold]
 
-    schema = T.StructType([*[df.schema[c] for c in by], T.StructField("x", T.StringType()), T.StructField("y", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*[distinct.schema[c] for c in by], T.StructField("x", T.StringType()), T.StructField("y", T.StringType()), T.StructField("score", T.DoubleType())])
     alike = met.mapInPandas(score, schema)
     same = distinct.select(*by, F.col("t").alias("x"), F.col("t").alias("y"), F.lit(1.0).alias("score"))
     links = alike.unionByName(same)
     first = rows.select(*by, F.col("o").alias("a"), F.col("t").alias("x"))
     second = rows.select(*by, F.col("o").alias("b"), F.col("t").alias("y"))
-    return first.join(links, [*by, "x"]).join(second, [*by, "y"]).where("a < b").select(*by, "a", "b", "score")
+    return first.join(links, [*by, "x"]).join(second, [*by, "y"]).where("a < b").select(*[F.col(x).alias(c) for c, x in zip(given, by)], "a", "b", "score")
 
 
 #: Distinct texts of a side that meet those of the other in one task.
@@ -251,24 +252,17 @@ def first_similar(left: DataFrame, right: DataFrame, by: list[str], threshold: f
 def set_match_share(expected: DataFrame, actual: DataFrame, by: list[str], threshold: float = 0.8) -> DataFrame:
     """Share of expected texts with a similar actual one: (*by, expected, matched). Both have (*by, text).
 
-    Texts meet when they share a run of three characters (short ones: their
-    first character); two that share none count as unlike.
+    Texts are counted as they are written and compared in their plain form;
+    one without letters and digits is like another such one only, a null one
+    counts as expected and is like none.
     """
-
-    def runs(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*by, F.col("text").alias(name)).distinct().select(*by, name, F.explode(F.array_distinct(_grams_of(name))).alias("g"))
-
-    e = expected.select(*by, F.col("text").alias("x")).distinct()
-    met = runs(expected, "x").join(runs(actual, "y"), [*by, "g"]).select(*by, "x", "y").distinct()
-    best = met.groupBy(*by, "x").agg(F.max(text_similarity(F.col("x"), F.col("y"))).alias("best"))
-    return e.join(best, [*by, "x"], "left").groupBy(*by).agg(F.count("*").alias("expected"), F.count_if(F.col("best") >= threshold).alias("matched"))
-
-
-def _grams_of(name: str) -> Column:
-    """Runs of three characters of a text in its plain form; the first character of short ones."""
-    x = N.plain_text(name)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x) - 2)), lambda i: F.substring(x, i, 3))
-    return F.when(F.length(x) >= 3, runs).otherwise(F.array(F.substring(x, 1, 1)))
+    plain = lambda df: df.select(*by, "text", F.when(F.col("text").isNotNull(), N.plain_text("text")).alias("p"))
+    e = materialize(plain(expected.select(*by, "text").distinct()))
+    a = plain(actual.where("text IS NOT NULL")).select(*by, "p").distinct()
+    met = alike_across(e.select(*by, F.col("p").alias("text")), a.select(*by, F.col("p").alias("text")), by, threshold, True)
+    alike = met.where(text_similarity(F.col("x"), F.col("y")) >= threshold).select(*by, F.col("x").alias("p"))
+    hit = alike.unionByName(a).distinct().withColumn("__hit", F.lit(1))
+    return e.join(hit, [*by, "p"], "left").groupBy(*by).agg(F.count("*").alias("expected"), F.count("__hit").alias("matched"))
 
 
 def jaccard_pairs(df: DataFrame, by: list[str], node: str, tokens: str, threshold: float) -> DataFrame:

@@ -60,24 +60,26 @@ def match_context(c: Column | str, pattern: str, chars: int = 100) -> Column:
     return F.when(at > 0, F.substring(text, start, at - start + F.length(found) + chars))
 
 
-def waves(nodes: DataFrame, edges: DataFrame, most: int = 1000) -> DataFrame:
+def waves(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Levels of a dependency graph: (node, wave).
 
     ``edges`` has (node, depends_on); a node comes one wave after the last of
     what it depends on, unknown dependencies don't count. What is left in
-    cycles makes one more wave. Each wave is a semi-join over what is left and
-    is written before the next, so plans don't grow.
+    cycles, or depends on them, makes one more wave. Each wave is an anti-join
+    over what is left and is written before the next, so plans don't grow; it
+    settles one node at least, so the rounds end by themselves.
     """
     left = materialize(nodes.select("node").distinct())
     open_edges = materialize(edges.select("node", "depends_on").distinct().join(left.withColumnRenamed("node", "depends_on"), "depends_on", "left_semi").join(left, "node", "left_semi"))
-    done, n = None, 0
-    while not left.isEmpty() and n < most:
+    done, n = left.where("false").withColumn("wave", F.lit(0)), 0
+    while not left.isEmpty():
         ready = materialize(left.join(open_edges.select("node"), "node", "left_anti"))
         if ready.isEmpty():
             ready = left
-        wave = ready.withColumn("wave", F.lit(n))
-        done = wave if done is None else done.unionByName(wave)
+        done = done.unionByName(ready.withColumn("wave", F.lit(n)))
         left = materialize(left.join(ready, "node", "left_anti"))
-        open_edges = materialize(open_edges.join(ready.withColumnRenamed("node", "depends_on"), "depends_on", "left_anti").join(ready, "node", "left_anti"))
+        # what a settled node depends on is settled as well
+        open_edges = materialize(open_edges.join(ready.withColumnRenamed("node", "depends_on"), "depends_on", "left_anti"))
         n += 1
-    return done if done is not None else nodes.select("node").withColumn("wave", F.lit(0)).limit(0)
+        done = done if n % 16 else materialize(done)
+    return done

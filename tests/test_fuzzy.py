@@ -134,3 +134,15 @@ def test_text_matching_equals_the_sequential_rule(spark, monkeypatch):
     side = lambda rows, c: spark.createDataFrame(rows, "k string, i int, text string").select("k", F.struct("k", "i").alias(c), "text")
     got = greedy_text_matching(side(golden, "g"), side(found, "e"), ["k"], 0.7)
     assert {(r["g"]["k"], r["g"]["i"]): (r["e"]["i"], r["score"]) for r in got.collect()} == want
+
+
+def test_short_names_meet_and_group_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, "u", "v", "w", "abcd"), (2, "u", "v", "w", "xabcd"), (3, "u", "v", "w", "ab1cdef"), (4, "u", "v", "w", "abcd2ef")], "o bigint, g string, t string, x string, name string")
+    got = {(r["a"], r["b"]) for r in similar_pairs(df, ["g", "t", "x"], "o", "name").collect()}
+    assert got == {(1, 2), (3, 4)}
+
+
+def test_texts_that_share_words_of_two_characters_only_are_alike(spark):
+    e = spark.createDataFrame([("k", "ab cd"), ("k", "..."), ("k", None), ("k", "zz")], "k string, text string")
+    a = spark.createDataFrame([("k", "cd ab"), ("k", "--"), ("j", "zz")], "k string, text string")
+    assert [tuple(r) for r in set_match_share(e, a, ["k"]).collect()] == [("k", 4, 2)]

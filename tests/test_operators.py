@@ -77,6 +77,8 @@ def test_sequences(spark):
     e = spark.createDataFrame([("b", "a"), ("c", "a"), ("d", "b"), ("d", "c"), ("x", "y"), ("y", "x"), ("a", "unknown")], "node string, depends_on string")
     assert dict(rows(W.waves(n, e))) == {"a": 0, "b": 1, "c": 1, "d": 2, "x": 3, "y": 3}
     assert rows(W.waves(n.limit(0), e)) == []
+    chain = spark.range(1, 20).selectExpr("id AS node", "id - 1 AS depends_on")
+    assert dict(rows(W.waves(chain.select("node"), chain))) == {i: i - 1 for i in range(1, 20)}
     lines = W.lines_of(spark.createDataFrame([(1, "| a\n| b\n| c\n\n| d\n| e"), (2, None)], "id int, text string"), ["id"])
     assert rows(W.line_regions(lines, ["id"], F.col("line").startswith("|")), "id", "start", "end", "n") == [(1, 0, 2, 3)]
 
