@@ -26,6 +26,8 @@ UNMATCHED = "unmatched"
 OTHER_READING = 1 << 24
 #: Shortest token that may stand for a longer one of which it is the beginning.
 PREFIX = 3
+#: Characters that may be glued to the end of a word.
+GLUED = 3
 #: Least similarity of a token to the one it is repaired to.
 TOKEN_SIMILARITY = 0.7
 #: Least soft TF-IDF similarity of a value to the entry it is mapped to.
@@ -127,9 +129,11 @@ class Reference:
                 self.by_token[x].append(i)
         self.parts: dict[str, tuple[str, ...]] = {x: (x,) for x in seen}
         for _, t in self.entries:
-            for size in range(2, min(len(t), 5) + 1):
+            for size in range(2, len(t) + 1):
                 for i in range(len(t) - size + 1):
                     self.parts.setdefault("".join(t[i : i + size]), t[i : i + size])
+        # what is glued to a word, or edited into it, makes it longer by so much at most
+        self.longest = max((len(w) + max(self.edits(w), GLUED) for w in self.parts), default=0)
 
     def edits(self, word: str) -> int:
         """Edits a word of the vocabulary may be away; joined forms one."""
@@ -191,7 +195,7 @@ def similarity(token: str, word: str, edits: int) -> float:
         return 0.9
     if token.endswith(".") and PREFIX < len(bare) < len(word) and min(distance(bare, word[:i], 1) for i in range(len(bare) - 1, len(bare) + 2)) <= 1:
         return TOKEN_SIMILARITY
-    if bare.startswith(word) and len(bare) - len(word) <= (3 if len(word) >= 6 else 2 if len(word) >= 4 else 0):
+    if bare.startswith(word) and len(bare) - len(word) <= (GLUED if len(word) >= 6 else 2 if len(word) >= 4 else 0):
         return 1 - (len(bare) - len(word)) / (2 * len(bare))
     d = distance(bare, word, edits)
     s = 1 - d / max(len(bare), len(word))
@@ -216,7 +220,7 @@ def map_values(values: DataFrame, reference: DataFrame, limit: int = SMALL_ROWS)
     rows = [(r["code"], r["name"], r["synonyms"]) for r in bounded_rows(reference.where("code IS NOT NULL").select("code", "name", "synonyms"), limit)]
     index = Reference(rows)
     known = spark.createDataFrame([(x,) for x in sorted({x for c, n, s in rows for x in [c, n, *(s or [])] if x is not None})] or [("",)], "value string")
-    sent = spark.sparkContext.broadcast(index)
+    sent, longest = spark.sparkContext.broadcast(index), index.longest
     distinct = values.select("value").where(~is_blank("value")).distinct().join(known, "value", "left_anti")
 
     def split(batches: Iterator[pd.DataFrame]):
@@ -242,8 +246,8 @@ def map_values(values: DataFrame, reference: DataFrame, limit: int = SMALL_ROWS)
             out = []
             for token in pdf["token"]:
                 bare = token.rstrip(".")
-                # a token longer than any word and what may be glued to it repairs to nothing
-                if len(bare) > 64:
+                # a token longer than any word with all that may be added to it repairs to nothing
+                if len(bare) > longest:
                     continue
                 keys = variants(bare, allowed(len(bare))) | {bare[:-2], bare[:-3]}
                 if token.endswith("."):

@@ -2,8 +2,8 @@
 
 The size of the mix is cut into blocks of equal tokens. Sainte-Lague's method
 gives each block to the source with the highest quotient share / (2 blocks +
-1); the same method spreads a source's blocks over its shards by their tokens.
-A shard then takes its quota from its own texts in a seeded order. No step
+1); the same method spreads a source's blocks over groups of shards and those
+of a group over its shards, by their tokens. A shard then takes its quota from its own texts in a seeded order. No step
 sorts or gathers more than one shard, and shards have a bounded size.
 """
 
@@ -21,8 +21,9 @@ from tessera.llm import tokens
 from tessera.plans.runtime import bounded_rows, materialize, spread
 
 
-#: Shards of all sources together, about; beyond it they get larger.
-MOST_SHARDS = 50_000
+#: Groups of shards of a source, which are apportioned on the driver; the shards of a group are, in a task of their own.
+GROUPS = 64
+QUOTA_SCHEMA = "source string, shard int, quota bigint, held bigint, cap int"
 
 
 def sainte_lague(weights: dict, seats: int, caps: dict | None = None) -> dict:
@@ -90,6 +91,33 @@ def token_table(documents: DataFrame, seed: int, vocabulary: str = tokens.DEFAUL
     return one.select("r.*", F.xxhash64(F.lit(seed), "h1", "h2").alias("place"), F.xxhash64(F.lit(seed + 1), "h2", "h1").alias("key"))
 
 
+def shard_quotas(shards: DataFrame, seats: dict[str, int], repeats: dict[str, int], block_tokens: int) -> DataFrame:
+    """The tokens each shard is to give: ``QUOTA_SCHEMA``, written.
+
+    ``shards`` has (source, shard, held). A source's blocks go to GROUPS groups
+    of its shards on the driver, those of a group to its shards in a task.
+    """
+    cap = F.coalesce(*[F.when(F.col("source") == s, F.lit(r)) for s, r in repeats.items()])
+    shards = materialize(
+        shards.withColumn("cap", cap).withColumn("group", F.pmod("shard", F.lit(GROUPS)).cast("int")).withColumn("most", F.greatest(F.lit(1), F.floor(F.col("held") * F.col("cap") / block_tokens)).cast("long"))
+    )
+    groups = bounded_rows(shards.groupBy("source", "group").agg(F.sum("held").alias("held"), F.sum("most").alias("most")))
+    given = []
+    for s in seats:
+        own = {r["group"]: r for r in groups if r["source"] == s}
+        blocks = sainte_lague({g: r["held"] for g, r in own.items()}, seats[s], {g: r["most"] for g, r in own.items()})
+        given += [(s, g, b) for g, b in blocks.items()]
+    names = [c.split()[0] for c in QUOTA_SCHEMA.split(", ")]
+
+    def apportion(pdf: pd.DataFrame) -> pd.DataFrame:
+        by = {k: (int(h), int(m), int(c)) for k, h, m, c in zip(pdf["shard"].tolist(), pdf["held"], pdf["most"], pdf["cap"])}
+        blocks = sainte_lague({k: h for k, (h, _, _) in by.items()}, int(pdf["blocks"].iloc[0]), {k: m for k, (_, m, _) in by.items()})
+        return pd.DataFrame([(pdf["source"].iloc[0], k, min(blocks[k] * block_tokens, h * c), h, c) for k, (h, _, c) in by.items()], columns=names)
+
+    few = F.broadcast(shards.sparkSession.createDataFrame(given, "source string, group int, blocks bigint"))
+    return materialize(shards.join(few, ["source", "group"]).groupBy("source", "group").applyInPandas(apportion, QUOTA_SCHEMA))
+
+
 def mix(
     documents: DataFrame,
     targets: DataFrame,
@@ -129,18 +157,10 @@ def mix(
         total_tokens = min(int(room[s] * scale / shares[s]) for s in shares)
     seats = sainte_lague(shares, max(1, round(total_tokens / block_tokens)), {s: max(1, room[s] // block_tokens) for s in shares})
 
-    # shards: enough of them that none holds more than about shard_tokens, yet few enough that their quotas are a small table
-    size = max(shard_tokens, math.ceil(sum(have.values()) / MOST_SHARDS))
-    parts = {s: max(1, math.ceil(have[s] / size)) for s in shares}
+    parts = {s: max(1, math.ceil(have[s] / shard_tokens)) for s in shares}
     n = F.coalesce(*[F.when(F.col("source") == s, F.lit(p)) for s, p in parts.items()])
     placed = rows.where(F.col("source").isin(list(shares))).withColumn("shard", F.pmod(F.col("key"), n.cast("long")).cast("int"))
-    held = bounded_rows(placed.groupBy("source", "shard").agg(F.sum("tokens").alias("tokens")))
-    quota = []
-    for s in shares:
-        sizes = {r["shard"]: r["tokens"] for r in held if r["source"] == s}
-        blocks = sainte_lague(sizes, seats[s], {k: max(1, v * wanted[s][1] // block_tokens) for k, v in sizes.items()})
-        quota += [(s, k, min(blocks[k] * block_tokens, sizes[k] * wanted[s][1]), sizes[k], wanted[s][1]) for k in sizes]
-    plan = F.broadcast(documents.sparkSession.createDataFrame(quota, "source string, shard int, quota bigint, held bigint, cap int"))
+    plan = shard_quotas(placed.groupBy("source", "shard").agg(F.sum("tokens").alias("held")), seats, {s: wanted[s][1] for s in shares}, block_tokens)
 
     base = placed.join(plan, ["source", "shard"]).withColumn("passes", F.least(F.expr("quota div held"), F.col("cap").cast("long")))
     rest = F.when(F.col("passes") < F.col("cap"), F.col("quota") - F.col("passes") * F.col("held")).otherwise(0)

@@ -2,7 +2,10 @@
 
 A text is cut where a dynamic program over its boundary positions finds the
 least sum of cut penalties and size imbalance, subject to the token limit and
-to an exact overlap of neighbours.
+to an exact overlap of neighbours. The positions are all ends of sentences,
+lines and paragraphs, and finer ones (clauses, words, marks, any token) only
+in stretches that would else be longer than a third of what a piece advances:
+a cut inside a sentence is never considered where sentences are short.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ START_INSIDE, IMBALANCE = 3.0, 8.0
 
 PIECE_SCHEMA = (
     "doc_id bigint, limit_no int, piece_no int, pieces int, char_start bigint, char_end bigint, "
-    "n_tokens int, shared_tokens int, cut string, piece string"
+    "n_tokens int, shared_tokens int, cut string, piece string, exception string"
 )
 
 
@@ -140,15 +143,18 @@ def cuts(penalty: np.ndarray, limit: int, overlap: int) -> list[int] | None:
 
 
 def split_text(text: str, offset: np.ndarray, penalty: np.ndarray, limit: int, overlap: int, vocabulary: str) -> list[tuple]:
-    """(char_start, char_end, n_tokens, shared_tokens, kind of the cut after it) of each piece.
+    """(char_start, char_end, n_tokens, shared_tokens, kind of the cut after it, exception) of each piece.
 
     Pieces are runs of the text's own tokens. One that begins or ends inside a
     word is tokenized by itself too; if that gives more than ``limit`` the text
-    is cut again with a smaller one. Where tokens are parts of characters an
-    overlap close to the limit may leave no cuts; it is halved until there are
-    some, and a character of more tokens than the limit is a piece of its own.
+    is cut again with a smaller one. Where tokens are parts of characters there
+    may be no cuts with the overlap, or none within the limit: then the overlap
+    is halved until there are some, and a character of more tokens than the
+    limit is a piece of its own. Such pieces say so: ``exception`` is
+    ``overlap`` where the shared tokens aren't as many as asked for, ``limit``
+    where the piece by itself has more tokens than allowed, else null.
     """
-    room = limit
+    room, asked = limit, overlap
     while True:
         at = cuts(penalty, room, overlap)
         while at is None and overlap:
@@ -160,16 +166,17 @@ def split_text(text: str, offset: np.ndarray, penalty: np.ndarray, limit: int, o
             return []
         starts = [0] + [c - overlap for c in at]
         ends = at + [len(offset) - 1]
-        ok = True
-        for s, e in zip(starts, ends):
-            if (s and penalty[s] >= INSIDE) or (e < len(offset) - 1 and penalty[e] >= INSIDE):
-                ok = ok and tokens.count(text[offset[s] : offset[e]], vocabulary) <= limit
-        if ok or room - overlap < 16:
+        over = set()
+        for i, (s, e) in enumerate(zip(starts, ends)):
+            inside = (s and penalty[s] >= INSIDE) or (e < len(offset) - 1 and penalty[e] >= INSIDE)
+            if e - s > limit or (inside and tokens.count(text[offset[s] : offset[e]], vocabulary) > limit):
+                over.add(i)
+        if not over or room <= overlap + 1:
             break
         room -= max(1, (room - overlap) // 16)
     kinds = [KINDS[float(penalty[c])] for c in at] + ["end"]
     return [
-        (int(offset[s]), int(offset[e]), e - s, overlap if i else 0, k)
+        (int(offset[s]), int(offset[e]), e - s, overlap if i else 0, k, "limit" if i in over else "overlap" if i and overlap != asked else None)
         for i, (s, e, k) in enumerate(zip(starts, ends, kinds))
     ]
 
@@ -182,7 +189,8 @@ def split_documents(documents: DataFrame, limits: DataFrame, vocabulary: str = t
     Arrow batch; nothing is shuffled. Texts within a limit, null and empty ones
     give no rows for it. ``shared_tokens`` tokens at the start of a piece are
     the last ones of the piece before; pieces without them, put together, are
-    the text again. Repeated rows give repeated pieces, a null ``doc_id`` stays.
+    the text again. ``exception`` marks the pieces for which the limit or the
+    overlap can't be kept, see :func:`split_text`. Repeated rows give repeated pieces, a null ``doc_id`` stays.
     """
     sets = sorted(
         (int(r["limit_no"]), int(r["max_tokens"]), int(r["overlap_tokens"] or 0))
@@ -208,8 +216,8 @@ def split_documents(documents: DataFrame, limits: DataFrame, vocabulary: str = t
                 for number, most, overlap in sets:
                     pieces = split_text(text, offset, penalty, most, overlap, vocabulary)
                     rows += [
-                        (doc, number, i, len(pieces), a, b, n, shared, kind, text[a:b])
-                        for i, (a, b, n, shared, kind) in enumerate(pieces)
+                        (doc, number, i, len(pieces), a, b, n, shared, kind, text[a:b], exception)
+                        for i, (a, b, n, shared, kind, exception) in enumerate(pieces)
                     ]
                 if len(rows) > 5000:
                     yield pd.DataFrame(rows, columns=names)

@@ -15,8 +15,6 @@ import numpy as np
 DEFAULT_VOCABULARY = os.environ.get("TESSERA_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Fixed value: the pre-tokenization pattern that belongs to the 50k byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Longest stretch given to the tokenizer at once; a longer text is cut before a blank.
-STRETCH = 1 << 20
 
 
 @functools.lru_cache(maxsize=2)

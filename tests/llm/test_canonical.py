@@ -33,6 +33,13 @@ def test_forms(spark, concepts):
     assert mapped(spark, concepts, [*want, "Voliaryex Syndrome", "NIMRQ6", "Q12345", None, "", "  ", "???"]) == want
 
 
+def test_no_bound_on_tokens_but_that_of_the_list(spark):
+    long, six = "pneumono" * 9, "alpha beta gamma delta epsil zetaa"
+    ref = spark.createDataFrame([("Q1", f"{long} study", None), ("Q2", six, [])], "code string, name string, synonyms array<string>")
+    typed = {f"{long[:-1]}x study": "Q1", f"{long[:40]}{long[41:]}study": "Q1", six.replace(" ", ""): "Q2", six.replace(" ", "").replace("mm", "m"): "Q2", "q" * 200: UNMATCHED}
+    assert mapped(spark, ref, typed) == typed
+
+
 def test_results_take_the_first_term_that_is_not_blank(spark, concepts):
     rows = [
         (1, "Voliaryex Syndrom", "other", "Q1"), (1, "Voliaryex Syndrom", "other", "Q1"), (2, " ", "Voliaryex Serum Asay", "Q1"), (3, None, "", "q12345"),
