@@ -202,6 +202,59 @@ def similarity(token: str, word: str, edits: int) -> float:
     return s if d <= edits and s >= TOKEN_SIMILARITY else 0.0
 
 
+def repair_candidates(tokens: DataFrame, index: Reference) -> DataFrame:
+    """Pairs that may be a token and the word it stands for: (token, word), distinct.
+
+    An equi-join on variants with characters left out; no token within the
+    allowed edits of a word is missed, others are for the caller to drop.
+    """
+    longest = index.longest
+
+    def spread(batches: Iterator[pd.DataFrame]):
+        for pdf in batches:
+            out = []
+            for token in pdf["token"]:
+                bare = token.rstrip(".")
+                # a token longer than any word with all that may be added to it repairs to nothing
+                if len(bare) > longest:
+                    continue
+                keys = variants(bare, allowed(len(bare))) | {bare[:-2], bare[:-3]}
+                if token.endswith("."):
+                    keys |= {"." + v for v in variants(bare, 1)}
+                out += [(token, k) for k in keys if k]
+            yield pd.DataFrame(out, columns=["token", "variant"])
+
+    vocabulary = tokens.sparkSession.createDataFrame(pd.DataFrame(index.variants() or [("", "")], columns=["variant", "word"]))
+    return tokens.mapInPandas(spread, "token string, variant string").join(vocabulary, "variant").select("token", "word").distinct()
+
+
+def repaired_tokens(tokens: DataFrame, reference: DataFrame) -> DataFrame:
+    """Each distinct token of (token) with every word of the list within its allowed edits: (token, word, edits).
+
+    Words of fewer than three characters allow none, of fewer than seven one, others two; a swap of neighbours is one edit.
+    """
+    index = _index(reference, SMALL_ROWS)[0]
+    single = {w: index.edits(w) for w, p in index.parts.items() if len(p) == 1}
+    sent = tokens.sparkSession.sparkContext.broadcast(single)
+
+    def verify(batches: Iterator[pd.DataFrame]):
+        for pdf in batches:
+            out = []
+            for token, word in zip(pdf["token"], pdf["word"]):
+                most = sent.value.get(word, -1)
+                edits = distance(token, word, most) if most >= 0 else 0
+                if edits <= most:
+                    out.append((token, word, edits))
+            yield pd.DataFrame(out, columns=["token", "word", "edits"])
+
+    return repair_candidates(tokens.select("token").where("token <> ''").distinct(), index).mapInPandas(verify, "token string, word string, edits int")
+
+
+def _index(reference: DataFrame, limit: int) -> tuple[Reference, list]:
+    rows = [(r["code"], r["name"], r["synonyms"]) for r in bounded_rows(reference.where("code IS NOT NULL").select("code", "name", "synonyms"), limit)]
+    return Reference(rows), rows
+
+
 def map_values(values: DataFrame, reference: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """The concept of each distinct value: (value, code, score).
 
@@ -217,10 +270,9 @@ def map_values(values: DataFrame, reference: DataFrame, limit: int = SMALL_ROWS)
     with more than ``limit`` concepts is an error.
     """
     spark = values.sparkSession
-    rows = [(r["code"], r["name"], r["synonyms"]) for r in bounded_rows(reference.where("code IS NOT NULL").select("code", "name", "synonyms"), limit)]
-    index = Reference(rows)
+    index, rows = _index(reference, limit)
     known = spark.createDataFrame([(x,) for x in sorted({x for c, n, s in rows for x in [c, n, *(s or [])] if x is not None})] or [("",)], "value string")
-    sent, longest = spark.sparkContext.broadcast(index), index.longest
+    sent = spark.sparkContext.broadcast(index)
     distinct = values.select("value").where(~is_blank("value")).distinct().join(known, "value", "left_anti")
 
     def split(batches: Iterator[pd.DataFrame]):
@@ -241,22 +293,7 @@ def map_values(values: DataFrame, reference: DataFrame, limit: int = SMALL_ROWS)
     parts = materialize(distinct.mapInPandas(split, "value string, pos int, token string"))
     tokens = parts.where("pos >= 0").select("token").distinct()
 
-    def spread(batches: Iterator[pd.DataFrame]):
-        for pdf in batches:
-            out = []
-            for token in pdf["token"]:
-                bare = token.rstrip(".")
-                # a token longer than any word with all that may be added to it repairs to nothing
-                if len(bare) > longest:
-                    continue
-                keys = variants(bare, allowed(len(bare))) | {bare[:-2], bare[:-3]}
-                if token.endswith("."):
-                    keys |= {"." + v for v in variants(bare, 1)}
-                out += [(token, k) for k in keys if k]
-            yield pd.DataFrame(out, columns=["token", "variant"])
-
-    vocabulary = spark.createDataFrame(pd.DataFrame(index.variants() or [("", "")], columns=["variant", "word"]))
-    met = tokens.mapInPandas(spread, "token string, variant string").join(vocabulary, "variant").select("token", "word").distinct()
+    met = repair_candidates(tokens, index)
 
     def verify(batches: Iterator[pd.DataFrame]):
         ref = sent.value

@@ -91,6 +91,24 @@ def token_table(documents: DataFrame, seed: int, vocabulary: str = tokens.DEFAUL
     return one.select("r.*", F.xxhash64(F.lit(seed), "h1", "h2").alias("place"), F.xxhash64(F.lit(seed + 1), "h2", "h1").alias("key"))
 
 
+def source_blocks(have: dict[str, int], wanted: dict[str, tuple[float, int]], total_tokens: int | None, block_tokens: int) -> dict[str, int]:
+    """Blocks of each source that has texts and a target; ``wanted`` has (target_share, max_repeats)."""
+    shares = {s: w for s, (w, r) in wanted.items() if w > 0 and r > 0 and have.get(s)}
+    if not shares:
+        return {}
+    scale = sum(w for w, _ in wanted.values())
+    room = {s: have[s] * wanted[s][1] for s in shares}
+    if total_tokens is None:
+        total_tokens = min(int(room[s] * scale / shares[s]) for s in shares)
+    return sainte_lague(shares, max(1, round(total_tokens / block_tokens)), {s: max(1, room[s] // block_tokens) for s in shares})
+
+
+def wanted_shares(targets: DataFrame) -> dict[str, tuple[float, int]]:
+    """(target_share, max_repeats) of each source of a small table."""
+    one = targets.where("source IS NOT NULL").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    return {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in bounded_rows(one)}
+
+
 def shard_quotas(shards: DataFrame, seats: dict[str, int], repeats: dict[str, int], block_tokens: int) -> DataFrame:
     """The tokens each shard is to give: ``QUOTA_SCHEMA``, written.
 
@@ -142,21 +160,13 @@ def mix(
     the quota is met to within half a short text a shard.
     """
     rows = materialize(token_table(documents, seed, vocabulary))
-    wanted = {
-        r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0))
-        for r in bounded_rows(targets.where("source IS NOT NULL").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats")))
-    }
+    wanted = wanted_shares(targets)
     have = {r["source"]: r["tokens"] for r in bounded_rows(rows.where(F.col("source").isin(list(wanted))).groupBy("source").agg(F.sum("tokens").alias("tokens")))}
     empty = documents.sparkSession.createDataFrame([], "doc_id bigint, source string, tokens bigint, repeats int")
-    shares = {s: w for s, (w, r) in wanted.items() if w > 0 and r > 0 and have.get(s)}
+    seats = source_blocks(have, wanted, total_tokens, block_tokens)
+    shares = {s: wanted[s][0] for s in seats}
     if not shares:
         return empty
-    scale = sum(w for w, _ in wanted.values())
-    room = {s: have[s] * wanted[s][1] for s in shares}
-    if total_tokens is None:
-        total_tokens = min(int(room[s] * scale / shares[s]) for s in shares)
-    seats = sainte_lague(shares, max(1, round(total_tokens / block_tokens)), {s: max(1, room[s] // block_tokens) for s in shares})
-
     parts = {s: max(1, math.ceil(have[s] / shard_tokens)) for s in shares}
     n = F.coalesce(*[F.when(F.col("source") == s, F.lit(p)) for s, p in parts.items()])
     placed = rows.where(F.col("source").isin(list(shares))).withColumn("shard", F.pmod(F.col("key"), n.cast("long")).cast("int"))

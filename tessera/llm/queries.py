@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.llm import canonical, leakage, mixing, splitting
 from tessera.llm.near_dup import NearDuplicates
 from tessera.operators.live import live_entities
-from tessera.plans.runtime import materialize, table
+from tessera.plans.runtime import bounded_rows, materialize, table
 
 
 def _entity_texts(spark, d):
@@ -45,6 +46,13 @@ def p4_terms(spark, d):
     return found.groupBy("term", "code", "score").agg(F.count("*").alias("results"))
 
 
+def p4_repairs(spark, d):
+    """Each word of the typed names with every word of a concept's name within its allowed edits."""
+    words = table(spark, d, "enrichment").select(F.explode(F.regexp_extract_all(F.lower("entity_name"), F.lit("[a-z0-9]+"), F.lit(0))).alias("token"))
+    names = table(spark, d, "concepts").select("code", "name", F.lit(None).cast("array<string>").alias("synonyms"))
+    return canonical.repaired_tokens(words, names)
+
+
 def p7_found(spark, d):
     """Documents that hold held-out items."""
     return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
@@ -66,12 +74,46 @@ def p8_shares(spark, d):
     return mixing.shares(mixing.mix(table(spark, d, "documents"), targets), targets)
 
 
+def p8_checks(spark, d):
+    """Whether each source with texts keeps its cap, its distinct texts and, within 0.04, its share, with shards of few texts."""
+    documents, targets = table(spark, d, "documents"), table(spark, d, "mix_targets")
+    chosen = mixing.mix(documents, targets, shard_tokens=20_000)
+    known = documents.where("trim(text) <> ''").select("doc_id", F.md5("text").alias("text")).distinct()
+    used = chosen.join(known, "doc_id").join(targets.select("source", "max_repeats"), "source")
+    kept = used.groupBy("source").agg((F.max("repeats") <= F.max("max_repeats")).alias("cap_kept"), (F.count("*") == F.count_distinct("text")).alias("texts_distinct"))
+    got = mixing.shares(chosen, targets.join(kept, "source", "left_semi"))
+    near = F.abs(F.col("actual_share") - F.col("target_share") / F.sum("target_share").over(Window.partitionBy())) < 0.04
+    return got.select("source", near.alias("share_met")).join(kept, "source")
+
+
+def p8_quotas(spark, d):
+    """Blocks of 512 characters that each source is given."""
+    rows = table(spark, d, "documents").where("source IS NOT NULL AND doc_id IS NOT NULL AND trim(text) <> ''")
+    one = rows.groupBy("text").agg(F.min(F.struct("doc_id", "source")).alias("r")).select("r.source", F.length("text").cast("long").alias("n"))
+    have = {r["source"]: r["n"] for r in bounded_rows(one.groupBy("source").agg(F.sum("n").alias("n")))}
+    blocks = mixing.source_blocks(have, mixing.wanted_shares(table(spark, d, "mix_targets")), None, 512)
+    return spark.createDataFrame(sorted(blocks.items()), "source string, blocks bigint")
+
+
+def p9_checks(spark, d):
+    """Whether the pieces of each text that must be cut are within the limit, overlap as asked and give the text again."""
+    documents, limits = table(spark, d, "documents"), table(spark, d, "split_limits")
+    must = documents.where("text IS NOT NULL").select("doc_id", F.size(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))).alias("least")).join(F.broadcast(limits), F.col("least") > F.col("max_tokens"))
+    pieces = splitting.split_documents(documents, limits).distinct()
+    before = F.coalesce(F.lag("char_end").over(Window.partitionBy("doc_id", "limit_no").orderBy("piece_no")), F.lit(0))
+    parts = pieces.withColumn("before", before).join(limits, "limit_no")
+    again = F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece_no", F.expr("substring(piece, cast(before - char_start + 1 AS int))").alias("p")))), lambda x: x["p"]), ""))
+    overlap = F.bool_and((F.col("piece_no") == 0) | (F.col("shared_tokens") == F.col("overlap_tokens")))
+    found = parts.groupBy("doc_id", "limit_no").agg((F.max(F.col("n_tokens") - F.col("max_tokens")) <= 0).alias("within_limit"), overlap.alias("overlap_kept"), F.count("exception").alias("exceptions"), again.alias("text_md5"))
+    return must.select("doc_id", "limit_no").join(found, ["doc_id", "limit_no"], "left")
+
+
 def p9_pieces(spark, d):
     """The pieces of each document over a limit, for every set of limits."""
     return splitting.split_documents(table(spark, d, "documents"), table(spark, d, "split_limits"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p4_found": p4_found, "p4_terms": p4_terms, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_pieces": p9_pieces}
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p4_found": p4_found, "p4_terms": p4_terms, "p7_found": p7_found, "p7_items": p7_items, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_pieces": p9_pieces, "p4_repairs": p4_repairs, "p8_checks": p8_checks, "p8_quotas": p8_quotas, "p9_checks": p9_checks}
 _CLEAN = r"regexp_extract_all(lower(regexp_replace(text, '[\x{00AD}\x{200B}]|-(?:\r\n|\n)', '', 'g')), '[a-z0-9]+')"
 _P7 = f"""WITH c AS (SELECT doc_id, {_CLEAN} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_CLEAN} AS w FROM eval_items WHERE text IS NOT NULL),
 dw AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 11], ' ') AS s FROM c, unnest(range(1, len(w) - 10)) t(k) WHERE len(w) >= 12),
@@ -96,6 +138,20 @@ SELECT m.entity_no, class_id, copies, coalesce(links, 0) AS links FROM m LEFT JO
 ORACLES: dict[str, str] = {
     "p2_found": _P2,
     "p2_classes": _P2_CLASSES,
+    "p4_repairs": """WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(entity_name), '[a-z0-9]+')) AS token FROM enrichment),
+v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(name), '[a-z0-9]+')) AS word FROM concepts),
+m AS (SELECT token, word, damerau_levenshtein(token, word) AS edits FROM t, v WHERE abs(length(token) - length(word)) <= 2)
+SELECT token, word, edits::INT AS edits FROM m WHERE edits <= CASE WHEN length(word) < 3 THEN 0 WHEN length(word) < 7 THEN 1 ELSE 2 END""",
+    "p8_quotas": """WITH one AS (SELECT DISTINCT ON (text) source, length(text) AS n FROM documents WHERE source IS NOT NULL AND doc_id IS NOT NULL AND trim(text) <> '' ORDER BY text, doc_id, source),
+w AS (SELECT source, max(target_share) AS share, max(max_repeats) AS times FROM mix_targets GROUP BY 1),
+h AS (SELECT source, sum(n) * times AS room, share FROM one JOIN w USING (source) WHERE share > 0 AND times > 0 GROUP BY source, times, share),
+t AS (SELECT greatest(1, round(min(floor(room * (SELECT sum(share) FROM w) / share)) / 512))::BIGINT AS seats FROM h),
+q AS (SELECT source, share / (2 * j + 1) AS quotient FROM h, t, unnest(range(0, least(greatest(1, room // 512), seats)::BIGINT)) r(j)),
+taken AS (SELECT source, row_number() OVER (ORDER BY quotient DESC, source) AS place FROM q)
+SELECT h.source, count(place) AS blocks FROM h LEFT JOIN (SELECT * FROM taken WHERE place <= (SELECT seats FROM t)) USING (source) GROUP BY 1""",
+    "p8_checks": "SELECT DISTINCT source, true AS share_met, true AS cap_kept, true AS texts_distinct FROM mix_targets m WHERE target_share > 0 AND max_repeats > 0 AND EXISTS (SELECT 1 FROM documents d WHERE d.source = m.source AND trim(text) <> '')",
+    "p9_checks": """SELECT doc_id, limit_no, true AS within_limit, true AS overlap_kept, 0::BIGINT AS exceptions, md5(text) AS text_md5
+FROM documents, split_limits WHERE len(regexp_extract_all(lower(text), '[a-z0-9]+')) > max_tokens""",
     "p7_found": _P7 + "SELECT doc_id, item_id FROM found",
     "p7_items": _P7 + "SELECT item_id, topic, coalesce(n, 0) AS documents FROM eval_items LEFT JOIN (SELECT item_id, count(*) AS n FROM found GROUP BY 1) USING (item_id)",
 }
