@@ -69,23 +69,131 @@ DAILY = [
     r"daily\s+(?:enzyme|substrate|biomarker)\s+(?:level|measurement)", r"daily\s+(?:temperature|fever)\s+(?:monitoring|check)",
     r"daily\s+(?:viral|bacterial)\s+(?:load|count)",
 ]
-#: (pattern with the amount as its first group, unit)
+#: Sampling at an interval; the first group, where there is one, is an amount or a list of times
 INTERVALS = [
-    (r"every\s+(\d+)\s*(?:min(?:ute)?s?)", "M"), (r"(\d+)\s*(?:min(?:ute)?s?)\s+intervals?", "M"), (r"q(\d+)min", "M"),
-    (r"every\s+(\d+)\s*(?:hour|hr)s?", "H"), (r"(\d+)\s*(?:hour|hr)s?\s+intervals?", "H"), (r"q(\d+)h", "H"),
-    (r"glucose\s+(?:every|q)\s*(\d+)\s*(?:min|hour|hr)", "H"), (r"(?:ecg|ekg|bp)\s+(?:every|q)\s*(\d+)\s*(?:min|hour|hr)", "H"),
-    (r"post[\-\s]?(?:vaccination|injection)\s+(?:at|every)\s*(\d+)\s*(?:min|hour)", "H"), (r"observation\s+(?:period|every)\s*(\d+)\s*(?:min|hour)", "H"),
-    (r"(?:during|post)\s+infusion\s+(?:at|every)\s*(\d+)\s*(?:min|hour)", "H"), (r"(?:over|within)\s+(\d+)\s*hours", "H"),
-]
-#: (pattern with the length as its first group, days it counts)
+    r"every\s+(\d+)\s*(?:min(?:ute)?s?)",
+    r"at\s+(?:time\s+)?(\d+(?:,\s*\d+)+)\s*(?:min(?:ute)?s?)",
+    r"(\d+)\s*(?:min(?:ute)?s?)\s+intervals?",
+    r"q(\d+)min",
+    r"every\s+(\d+)\s*(?:hour|hr)s?",
+    r"(\d+)\s*(?:hour|hr)s?\s+intervals?",
+    r"q(\d+)h",
+    r"(?:bid|b\.i\.d\.)",
+    r"(?:tid|t\.i\.d\.)",
+    r"(?:qid|q\.i\.d\.)",
+    r"(?:pk|pharmacokinetic)\s+(?:samples?|sampling)\s+(?:at|:)\s*([\d,\s\.]+)",
+    r"(?:pd|pharmacodynamic)\s+(?:samples?|sampling)\s+(?:at|:)\s*([\d,\s\.]+)",
+    r"(?:0|pre[\-\s]?dose)[,\s]+(\d+(?:[,\s]+\d+)*)\s*(?:min|hour|hr)",
+    r"time\s+(?:0|zero)[,\s]+(\d+(?:[,\s]+\d+)*)",
+    r"glucose\s+(?:every|q)\s*(\d+)\s*(?:min|hour|hr)",
+    r"(?:cgm|continuous\s+glucose)",
+    r"glucose\s+at\s+(\d+(?:,\s*\d+)+)\s*(?:min|hour)",
+    r"(?:ecg|ekg|bp)\s+(?:every|q)\s*(\d+)\s*(?:min|hour|hr)",
+    r"(?:holter|ambulatory)\s+(?:monitoring|ecg)",
+    r"post[\-\s]?(?:vaccination|injection)\s+(?:at|every)\s*(\d+)\s*(?:min|hour)",
+    r"observation\s+(?:period|every)\s*(\d+)\s*(?:min|hour)",
+    r"(?:during|post)\s+infusion\s+(?:at|every)\s*(\d+)\s*(?:min|hour)",
+    r"infusion[\-\s]?related\s+(?:monitoring|assessment)",
+]
+#: Treatment cycles; the first group, where there is one, is a length
 CYCLES = [
-    (r"(\d+)[\s-]*day\s+cycle", 1), (r"cycle\s+(?:length|duration)\s*(?:is|of|:)?\s*(\d+)\s*days?", 1), (r"repeat(?:ed)?\s+every\s+(\d+)\s*days?", 1),
-    (r"repeat(?:ed)?\s+every\s+(\d+)\s*weeks?", 7), (r"(\d+)[\s-]*week\s+cycle", 7), (r"cycle\s+(\d+)\s+day\s+\d+", 0),
-]
+    r"(\d+)[\s-]*day\s+cycle",
+    r"cycle\s+(?:length|duration)\s*(?:is|of|:)?\s*(\d+)\s*days?",
+    r"repeat(?:ed)?\s+every\s+(\d+)\s*(?:days?|weeks?)",
+    r"(\d+)[\s-]*week\s+cycle",
+    r"(?:21|28|35|42)[\s-]*day\s+(?:treatment\s+)?cycle",
+    r"(?:3|4|6)[\s-]*week\s+(?:treatment\s+)?cycle",
+    r"cycle\s+\d+\s+day\s+\d+",
+    r"c\d+d\d+",
+    r"until\s+(?:disease\s+)?progression",
+    r"until\s+(?:unacceptable\s+)?toxicity",
+    r"until\s+(?:death|withdrawal|discontinuation)",
+    r"(?:maximum|up\s+to)\s+(\d+)\s+cycles?",
+    r"maintenance\s+(?:phase|therapy)\s+(?:every|q)\s*(\d+)\s*(?:days?|weeks?)",
+    r"(?:continue|continued)\s+(?:until|for)\s+(\d+)\s*(?:cycles?|weeks?|months?)",
+    r"(?:prime|boost(?:er)?)\s+(?:at|on)\s+(?:day|week)\s+(\d+)",
+    r"(?:second|third|booster)\s+(?:dose|vaccination)\s+(?:at|on)",
+    r"vaccination\s+(?:at|on)\s+(?:day|week)s?\s+(\d+(?:,\s*\d+)*)",
+    r"(?:dialysis|hemodialysis)\s+(?:sessions?|days?)",
+    r"(?:3|three)\s+times?\s+(?:per|a)\s+week",
+]
+#: Words near a cycle that end it, tried in this order
+CYCLE_EXITS = {"progression": "Disease progression", "toxicity": "Unacceptable toxicity"}
+#: Windows; two groups, where there are two, are the first and the last day
 DAY_RANGES = [
-    r"days?\s*([-–−]?\d+)\s*(?:to|through|[-–−])\s*(?:day\s*)?([-–−]?\d+)", r"from\s+day\s*([-–−]?\d+)\s+to\s+day\s*([-–−]?\d+)",
-    r"weeks?\s*(\d+)\s*(?:to|through|[-–])\s*(?:week\s*)?(\d+)",
-]
+    r"day(?:s)?\s*([-–−]?\d+)\s*(?:to|through|[-–−])\s*(?:day\s*)?([-–−]?\d+)",
+    r"from\s+day\s*([-–−]?\d+)\s+to\s+day\s*([-–−]?\d+)",
+    r"during\s+(?:the\s+)?(\d+)[\s-]*day\s+(?:period|window)",
+    r"throughout\s+(?:the\s+)?(?:treatment|study)\s+period",
+    r"week(?:s)?\s*(\d+)\s*(?:to|through|[-–])\s*(?:week\s*)?(\d+)",
+    r"from\s+week\s*(\d+)\s+to\s+week\s*(\d+)",
+    r"(?:screening|washout|run[\-\s]?in)\s+(?:period|window|phase)",
+    r"(?:treatment|active|dosing)\s+(?:period|window|phase)",
+    r"(?:follow[\-\s]?up|observation|safety)\s+(?:period|window|phase)",
+    r"(?:pre|post)[\-\s]?(?:dose|treatment|surgery|procedure)\s+(?:period|window)",
+    r"(\d+)\s+(?:days?|hours?)\s+(?:before|after|pre|post)",
+    r"(?:in[\-\s]?patient|hospitalization|confinement)\s+(?:period|days?)",
+    r"(?:days?\s+)?[-–]?\s*(\d+)\s+to\s+(?:day\s+)?(\d+)\s+(?:in[\-\s]?patient|hospitalized)",
+    r"(?:balance|metabolic)\s+(?:period|collection|study)",
+    r"(?:24|48|72)[\-\s]?(?:hour|hr)\s+(?:urine|stool|collection)",
+    r"washout\s+(?:period|phase)\s+(?:of\s+)?(\d+)\s*(?:days?|weeks?)",
+    r"(?:minimum|at\s+least)\s+(\d+)\s*(?:days?|weeks?)\s+washout",
+]
+#: Collections that are made every day, with their kinds
+DAILY_COLLECTIONS = [
+    (r"(?:24[\-\s]?hour|daily)\s+urine\s+(?:collection|sample)", "urine_collection"),
+    (r"(?:feces|stool|fecal)\s+(?:collection|sample)", "feces_collection"),
+    (r"(?:controlled|standardized)\s+(?:meal|diet)", "controlled_meal"),
+    (r"daily\s+(?:meal|food)\s+(?:intake|consumption)", "meal_intake"),
+    (r"(?:copper|cu|molybdenum|mo)\s+balance", "balance_collection"),
+    (r"daily\s+weight", "daily_weight"),
+    (r"daily\s+diary", "daily_diary"),
+]
+#: Fixed value: a range of days near such a collection
+NEARBY_RANGE = r"(?:days?\s*)?([-–]?\d+)\s*(?:to|through|[-–])\s*(?:days?\s*)?([-–]?\d+)"
+#: Sampling schedules with their kinds. A list of times is numbers with commas between them.
+_TIMES = r"(\d+(?:\.\d+)?(?:\s*,\s*\d+(?:\.\d+)?)*)(?:\s*,\s*)?"
+SAMPLINGS = [
+    (r"(?:PK|pharmacokinetic|blood)\s*(?:sampling|samples?)?\s*(?:at|:)?\s*" + _TIMES + r"\s*(?:min(?:utes?)?|h(?:ours?)?)", "pk"),
+    (r"(?:predose|pre-dose|baseline)\s*,?\s*" + _TIMES + r"\s*(?:min(?:utes?)?|h(?:ours?)?)", "pk"),
+    (r"(?:sampling|samples?)\s*(?:at)?\s*(?:time)?\s*" + _TIMES + r"\s*(?:h(?:ours?)?|min(?:utes?)?)", "pk"),
+    (r"(?:plasma\s+)?glucose\s*(?:sampling|samples?|measurements?)?\s*(?:at|:)?\s*" + _TIMES + r"\s*(?:min(?:utes?)?)", "glucose"),
+    (r"(?:PD|pharmacodynamic)\s*(?:sampling|samples?)\s*(?:at|:)?\s*" + _TIMES + r"\s*(?:min(?:utes?)?)", "glucose"),
+    (r"glucose\s*(?:measured|collected)\s*(?:at)?\s*(?:times?)?\s*" + _TIMES + r"\s*(?:min(?:utes?)?)", "glucose"),
+    (r"minimum\s*(?:of)?\s*(\d+)\s*(?:samples?|observations?|measurements?)", "minimum"),
+    (r"at\s*least\s*(\d+)\s*(?:samples?|observations?)\s*(?:per|each)\s*(?:window|period|visit)", "minimum"),
+    (r"no\s*fewer\s*than\s*(\d+)\s*(?:samples?|observations?)", "minimum"),
+    (r"[≥>=]\s*(\d+)\s*(?:samples?|observations?)\s*(?:required|necessary)", "minimum"),
+    (r"intensive\s*(?:PK|pharmacokinetic)?\s*sampling", "dense"),
+    (r"dense\s*sampling\s*(?:window|period)?", "dense"),
+    (r"serial\s*(?:blood)?\s*sampling", "dense"),
+    (r"frequent\s*sampling", "dense"),
+    (r"sparse\s*sampling\s*(?:design|approach)?", "sparse"),
+    (r"population\s*(?:PK|pharmacokinetic)\s*(?:sampling)?", "sparse"),
+    (r"limited\s*sampling", "sparse"),
+]
+#: Analysis windows named without days, with their kinds
+ANALYSIS_MARKS = [
+    (r"accumulation\s+(?:period|window|phase)", "accumulation"),
+    (r"(?:initial|early)\s+(?:treatment\s+)?(?:period|phase)", "accumulation"),
+    (r"steady[\-\s]?state\s+(?:period|window|phase)", "steady_state"),
+    (r"(?:maintenance|stable)\s+(?:treatment\s+)?(?:period|phase)", "steady_state"),
+    (r"treatment\s+(?:period|window|phase)\s*(?:\d+)?", "treatment"),
+    (r"(?:active|dosing)\s+(?:period|phase)", "treatment"),
+]
+#: Layouts of footnotes with two groups, label and text, and what stands before the label
+FOOTNOTE_LAYOUTS = [
+    ("letters", r"(?mds)^([a-z])[\.\)]\s+(.+?)(?=^[a-z][\.\)]|\z)", ""),
+    ("brackets", r"(?ids)\[([a-z\d]+)\]\s*[:\.]?\s*(.+?)(?=\[[a-z\d]+\]|\n\n|\z)", "["),
+    ("superscripts", r"(?ids)[\^ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻ]([a-z])\s*[:\.]?\s*(.+?)(?=[\^ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻ][a-z]|\n\n|\z)", "^"),
+    ("numbers", r"(?mds)(?:^|\n)(\d{1,2})[\.\)]\s+([A-Z].+?)(?=(?:^|\n)\d{1,2}[\.\)]|\n\n|\z)", ""),
+]
+#: Sections of footnotes; the group is the section
+FOOTNOTE_SECTIONS = [
+    r"(?imds)(?:footnotes?|notes?\s+to\s+table|table\s+notes?)\s*[:\-]?\s*\n(.+?)(?=\n\n\n|\z|(?:^[A-Z][A-Z\s]+:))",
+    r"(?imds)(?:abbreviations?.*?:?\s*\n)?([a-z]\.\s+.+?)(?=\n\n\n|\z)",
+]
+#: Analysis windows with their first and last day
 ANALYSIS_WINDOWS = {
     "baseline": r"(?:baseline|pre[\-\s]?treatment)\s+(?:period|window|phase|days?)?\s*[:\-]?\s*(?:days?\s*)?([-–−]?\s*\d+)\s*(?:to|through|[-–−])\s*(?:days?\s*)?([-–−]?\s*\d+)",
     "treatment": r"(?:treatment|dosing|active)\s+(?:period|window|phase)?\s*[:\-]?\s*(?:days?\s*)?(\d+)\s*(?:to|through|[-–])\s*(?:days?\s*)?(\d+)",

@@ -6,6 +6,7 @@ are read once whatever the number of patterns, and no pattern table is joined.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,29 +20,139 @@ def _ci(pattern: str) -> str:
     return "(?i)" + pattern
 
 
-def matches(df: DataFrame, keys: list[str], patterns: list[tuple[str, str]], groups: int = 0, text: str = "text") -> DataFrame:
-    """One row per match: (*keys, kind, pattern_no, match_no, found, g1, g2).
+def matches(df: DataFrame, keys: list[str], patterns: list[tuple[str, str]], groups: int = 0, text: str = "text", context: int | None = None) -> DataFrame:
+    """One row per match: (*keys, kind, pattern_no, match_no, found, g1, g2[, start, context]).
 
     ``patterns`` are (pattern, kind); case doesn't count. ``groups`` groups of
-    each are taken. Null texts give no rows. Texts without any match are
+    each are taken, as far as it has them. With ``context`` come the place of
+    the match, from 0, and the text from so many characters before it to so
+    many after it. Null texts give no rows. Texts without any match are
     dropped by one test before the matches are laid out.
     """
     none = F.lit(None).cast("string")
-
-    def cell(no: int, kind: str):
-        return lambda x, i: F.struct(
-            F.lit(kind).alias("kind"), F.lit(no).alias("pattern_no"), i.alias("match_no"), x["found"].alias("found"),
-            (x["g1"] if groups >= 1 else none).alias("g1"), (x["g2"] if groups >= 2 else none).alias("g2"),
-        )
+    names = ("found", "g1", "g2")
+
+    def cell(no: int, kind: str, have: int):
+        def one(x, i):
+            out = [
+                F.lit(kind).alias("kind"), F.lit(no).alias("pattern_no"), i.alias("match_no"), x["found"].alias("found"),
+                (x["g1"] if have >= 1 else none).alias("g1"), (x["g2"] if have >= 2 else none).alias("g2"),
+            ]
+            if context is not None:
+                at = x["start"]
+                first = F.greatest(F.lit(0), at - context)
+                out += [at.alias("start"), F.col(text).substr(first + 1, at + F.length(x["found"]) + context - first).alias("context")]
+            return F.struct(*out)
+
+        return one
 
     parts = []
     for no, (p, kind) in enumerate(patterns):
-        arrays = [F.regexp_extract_all(text, F.lit(_ci(p)), F.lit(g)).alias(n) for g, n in list(enumerate(("found", "g1", "g2")))[: groups + 1]]
-        parts.append(F.transform(_zip(arrays), cell(no, kind)))
+        have = min(groups, re.compile(p).groups)
+        arrays = [F.regexp_extract_all(text, F.lit(_ci(p)), F.lit(g)).alias(n) for g, n in list(enumerate(names))[: have + 1]]
+        # whatever is worked out per text is an argument of the transform, not part of its lambda
+        structs = _zip(arrays) if context is None else _with(_zip(arrays), starts(F.col(text), p, arrays[0]), "start")
+        parts.append(F.transform(structs, cell(no, kind, have)))
     some = df.where(F.col(text).rlike("(?i)" + "|".join(f"(?:{p})" for p, _ in patterns)))
     return some.select(*keys, F.explode(F.concat(*parts)).alias("m")).select(*keys, "m.*")
 
 
+def starts(text: Column, pattern: str, found: Column) -> Column:
+    """Where each match begins, from 0: what stands between the matches adds up to their places."""
+    between = F.split(text, _ci(pattern), -1)
+    steps = F.filter(F.zip_with(between, found, lambda b, f: F.struct(F.length(b).alias("b"), F.length(f).alias("f"))), lambda s: s["f"].isNotNull())
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    step = lambda acc, s: F.struct((acc["at"] + s["b"] + s["f"]).alias("at"), F.concat(acc["out"], F.array(acc["at"] + s["b"])).alias("out"))
+    return F.aggregate(steps, none, step, lambda acc: acc["out"])
+
+
+def interval_unit(pattern: str) -> str:
+    """H for patterns that speak of hours, else M."""
+    return "H" if "hour" in pattern or "hr" in pattern or pattern.endswith("h") else "M"
+
+
+def interval(g1: Column, unit: Column) -> tuple[Column, Column]:
+    """(interval as ISO text, number of observations) of what a pattern took.
+
+    One amount is the interval. A list of times is so many observations, as
+    many minutes apart as its first two; a list with anything but whole numbers
+    says nothing.
+    """
+    trim = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    parts = F.transform(F.split(g1, ","), lambda x: trim(x))
+    whole = F.forall(parts, lambda x: x.rlike(r"^\d+$"))
+    times = F.transform(parts, lambda x: x.try_cast("bigint"))
+    listed = g1.contains(",")
+    step = F.concat(F.lit("PT"), (F.get(times, F.lit(1)) - F.get(times, F.lit(0))).cast("string"), F.lit("M"))
+    single = F.when(trim(g1).rlike(r"^\d+$"), F.concat(F.lit("PT"), trim(g1).try_cast("bigint").cast("string"), unit))
+    return F.when(listed, F.when(whole, step)).otherwise(single), F.when(listed & whole, F.size(times))
+
+
+def daily_bindings(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Daily collections with each range of days near them: (*keys, activity, pattern_no, match_no, activity_name, range_no, expected, start_iso, end_iso)."""
+    near = F.lit(_ci(P.NEARBY_RANGE))
+    found = matches(df, keys, P.DAILY_COLLECTIONS, context=200)
+    days = _zip([F.regexp_extract_all("context", near, F.lit(g)) for g in (0, 1, 2)])
+    rows = found.select(*keys, "kind", "pattern_no", "match_no", "found", F.posexplode(days).alias("range_no", "r"))
+    a, b = (T.signed_day(F.col(f"r.{g}")).cast("bigint") for g in ("g1", "g2"))
+    iso = lambda x: F.concat(F.when(x < 0, "-P").otherwise("P"), F.abs(x).cast("string"), F.lit("D"))
+    return rows.select(
+        *keys, F.col("kind").alias("activity"), "pattern_no", "match_no", F.col("found").alias("activity_name"), "range_no", (F.abs(b - a) + 1).alias("expected"), iso(a).alias("start_iso"), iso(b).alias("end_iso")
+    )
+
+
+def samplings(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Sampling schedules and densities: (*keys, kind, pattern_no, match_no, found, samples, unit).
+
+    ``pk`` and ``glucose`` schedules have three times or more, a ``minimum`` is
+    from 2 to 50 samples; ``dense`` and ``sparse`` are marks without a number.
+    """
+    m, kind, low = matches(df, keys, P.SAMPLINGS, 1), F.col("kind"), F.lower("found")
+    listed = kind.isin("pk", "glucose")
+    samples = F.when(listed, F.size(F.split("g1", ",")).cast("bigint")).when(kind == "minimum", F.col("g1").try_cast("bigint"))
+    hours = low.contains("hour") | low.contains(" h")
+    unit = F.when(kind == "glucose", "minutes").when(kind == "pk", F.when(hours, "hours").otherwise("minutes"))
+    out = m.select(*keys, "kind", "pattern_no", "match_no", "found", samples.alias("samples"), unit.alias("unit"))
+    return out.where(kind.isin("dense", "sparse") | (listed & (F.col("samples") >= 3)) | ((kind == "minimum") & F.col("samples").between(2, 50)))
+
+
+def _then(note, layout: str, tidy):
+    return lambda label, body: note(layout, label, tidy(body))
+
+
+def _fits_but(fits, heading: str):
+    return lambda x: fits(x["footnote"]) & ~x["footnote"].rlike(heading)
+
+
+def footnote_layouts(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """Footnotes of every layout in the order of the layouts: (*keys, pos, layout, label, footnote).
+
+    Lettered, bracketed, superscript and numbered notes, then the parts of
+    sections that are headed as notes or begin with a letter. White space is
+    one blank; texts of up to 15 or of 800 characters and more are none. A part
+    without a label is called by its place in the list.
+    """
+    c = F.col(text)
+    tidy = lambda x: F.regexp_replace(F.regexp_replace(x, r"^\s+|\s+$", ""), r"\s+", " ")
+    note = lambda layout, label, body: F.struct(F.lit(layout).alias("layout"), label.alias("label"), body.alias("footnote"))
+    fits = lambda x: (F.length(x) > 15) & (F.length(x) < 800)
+    lists = []
+    for layout, p, mark in P.FOOTNOTE_LAYOUTS:
+        label = F.regexp_extract_all(c, F.lit(p), F.lit(1))
+        shown = {"[": lambda x: F.concat(F.lit("["), x, F.lit("]")), "^": lambda x: F.concat(F.lit("^"), x), "": lambda x: x}[mark]
+        found = F.zip_with(F.transform(label, shown), F.regexp_extract_all(c, F.lit(p), F.lit(2)), _then(note, layout, tidy))
+        heading = "^(?:Table|Figure|Section)" if layout == "numbers" else "^$"
+        lists.append(F.filter(found, _fits_but(fits, heading)))
+    for p in P.FOOTNOTE_SECTIONS:
+        parts = F.transform(F.split(F.regexp_extract(c, p, 1), r"\n(?=[a-z][.)])"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+        kept = F.filter(parts, fits)
+        label = lambda x: T.group(x, r"^([a-z])[.)]", 1)
+        found = F.transform(kept, lambda x: note("section", label(x), tidy(F.when(label(x).isNull(), x).otherwise(F.regexp_replace(x, r"^[a-z][.)]\s*", "")))))
+        lists.append(F.filter(found, lambda x: x["footnote"] != ""))
+    out = df.where(c.isNotNull()).select(*keys, F.posexplode(F.concat(*lists)).alias("pos", "n"))
+    return out.select(*keys, "pos", "n.layout", F.coalesce("n.label", F.concat(F.lit("fn_"), (F.col("pos") + 1).cast("string"))).alias("label"), "n.footnote")
+
+
 def _zip(arrays: list[Column]) -> Column:
     """Arrays of one length as an array of structs with the fields found, g1, g2."""
     out = F.transform(arrays[0], lambda x: F.struct(x.alias("found")))

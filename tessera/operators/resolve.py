@@ -22,6 +22,12 @@ EMPTY_CELLS = ["", "-", "—", "N", "n", "No", "no"]
 BOOST_BP, PENALTY_BP = 1000, 1500
 
 
+
+def _strip(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def source_priority(source: Column | str) -> Column:
     c = F.col(source) if isinstance(source, str) else source
     out = F.lit(OTHER_PRIORITY)
@@ -32,7 +38,7 @@ def source_priority(source: Column | str) -> Column:
 
 def filled(c: Column) -> Column:
     """The value, null where it is blank text."""
-    return F.when(F.coalesce(F.trim(c.cast("string")), F.lit("")) != "", c)
+    return F.when(F.coalesce(_strip(c.cast("string")), F.lit("")) != "", c)
 
 
 def contributions(sources: list[tuple[str, int, DataFrame]]) -> DataFrame:
@@ -76,7 +82,7 @@ def names_with_context(df: DataFrame, keys: list[str], name: str, context: list[
 
 def values_agree(a: Column, b: Column) -> Column:
     """Two cell values are the same: ticks, empty marks, equal numbers, or text but for case."""
-    x, y = F.trim(F.coalesce(a, F.lit(""))), F.trim(F.coalesce(b, F.lit("")))
+    x, y = _strip(F.coalesce(a, F.lit(""))), _strip(F.coalesce(b, F.lit("")))
     return (
         (x.isin(TICKS) & y.isin(TICKS)) | (x.isin(EMPTY_CELLS) & y.isin(EMPTY_CELLS))
         | F.coalesce(x.try_cast("double") == y.try_cast("double"), F.lit(False)) | (F.lower(x) == F.lower(y))
@@ -93,7 +99,7 @@ def reconcile_cells(cells: DataFrame) -> DataFrame:
     """
     v, t = F.col("vision_value"), F.col("text_value")
     # staged, so that each test is computed once and the generated code stays small
-    staged = cells.withColumns({"__x": F.trim(v), "__y": F.trim(t), "__vb": F.coalesce("vision_bp", F.lit(5000)), "__tb": F.coalesce("text_bp", F.lit(5000))})
+    staged = cells.withColumns({"__x": _strip(v), "__y": _strip(t), "__vb": F.coalesce("vision_bp", F.lit(5000)), "__tb": F.coalesce("text_bp", F.lit(5000))})
     flags = {"__both": v.isNotNull() & t.isNotNull(), "__same": F.lower("__x") == F.lower("__y")}
     for side in "xy":
         c = F.col(f"__{side}")

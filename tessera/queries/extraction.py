@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -19,6 +20,7 @@ from tessera.operators import validate as V
 from tessera.operators.sequence import lines_of
 from tessera.plans.runtime import materialize, table
 from tessera.queries import sqltext as Q
+from tessera.queries import views
 from tessera.queries.linking import OB, SV, _current, _encounters, _epochs, _objectives
 from tessera.sources import documents as D
 
@@ -44,11 +46,15 @@ DOCS = "d AS (SELECT doc_id, any_value(text) AS text FROM documents WHERE text I
 
 
 def _matches_sql(patterns, groups=0) -> str:
+    """All matches with their places, from the text between them."""
     parts = []
     for no, (p, kind) in enumerate(patterns):
-        g = [f"unnest(regexp_extract_all(text, {Q.quoted('(?i)' + p)}, {i})) AS {n}" for i, n in list(enumerate(("found", "g1", "g2")))[: groups + 1]]
-        g += [f"NULL::VARCHAR AS {n}" for n in ("g1", "g2")[groups:]]
-        parts.append(f"SELECT doc_id, {Q.quoted(kind)} AS kind, {no} AS pattern_no, generate_subscripts(regexp_extract_all(text, {Q.quoted('(?i)' + p)}, 0), 1) - 1 AS match_no, {', '.join(g)} FROM d")
+        q = Q.quoted("(?i)" + p)
+        have = min(groups, re.compile(p).groups)
+        got = [f"regexp_extract_all(text, {q}, {i}) AS {n}" for i, n in list(enumerate(("found", "g1", "g2")))[: have + 1]]
+        took = [f"{n}[i] AS {n}" for n in ("found", "g1", "g2")[: have + 1]] + [f"NULL::VARCHAR AS {n}" for n in ("g1", "g2")[have:]]
+        place = "coalesce(list_sum([length(x) for x in between_[1:i]]), 0) + coalesce(list_sum([length(x) for x in found[1:i - 1]]), 0) AS start"
+        parts.append(f"SELECT doc_id, text, {Q.quoted(kind)} AS kind, {no} AS pattern_no, i - 1 AS match_no, {', '.join(took)}, {place} FROM (SELECT doc_id, text, {', '.join(got)}, string_split_regex(text, {q}) AS between_ FROM d), unnest(range(1, len(found) + 1)) r(i)")
     return " UNION ALL ".join(parts)
 
 
@@ -73,21 +79,33 @@ def j02_daily(spark, d):
     return X.matches(_docs(spark, d), ["doc_id"], _DAILY).select("doc_id", "kind", "pattern_no", "match_no", "found", F.lit("P1D").alias("interval"))
 
 
-@query(f"WITH {DOCS}, m AS ({_matches_sql(P.INTERVALS, 1)}) SELECT doc_id, kind, pattern_no, match_no, found, 'PT' || g1 || kind AS interval FROM m")
+_INTERVAL = [(p, X.interval_unit(p)) for p in P.INTERVALS]
+_TRIMMED = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')".replace("\\\\", "\\")
+
+
+@query(rf"""WITH {DOCS}, m AS ({_matches_sql(_INTERVAL, 1)}), t AS (SELECT *, [{_TRIMMED.format('x')} for x in string_split(g1, ',')] AS parts FROM m),
+  w AS (SELECT *, contains(g1, ',') AS listed, len([x for x in parts if NOT regexp_full_match(x, '\d+')]) = 0 AS whole FROM t)
+  SELECT doc_id, pattern_no, match_no, found, CASE WHEN listed AND whole THEN 'PT' || (parts[2]::BIGINT - parts[1]::BIGINT) || 'M' WHEN NOT listed AND whole THEN 'PT' || parts[1]::BIGINT || kind END AS interval, CASE WHEN listed AND whole THEN len(parts)::INT END AS observations FROM w""")
 def j03_intervals(spark, d):
-    """Repetitions at an interval."""
-    return X.matches(_docs(spark, d), ["doc_id"], P.INTERVALS, 1).select("doc_id", "kind", "pattern_no", "match_no", "found", F.concat(F.lit("PT"), "g1", "kind").alias("interval"))
+    """Repetitions at an interval, and lists of times."""
+    m = X.matches(_docs(spark, d), ["doc_id"], _INTERVAL, 1)
+    iso, n = X.interval(F.col("g1"), F.col("kind"))
+    return m.select("doc_id", "pattern_no", "match_no", "found", iso.alias("interval"), n.alias("observations"))
 
 
-_CYC = [(p, str(n)) for p, n in P.CYCLES]
+_CYC = [(p, "cycle") for p in P.CYCLES]
+_CONTEXT = "lower(substring(text, (greatest(start - {0}, 0) + 1)::BIGINT, (start + length(found) + {0} - greatest(start - {0}, 0))::BIGINT))"
+_EXIT_SQL = "CASE " + " ".join(f"WHEN contains({_CONTEXT.format(200)}, {Q.quoted(w)}) THEN {Q.quoted(x)}" for w, x in P.CYCLE_EXITS.items()) + " END"
 
 
-@query(f"WITH {DOCS}, m AS ({_matches_sql(_CYC, 1)}) SELECT doc_id, pattern_no, match_no, found, CASE WHEN kind <> '0' THEN 'P' || CAST(g1 AS BIGINT) * CAST(kind AS BIGINT) || 'D' END AS cycle_length FROM m")
+@query(f"WITH {DOCS}, m AS ({_matches_sql(_CYC, 1)}) SELECT doc_id, pattern_no, match_no, found, CASE WHEN try_cast(g1 AS BIGINT) <> 0 THEN 'P' || g1::BIGINT || 'D' END AS cycle_length, {_EXIT_SQL} AS exit_condition FROM m")
 def j04_cycles(spark, d):
-    """Treatment cycles with their length in days; weeks count seven."""
-    m = X.matches(_docs(spark, d), ["doc_id"], _CYC, 1)
-    days = F.when(F.col("kind") != "0", F.concat(F.lit("P"), (F.col("g1").try_cast("bigint") * F.col("kind").cast("bigint")).cast("string"), F.lit("D")))
-    return m.select("doc_id", "pattern_no", "match_no", "found", days.alias("cycle_length"))
+    """Treatment cycles with their length and the condition that ends them, if one is within 200 characters."""
+    m = X.matches(_docs(spark, d), ["doc_id"], _CYC, 1, context=200)
+    n = F.col("g1").try_cast("bigint")
+    near = F.lower("context")
+    ends = F.coalesce(*[F.when(near.contains(w), x) for w, x in P.CYCLE_EXITS.items()])
+    return m.select("doc_id", "pattern_no", "match_no", "found", F.when(n != 0, F.concat(F.lit("P"), n.cast("string"), F.lit("D"))).alias("cycle_length"), ends.alias("exit_condition"))
 
 
 _RANGE = [(p, "range") for p in P.DAY_RANGES]
@@ -95,31 +113,53 @@ _DAYNUM = "(CASE WHEN regexp_matches({0}, '[-–−]') THEN -1 ELSE 1 END * CAST
 _ISO = "CASE WHEN {0} = 0 THEN NULL WHEN {0} < 0 THEN '-P' || -({0}) || 'D' ELSE 'P' || {0} || 'D' END"
 
 
-_RANGE_TEXTS = ["Days -4 to -1, then day 1 through 7", "from Day –3 to Day 28", "weeks 2 - 8", "no range"]
-_STATED_RANGES = f"d AS (SELECT doc_id, list_extract([{', '.join(map(Q.quoted, _RANGE_TEXTS))}], CAST(doc_id % 4 + 1 AS INT)) || ' for ' || source AS text FROM documents WHERE source IS NOT NULL)"
+@query(f"WITH {DOCS}, m AS ({_matches_sql(_RANGE, 2)}) SELECT doc_id, pattern_no, match_no, found, CASE WHEN g2 IS NOT NULL THEN {_ISO.format(_DAYNUM.format('g1'))} END AS start_iso, CASE WHEN g2 IS NOT NULL THEN {_ISO.format(_DAYNUM.format('g2'))} END AS end_iso FROM m")
+def j05_day_ranges(spark, d):
+    """Windows of continuous collection; those with two days as signed ISO text."""
+    m = X.matches(_docs(spark, d), ["doc_id"], _RANGE, 2)
+    iso = lambda c: F.when(F.col("g2").isNotNull() & (T.signed_day(c) != 0), T.iso_duration(T.signed_day(c).cast("bigint")))
+    return m.select("doc_id", "pattern_no", "match_no", "found", iso("g1").alias("start_iso"), iso("g2").alias("end_iso"))
+
 
+_NEAR = Q.quoted("(?i)" + P.NEARBY_RANGE)
+_SIGNED = "CASE WHEN {0} >= 0 THEN 'P' || {0} || 'D' ELSE '-P' || -({0}) || 'D' END"
 
-@query(f"WITH {_STATED_RANGES}, m AS ({_matches_sql(_RANGE, 2)}) SELECT doc_id, pattern_no, match_no, {_ISO.format(_DAYNUM.format('g1'))} AS start_iso, {_ISO.format(_DAYNUM.format('g2'))} AS end_iso, abs({_DAYNUM.format('g2')} - {_DAYNUM.format('g1')}) + 1 AS n FROM m")
-def j05_day_ranges(spark, d):
-    """Windows of days as signed ISO text (with j06)."""
-    stated = F.element_at(F.array(*map(F.lit, _RANGE_TEXTS)), (F.col("doc_id") % 4 + 1).cast("int"))
-    docs = table(spark, d, "documents").where("source IS NOT NULL").select("doc_id", F.concat(stated, F.lit(" for "), "source").alias("text"))
-    m = X.matches(docs, ["doc_id"], _RANGE, 2)
-    a, b = T.signed_day("g1").cast("bigint"), T.signed_day("g2").cast("bigint")
-    iso = lambda x: F.when(x != 0, T.iso_duration(x))
-    return m.select("doc_id", "pattern_no", "match_no", iso(a).alias("start_iso"), iso(b).alias("end_iso"), (F.abs(b - a) + 1).alias("n"))
+
+@query(f"""WITH {DOCS}, m AS ({_matches_sql(P.DAILY_COLLECTIONS)}), c AS (SELECT *, substring(text, (greatest(start - 200, 0) + 1)::BIGINT, (start + length(found) + 200 - greatest(start - 200, 0))::BIGINT) AS near FROM m),
+  r AS (SELECT doc_id, kind, pattern_no, match_no, found, unnest(range(0, len(regexp_extract_all(near, {_NEAR})))) AS range_no, unnest(regexp_extract_all(near, {_NEAR}, 1)) AS g1, unnest(regexp_extract_all(near, {_NEAR}, 2)) AS g2 FROM c),
+  n AS (SELECT *, {_DAYNUM.format('g1')} AS a, {_DAYNUM.format('g2')} AS b FROM r)
+  SELECT doc_id, kind AS activity, pattern_no, match_no, found AS activity_name, range_no::INT AS range_no, abs(b - a) + 1 AS expected, {_SIGNED.format('a')} AS start_iso, {_SIGNED.format('b')} AS end_iso FROM n""")
+def j06_daily_bindings(spark, d):
+    """Daily collections bound to every range of days within 200 characters, with the number of collections expected."""
+    return X.daily_bindings(_docs(spark, d), ["doc_id"])
 
 
 _ANW = [(p, k) for k, p in P.ANALYSIS_WINDOWS.items()]
-_STATED = "d AS (SELECT doc_id, list_extract(['Baseline period: days -7 to -1', 'Treatment period day 1 to day 28', 'steady-state phase: days 14 - 28', 'none'], CAST(doc_id % 4 + 1 AS INT)) || ' for ' || source AS text FROM documents WHERE source IS NOT NULL)"
 
 
-@query(f"WITH {_STATED}, m AS ({_matches_sql(_ANW, 2)}) SELECT doc_id, kind, {_DAYNUM.format('g1')} AS start_day, {_DAYNUM.format('g2')} AS end_day FROM m")
+@query(f"""WITH {DOCS}, m AS ({_matches_sql(_ANW, 2)}), k AS ({_matches_sql(P.ANALYSIS_MARKS)})
+  SELECT doc_id, kind, found, {_DAYNUM.format('g1')} AS start_day, {_DAYNUM.format('g2')} AS end_day FROM m UNION ALL SELECT doc_id, kind, found, NULL, NULL FROM k""")
 def j07_analysis_windows(spark, d):
-    """Analysis windows of statements like 'Baseline period: days -7 to -1'."""
-    stated = F.element_at(F.array(*map(F.lit, ["Baseline period: days -7 to -1", "Treatment period day 1 to day 28", "steady-state phase: days 14 - 28", "none"])), (F.col("doc_id") % 4 + 1).cast("int"))
-    docs = table(spark, d, "documents").where("source IS NOT NULL").select("doc_id", F.concat(stated, F.lit(" for "), "source").alias("text"))
-    return X.matches(docs, ["doc_id"], _ANW, 2).select("doc_id", "kind", T.signed_day("g1").cast("bigint").alias("start_day"), T.signed_day("g2").cast("bigint").alias("end_day"))
+    """Analysis windows with their days, like 'Baseline period: days -7 to -1', and those named without days."""
+    docs, day = _docs(spark, d), lambda c: T.signed_day(c).cast("bigint")
+    with_days = X.matches(docs, ["doc_id"], _ANW, 2).select("doc_id", "kind", "found", day("g1").alias("start_day"), day("g2").alias("end_day"))
+    named = X.matches(docs, ["doc_id"], P.ANALYSIS_MARKS).select("doc_id", "kind", "found", F.lit(None).cast("bigint").alias("start_day"), F.lit(None).cast("bigint").alias("end_day"))
+    return with_days.unionByName(named)
+
+
+@query(f"""WITH {DOCS}, m AS ({_matches_sql(P.SAMPLINGS, 1)}), n AS (SELECT *, len(string_split(g1, ',')) AS times, try_cast(g1 AS BIGINT) AS least FROM m)
+  SELECT doc_id, kind, pattern_no, match_no, found, CASE WHEN kind IN ('pk', 'glucose') THEN times WHEN kind = 'minimum' THEN least END AS samples,
+    CASE WHEN kind = 'glucose' THEN 'minutes' WHEN kind = 'pk' THEN CASE WHEN contains(lower(found), 'hour') OR contains(lower(found), ' h') THEN 'hours' ELSE 'minutes' END END AS unit
+  FROM n WHERE kind IN ('dense', 'sparse') OR (kind IN ('pk', 'glucose') AND times >= 3) OR (kind = 'minimum' AND least BETWEEN 2 AND 50)""")
+def j10_sampling(spark, d):
+    """Sampling schedules (three times or more), least numbers of samples (2 to 50), dense and sparse sampling."""
+    return X.samplings(_docs(spark, d), ["doc_id"])
+
+
+@query()
+def j15_footnote_layouts(spark, d):
+    """Footnotes of five layouts in order."""
+    return X.footnote_layouts(_docs(spark, d), ["doc_id"]).select("doc_id", "pos", "layout", "label", F.md5("footnote").alias("footnote"))
 
 
 @query(rf"WITH {DOCS} SELECT doc_id, regexp_extract(text, '(?i)(?:\d+)[\-\s]?hours?', 0) AS first_span FROM d WHERE regexp_matches(text, '(?i)(?:\d+)[\-\s]?hours?')")
@@ -130,7 +170,7 @@ def j08_collection_anchor(spark, d):
 
 @query(rf"WITH {DOCS} SELECT doc_id, len(regexp_extract_all(text, '\d+(?:\.\d+)?')) AS numbers FROM d WHERE len(regexp_extract_all(text, '\d+(?:\.\d+)?')) >= 3")
 def j09_number_lists(spark, d):
-    """Texts with three numbers or more (with j10)."""
+    """Texts with three numbers or more."""
     n = F.size(F.regexp_extract_all("text", F.lit(r"\d+(?:\.\d+)?"), F.lit(0)))
     return _docs(spark, d).select("doc_id", n.alias("numbers")).where("numbers >= 3")
 
@@ -169,7 +209,7 @@ def j13_dosing(spark, d):
   n AS (SELECT doc_id, block, max(label) AS label, string_agg(CASE WHEN label IS NOT NULL THEN trim(regexp_replace(line, '^\\s*(?:[a-z]|\\d{{1,2}})[.)]\\s+', '')) ELSE trim(line) END, ' ' ORDER BY line_no) AS f FROM b WHERE NOT stop GROUP BY ALL)
   SELECT doc_id, label, md5(max_by(f, block)) AS footnote FROM n WHERE label IS NOT NULL GROUP BY ALL""".replace("\\\\", "\\"))
 def j27_footnotes(spark, d):
-    """Footnotes out of lines, the last of a label (with j15)."""
+    """Footnotes out of lines, the last of a label."""
     return X.footnote_blocks(lines_of(_docs(spark, d), ["doc_id"]), ["doc_id"]).select("doc_id", "label", F.md5("footnote").alias("footnote"))
 
 
@@ -396,18 +436,19 @@ def _codes(table_):
     return "(VALUES " + ", ".join(f"({Q.quoted(k)}, {Q.quoted(v)}, {i})" for i, (k, v) in enumerate(table_.items())) + ") c(k, code, i)"
 
 
-@query(f"WITH t AS (SELECT DISTINCT list_extract(['Phase 2', 'a Phase II/III trial', 'phase 1/2', 'Open-label', 'none'], CAST(doc_id % 5 + 1 AS INT)) AS text FROM documents) SELECT text, min_by(code, CASE WHEN k = lower(text) THEN -1 ELSE i END) AS code FROM t LEFT JOIN {_codes({**P.PHASES, **P.BLINDING_CODES})} ON contains(lower(text), k) OR contains(k, lower(text)) GROUP BY ALL")
+@query(f"WITH {Q.NAMES}, t AS (SELECT name AS text FROM names WHERE name <> '' UNION SELECT entity_name FROM enrichment WHERE entity_name <> '' UNION SELECT trim(unnest(string_split(text, chr(10)))) FROM documents) SELECT text, min_by(code, CASE WHEN k = lower(text) THEN -1 ELSE i END) AS code FROM t JOIN {_codes({**P.PHASES, **P.BLINDING_CODES})} ON contains(lower(text), k) OR contains(k, lower(text)) WHERE text <> '' GROUP BY ALL")
 def i52_code_by_text(spark, d):
-    """Codes by equal, else by first contained or containing key (with i53, l07)."""
+    """Names, typed terms and lines that have a code, by equal, else by first contained or containing key (with i53, l07)."""
     keys = {**P.PHASES, **P.BLINDING_CODES}
-    texts = ["Phase 2", "a Phase II/III trial", "phase 1/2", "Open-label", "none"]
     low = F.lower("text")
     code = F.when(F.lit(False), "")
     for k, v in keys.items():
         code = code.when(low == k, v)
     for k, v in keys.items():
         code = code.when(low.contains(k) | F.lit(k).contains(low), v)
-    return table(spark, d, "documents").select(F.element_at(F.array(*map(F.lit, texts)), (F.col("doc_id") % 5 + 1).cast("int")).alias("text")).distinct().select("text", code.otherwise(None).alias("code"))
+    lines = table(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("text")).select(F.trim("text").alias("text"))
+    texts = views.names(spark, d).select(F.col("name").alias("text")).unionByName(table(spark, d, "enrichment").select(F.col("entity_name").alias("text"))).unionByName(lines)
+    return texts.where("text <> ''").distinct().select("text", code.otherwise(None).alias("code")).where("code IS NOT NULL")
 
 
 # --- assembly ---------------------------------------------------------------------

@@ -377,18 +377,18 @@ def c36_populations(spark, d):
     return p.withColumn("o", first).select("study_id", "sid", F.dense_rank().over(Window.partitionBy("study_id").orderBy("o")).alias("population"))
 
 
-@query(SV + """SELECT study_id, sid, label, CASE WHEN label IN ('a', 'b', 'c', 'i', '5') THEN label WHEN label = '1' THEN 'i' WHEN label = 's' THEN '5' ELSE label END AS corrected FROM
-  (SELECT study_id, sid, list_extract(['a', '1', 's', 'z', 'B'], CAST(pos % 5 + 1 AS INT)) AS raw, lower(raw) AS label FROM encounters)""")
+@query(SV + r"""SELECT study_id, sid, label, CASE WHEN label IN ('a', 'b', 'c', 'i', '5') THEN label WHEN label IN ('1', 'l') THEN 'i' WHEN label = 's' THEN '5' ELSE label END AS corrected FROM
+  (SELECT study_id, sid, regexp_extract(lower(name), '[\[(]([a-z0-9])[\])]', 1) AS label FROM encounters) WHERE label <> ''""")
 def c38_ocr_labels(spark, d):
-    """Labels that can't be, read as what looks like them, in a fixed order."""
+    """Footnote labels of visit names that can't be, read as what looks like them, in a fixed order."""
     valid, confused = ["a", "b", "c", "i", "5"], {"1": ["i", "l"], "l": ["1", "i"], "i": ["1", "l"], "0": ["o"], "o": ["0"], "5": ["s"], "s": ["5"]}
-    label = F.lower(F.element_at(F.array(*map(F.lit, ["a", "1", "s", "z", "B"])), (F.col("pos") % 5 + 1).cast("int")))
+    label = F.regexp_extract(F.lower("name"), r"[\[(]([a-z0-9])[\])]", 1)
     fix = F.when(label.isin(valid), label)
     for bad, goods in confused.items():
         for g in goods:
             if g in valid:
                 fix = fix.when(label == bad, g)
-    return _encounters(spark, d).select("study_id", "sid", label.alias("label"), fix.otherwise(label).alias("corrected"))
+    return _encounters(spark, d).select("study_id", "sid", label.alias("label"), fix.otherwise(label).alias("corrected")).where("label <> ''")
 
 
 # --- entity resolution ------------------------------------------------------------
@@ -451,8 +451,10 @@ def e13_traversal_contribution(spark, d):
     return ep.select("study_id", "sid").join(seq, ["study_id", "sid"], "left").select("study_id", "sid", F.col("ord").isNotNull().alias("main"), "ord")
 
 
-_CELL = """WITH k AS (SELECT l_orderkey AS o, l_linenumber AS n, list_extract(['X', 'x', '', '-', '1', '1.0', 'abc', 'ABC', NULL, '2'], CAST(l_partkey % 10 + 1 AS INT)) AS v, list_extract(['✓', '', 'N', '1', '2', 'abc', NULL, 'yes', '—', 'other'], CAST(l_suppkey % 10 + 1 AS INT)) AS t,
-  CAST(l_discount * 100 AS BIGINT) * 900 AS vb, CASE WHEN l_tax > 0 THEN CAST(l_tax * 100 AS BIGINT) * 1200 END AS tb FROM lineitem), q AS (SELECT *, trim(v) AS x, trim(t) AS y, coalesce(vb, 5000) AS vc, coalesce(tb, 5000) AS tc, v IS NOT NULL AND t IS NOT NULL AS both_there,
+_TWO = """WITH l AS (SELECT study_id, lower(replace(trim(id), '-', '_')) AS sid, data.name AS v, CAST(round(confidence * 10000) AS BIGINT) AS vb FROM (SELECT *, row_number() OVER (PARTITION BY study_id, lower(replace(trim(id), '-', '_')) ORDER BY version DESC) AS rn FROM narrative) WHERE rn = 1 AND NOT is_deleted),
+  r AS (SELECT study_id, lower(replace(trim(id), '-', '_')) AS sid, data.name AS t, CAST(round(confidence * 10000) AS BIGINT) AS tb FROM (SELECT *, row_number() OVER (PARTITION BY study_id, lower(replace(trim(id), '-', '_')) ORDER BY version DESC) AS rn FROM narrative_mirror) WHERE rn = 1 AND NOT is_deleted),
+  k AS (SELECT study_id AS o, sid AS n, v, t, vb, tb FROM l FULL JOIN r USING (study_id, sid) WHERE v IS NOT NULL OR t IS NOT NULL)"""
+_CELL = _TWO + """, q AS (SELECT *, regexp_replace(v, '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g') AS x, regexp_replace(t, '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g') AS y, coalesce(vb, 5000) AS vc, coalesce(tb, 5000) AS tc, v IS NOT NULL AND t IS NOT NULL AS both_there,
   x IN ({ticks}) AS xt, y IN ({ticks}) AS yt, x IN ({empty}) AS xe, y IN ({empty}) AS ye, try_cast(x AS DOUBLE) AS xn, try_cast(y AS DOUBLE) AS yn FROM k),
   a AS (SELECT *, both_there AND ((xt AND yt) OR (xe AND ye) OR coalesce(xn = yn, false) OR lower(x) = lower(y)) AS agree FROM q)
   SELECT o, n, CASE WHEN NOT both_there THEN coalesce(v, t) WHEN agree OR (xt AND ye) THEN v WHEN yt AND xe THEN t WHEN xn IS NOT NULL AND yn IS NOT NULL AND vc < tc THEN t ELSE v END AS resolved,
@@ -464,14 +466,15 @@ _CELL = """WITH k AS (SELECT l_orderkey AS o, l_linenumber AS n, list_extract(['
 
 @query(_CELL)
 def e19_reconcile_cells(spark, d):
-    """Cells of two readers resolved (with e20, e21)."""
-    pick = lambda vs, k: F.element_at(F.array(*map(F.lit, vs)), (F.col(k) % 10 + 1).cast("int"))
-    cells = table(spark, d, "lineitem").select(
-        F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), pick(["X", "x", "", "-", "1", "1.0", "abc", "ABC", None, "2"], "l_partkey").alias("vision_value"),
-        pick(["✓", "", "N", "1", "2", "abc", None, "yes", "—", "other"], "l_suppkey").alias("text_value"), (F.round(F.col("l_discount") * 100).cast("bigint") * 900).alias("vision_bp"),
-        F.when(F.col("l_tax") > 0, F.round(F.col("l_tax") * 100).cast("bigint") * 1200).alias("text_bp"),
-    )
-    return R.reconcile_cells(cells).select("o", "n", "resolved", "confidence_bp", "strategy")
+    """The names that the two narrative systems give one record, resolved as cells of two readers (with e20, e21)."""
+    return R.reconcile_cells(two_readers(spark, d)).select("o", "n", "resolved", "confidence_bp", "strategy")
+
+
+def two_readers(spark, d):
+    """(o, n, vision_value, text_value, vision_bp, text_bp): a record's name in both narrative systems."""
+    side = lambda t, r: live_entities(table(spark, d, t), {f"{r}_value": F.col("data.name"), f"{r}_bp": F.round(F.col("confidence") * 10000).cast("bigint")})
+    both = side("narrative", "vision").join(side("narrative_mirror", "text"), ["study_id", "sid"], "full")
+    return both.where("vision_value IS NOT NULL OR text_value IS NOT NULL").withColumnsRenamed({"study_id": "o", "sid": "n"})
 
 
 @query(_CON + """, x AS (SELECT key, source, max_by(name, struct_pack(p := pos, n := name)) AS value FROM c WHERE name <> '' GROUP BY ALL) SELECT key, 'name' AS field, count(DISTINCT source) AS sources, min(value) = max(value) AS agrees,

@@ -25,7 +25,7 @@ from tessera.plans.runtime import materialize, table
 from tessera.queries import sqltext as Q
 from tessera.queries import views
 from tessera.queries.extraction import DOCS, FIELDS, _docs
-from tessera.queries.linking import _CON, OB, SV, _contributions, _current, _encounters, _epochs, _objectives
+from tessera.queries.linking import _CON, _TWO, OB, SV, _contributions, _current, _encounters, _epochs, _objectives, two_readers
 from tessera.sources import documents as D
 
 QUERIES: dict = {}
@@ -316,14 +316,14 @@ def e16_epoch_sources(spark, d):
     return c.groupBy("study_id", "k").agg(F.max_by("sid", F.struct("p", -F.col("o"))).alias("sid"), F.max("p").alias("priority"), F.count("*").alias("n"))
 
 
-_AB = "WITH k AS (SELECT DISTINCT list_extract(['X', 'x', '', '-', '1', '1.0', 'abc', 'ABC', '2'], CAST(l_partkey % 9 + 1 AS INT)) AS a, list_extract(['✓', '', 'N', '1', '2', 'abc', 'yes', '—', 'other'], CAST(l_suppkey % 9 + 1 AS INT)) AS b FROM lineitem)"
+_ENDS = "regexp_replace({}, '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g')"
 
 
-@query(_AB + f"""SELECT a, b, (a IN ({', '.join(map(Q.quoted, R.TICKS))}) AND b IN ({', '.join(map(Q.quoted, R.TICKS))})) OR (a IN ({', '.join(map(Q.quoted, R.EMPTY_CELLS))}) AND b IN ({', '.join(map(Q.quoted, R.EMPTY_CELLS))})) OR coalesce(try_cast(a AS DOUBLE) = try_cast(b AS DOUBLE), false) OR lower(a) = lower(b) AS agree FROM k""")
+@query(_TWO + f""", p AS (SELECT DISTINCT v AS a, t AS b, {_ENDS.format('v')} AS x, {_ENDS.format('t')} AS y FROM k WHERE v IS NOT NULL AND t IS NOT NULL)
+  SELECT a, b, (x IN ({', '.join(map(Q.quoted, R.TICKS))}) AND y IN ({', '.join(map(Q.quoted, R.TICKS))})) OR (x IN ({', '.join(map(Q.quoted, R.EMPTY_CELLS))}) AND y IN ({', '.join(map(Q.quoted, R.EMPTY_CELLS))})) OR coalesce(try_cast(x AS DOUBLE) = try_cast(y AS DOUBLE), false) OR lower(x) = lower(y) AS agree FROM p""")
 def e20_cell_equality(spark, d):
-    """Cell values that count as the same."""
-    li = table(spark, d, "lineitem")
-    k = li.select(_pick(["X", "x", "", "-", "1", "1.0", "abc", "ABC", "2"], F.col("l_partkey") % 9 + 1).alias("a"), _pick(["✓", "", "N", "1", "2", "abc", "yes", "—", "other"], F.col("l_suppkey") % 9 + 1).alias("b")).distinct()
+    """Names of both narrative systems that count as the same cell value."""
+    k = two_readers(spark, d).select(F.col("vision_value").alias("a"), F.col("text_value").alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct()
     return k.select("a", "b", R.values_agree(F.col("a"), F.col("b")).alias("agree"))
 
 
@@ -464,15 +464,13 @@ def i55_text_hash(spark, d):
 # --- rows out of text -------------------------------------------------------------
 
 _TIT = r"(\d+)\s*mg for (\d+) days?,? then (\d+)\s*mg"
-_TEXTS = ["start 10 mg for 14 days, then 20 mg", "5 mg for 7 days then 15 mg", "no steps here"]
-_TITS = f"d AS (SELECT doc_id, {PICK.format(', '.join(map(Q.quoted, _TEXTS)), 'doc_id % 3 + 1')} AS text FROM documents)"
 
 
-@query(rf"""WITH {_TITS}, m AS (SELECT doc_id, CAST(regexp_extract(text, {Q.quoted(_TIT)}, 1) AS INT) AS a, CAST(regexp_extract(text, {Q.quoted(_TIT)}, 2) AS INT) AS n, CAST(regexp_extract(text, {Q.quoted(_TIT)}, 3) AS INT) AS b FROM d WHERE regexp_matches(text, {Q.quoted(_TIT)}))
+@query(rf"""WITH {DOCS}, m AS (SELECT doc_id, CAST(regexp_extract(text, {Q.quoted(_TIT)}, 1) AS INT) AS a, CAST(regexp_extract(text, {Q.quoted(_TIT)}, 2) AS INT) AS n, CAST(regexp_extract(text, {Q.quoted(_TIT)}, 3) AS INT) AS b FROM d WHERE regexp_matches(text, {Q.quoted(_TIT)}))
   SELECT doc_id, a || ' mg' AS dose, 1 AS start_day, n AS end_day FROM m UNION ALL SELECT doc_id, b || ' mg', n + 1, NULL FROM m""")
 def j14_titration_steps(spark, d):
     """Two dose levels of a titration, the second after the first."""
-    docs = table(spark, d, "documents").select("doc_id", _pick(_TEXTS, F.col("doc_id") % 3 + 1).alias("text")).where(F.col("text").rlike(_TIT))
+    docs = _docs(spark, d).where(F.col("text").rlike(_TIT))
     g = lambda i: F.regexp_extract("text", _TIT, i).cast("int")
     step = lambda dose, a, b: F.struct(F.concat(dose.cast("string"), F.lit(" mg")).alias("dose"), a.alias("start_day"), b.alias("end_day"))
     return docs.select("doc_id", F.explode(F.array(step(g(1), F.lit(1), g(2)), step(g(3), g(2) + 1, F.lit(None).cast("int")))).alias("s")).select("doc_id", "s.*")

@@ -17,25 +17,24 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def _phrases(lad) -> list[str]:
-    """Texts that touch every rule of a ladder, and some that touch none."""
-    out = ["", "nothing of the kind"]
-    for r in lad.rules:
-        out += [f"Some {w.upper()} text" for w in r.any] + [w.title() for w in r.equal] + ([" ".join(r.every)] if r.every else [])
-    return list(dict.fromkeys([*out, "NCT01234567", "2020-123456-12", "ISRCTN99", "ind 77", "IDE5", "ABC-123", "x et y", "diet"]))
+def _phrases(spark, d):
+    """Every short text of the tables once: names, typed terms, section types and the lines of documents."""
+    lines = table(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("phrase"))
+    typed = table(spark, d, "enrichment").select(F.explode(F.array("entity_name", "display_name")).alias("phrase"))
+    kinds = table(spark, d, "documents").select(F.explode(F.array("source", "section_type", "lang")).alias("phrase"))
+    return reduce(lambda x, y: x.unionByName(y), [views.names(spark, d).select(F.col("name").alias("phrase")), typed, kinds, lines]).distinct()
 
 
-def _ladder_query(name, row, lad):
-    phrases = _phrases(lad)
+_PHRASES = f"""{Q.NAMES}, p AS (SELECT name AS phrase FROM names UNION SELECT unnest([entity_name, display_name]) FROM enrichment UNION SELECT unnest([source, section_type, lang]) FROM documents
+  UNION SELECT unnest(string_split(text, chr(10))) FROM documents)"""
+
 
+def _ladder_query(name, row, lad):
     def query(spark, d):
-        docs = table(spark, d, "documents").select("doc_id")
-        phrase = F.element_at(F.array(*map(F.lit, phrases)), (F.col("doc_id") % len(phrases) + 1).cast("int"))
-        return docs.select(phrase.alias("phrase")).select("phrase", lad.column("phrase").alias("mapped")).groupBy("phrase", "mapped").agg(F.count("*").alias("n"))
+        return _phrases(spark, d).select("phrase", lad.column("phrase").alias("mapped")).groupBy("mapped").agg(F.count("*").alias("n"), F.sum(F.length("phrase")).alias("characters"), F.max("phrase").alias("last"))
 
-    sql = f"""WITH p AS (SELECT list_extract([{', '.join(map(Q.quoted, phrases))}], CAST(doc_id % {len(phrases)} + 1 AS INT)) AS phrase FROM documents)
-      SELECT phrase, {Q.ladder('phrase', lad)} AS mapped, count(*) AS n FROM p GROUP BY ALL"""
-    query.__doc__ = f"Texts mapped by the rules of {name}."
+    sql = f"WITH {_PHRASES}, m AS (SELECT phrase, {Q.ladder('phrase', lad)} AS mapped FROM p) SELECT mapped, count(*) AS n, sum(length(phrase)) AS characters, max(phrase) AS last FROM m GROUP BY 1"
+    query.__doc__ = f"The short texts of all tables mapped by the rules of {name}, counted by result."
     QUERIES[f"{row}_{name}"], ORACLES[f"{row}_{name}"] = query, sql
 
 
