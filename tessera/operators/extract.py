@@ -166,7 +166,8 @@ def _with(structs: Column, values: Column, name: str) -> Column:
 
 
 def first_match(c: Column, pattern: str) -> Column:
-    return T.group(c, _ci(pattern), 0)
+    # one pass; a pattern never matches nothing, so an empty result is no match
+    return F.nullif(F.regexp_extract(c, _ci(pattern), 0), F.lit(""))
 
 
 def anchors(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import names as N
 from tessera.functions import patterns as P
 from tessera.functions import timing as T
 from tessera.functions.keys import same_id
@@ -16,7 +17,9 @@ from tessera.operators import fuzzy as Z
 from tessera.operators import linking as K
 from tessera.operators import metrics as M
 from tessera.operators import resolve as R
+from tessera.operators import similarity as Y
 from tessera.operators import validate as V
+from tessera.operators.live import live_entities
 from tessera.operators.sequence import lines_of
 from tessera.plans.runtime import materialize, table
 from tessera.queries import sqltext as Q
@@ -621,6 +624,25 @@ def o03_greedy_matching(spark, d):
     return found.select("g.study_id", "g.entity_type", F.col("g.sid").alias("g"), F.col("e.sid").alias("e"), F.round("score", 6).alias("score"))
 
 
+_VERSIONS = """WITH v AS (SELECT study_id, entity_type, lower(replace(trim(id), '-', '_')) AS sid, version, is_deleted, data.name AS name, row_number() OVER (PARTITION BY study_id, lower(replace(trim(id), '-', '_')) ORDER BY version DESC) AS rn FROM soa_vision),
+  g AS (SELECT study_id, sid, entity_type, max(name) AS name FROM v WHERE version = 1 GROUP BY ALL), e AS (SELECT study_id, sid, name FROM v WHERE rn = 1 AND NOT is_deleted)"""
+_PLAIN = r"(CASE WHEN lower(trim(coalesce({0}, ''))) IN (" + ", ".join(map(Q.quoted, N.PLACEHOLDERS)) + r") THEN '' ELSE regexp_replace(lower(trim({0})), '\s+', ' ', 'g') END)"
+_either = lambda words, a="a", b="b": "(" + " OR ".join(f"(contains({a}, {Q.quoted(w)}) AND contains({b}, {Q.quoted(w)}))" for w in words) + ")"
+
+
+@query(rf"""{_VERSIONS}, p AS (SELECT study_id, sid, entity_type, {_PLAIN.format('g.name')} AS a, {_PLAIN.format('e.name')} AS b FROM g JOIN e USING (study_id, sid)),
+  c AS (SELECT *, trim(regexp_replace(a, '\s+[a-z]$', '')) AS x, trim(regexp_replace(b, '\s+[a-z]$', '')) AS y FROM p)
+  SELECT study_id, sid, entity_type, CASE WHEN entity_type = 'encounter' THEN CASE WHEN list_has_any(regexp_extract_all(a, 'day\s*(-?\d+)', 1), regexp_extract_all(b, '(-?\d+)', 1)) THEN 0.9::DOUBLE WHEN {_either(Y.VISIT_WORDS)} THEN 0.8 END
+    ELSE CASE WHEN {_either(Y.EPOCH_WORDS, 'x', 'y')} THEN 0.85 WHEN starts_with(x, y) OR starts_with(y, x) OR {" OR ".join(f"(contains(x, {Q.quoted(k)}) AND contains(y, {Q.quoted(w)}))" for k, v in Y.EPOCH_SHORT.items() for w in v)} THEN 0.8 END END AS score FROM c""")
+def o02_typed_similarity(spark, d):
+    """The first versions of epochs and encounters beside the current ones, scored by the rules of their types; null where only the texts can tell."""
+    first = table(spark, d, "soa_vision").where("version = 1").groupBy("study_id", same_id("id").alias("sid"), "entity_type").agg(F.max("data.name").alias("g"))
+    both = first.join(live_entities(table(spark, d, "soa_vision"), {"e": F.col("data.name")}), ["study_id", "sid"])
+    none = lambda a, b: F.lit(None).cast("double")
+    score = F.coalesce(*[F.when(F.col("entity_type") == k, Y.typed_similarity(k, {"name": F.col("g")}, {"name": F.col("e")}, none)) for k in ("encounter", "epoch")])
+    return both.select("study_id", "sid", "entity_type", score.alias("score"))
+
+
 @query()
 def o06_set_match(spark, d):
     """Share of epoch names with a similar name among encounters, per study (with i14)."""

@@ -573,12 +573,12 @@ def e40_screen(spark, d):
 # --- sequences --------------------------------------------------------------------
 
 
-@query("""WITH RECURSIVE n AS (SELECT DISTINCT l_partkey AS node FROM lineitem), e AS (SELECT node, node // 3 AS dep FROM n WHERE node // 3 IN (SELECT node FROM n)),
+@query("""WITH RECURSIVE n AS (SELECT DISTINCT l_partkey AS node FROM lineitem), e AS (SELECT node, node // 3 AS dep FROM n WHERE node > 0 AND node // 3 IN (SELECT node FROM n)),
   w AS (SELECT node, 0 AS wave FROM n WHERE node NOT IN (SELECT node FROM e) UNION ALL SELECT e.node, w.wave + 1 FROM e JOIN w ON w.node = e.dep) SELECT node, max(wave) AS wave FROM w GROUP BY 1""")
 def f01_waves(spark, d):
     """Levels of a dependency graph, each part after the one of a third of its number (with f02)."""
     li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node"))
-    return W.waves(li, li.select("node", F.expr("node div 3").alias("depends_on")))
+    return W.waves(li, li.where("node > 0").select("node", F.expr("node div 3").alias("depends_on")))
 
 
 @query(SV + """SELECT study_id, sid, row_number() OVER (PARTITION BY study_id ORDER BY CASE WHEN contains(lower(name), 'treatment') THEN 0 ELSE 1 END, coalesce(pos, 999), sid) AS ord, first_value(sid) OVER (PARTITION BY study_id ORDER BY CASE WHEN contains(lower(name), 'treatment') THEN 0 ELSE 1 END, coalesce(pos, 999), sid) AS first_main FROM epochs""")
