@@ -169,14 +169,17 @@ def greedy_leaders(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     lonely = nodes.join(edges.select(F.col("b").alias("node")), "node", "left_anti").select("node", F.col("node").alias("leader"))
     settled = materialize(lonely)
     left = materialize(nodes.join(settled, "node", "left_anti").select("node"))
+    n = 0
     while not left.isEmpty():
+        n += 1
         earlier = edges.join(left.withColumnRenamed("node", "b"), "b", "left_semi").join(settled.select(F.col("node").alias("a"), "leader"), "a", "left")
         state = earlier.groupBy("b").agg(F.min(F.when(F.col("leader") == F.col("a"), F.col("a"))).alias("taken"), F.count_if(F.col("leader").isNull()).alias("open"), F.min(F.when(F.col("leader").isNull(), F.col("a"))).alias("first_open"))
         # taken by a leader that comes before anything still open, or nothing is open any more
         done = state.where("open = 0 OR taken < first_open").select(F.col("b").alias("node"), F.coalesce("taken", "b").alias("leader"))
-        fresh = materialize(done)
+        fresh = materialize(done, clean=False)
         settled = settled.unionByName(fresh)
-        left = materialize(left.join(fresh, "node", "left_anti"))
+        settled = settled if n % 8 else materialize(settled, clean=False)
+        left = materialize(left.join(fresh, "node", "left_anti"), clean=False)
     return settled
 
 
@@ -197,11 +200,11 @@ def _settled(options: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The matching and the options that are left. An ``e`` that holds a smaller ``g`` refuses for good."""
     while True:
         best = options.groupBy("g").agg(F.min(F.struct((-F.col("score")).alias("s"), "e")).alias("m")).select("g", "m.e", (-F.col("m.s")).alias("score"))
-        best = materialize(best)
-        held = materialize(best.groupBy("e").agg(F.min(F.struct("g", "score")).alias("h")).select(F.col("h.g").alias("g"), "e", F.col("h.score").alias("score")))
+        best = materialize(best, clean=False)
+        held = materialize(best.groupBy("e").agg(F.min(F.struct("g", "score")).alias("h")).select(F.col("h.g").alias("g"), "e", F.col("h.score").alias("score")), clean=False)
         if best.join(held.select("g", "e"), ["g", "e"], "left_anti").isEmpty():
             return held, options
-        options = materialize(_open(options, held))
+        options = materialize(_open(options, held), clean=False)
 
 
 def _open(options: DataFrame, held: DataFrame) -> DataFrame:
@@ -224,16 +227,16 @@ def greedy_text_matching(left: DataFrame, right: DataFrame, by: list[str], thres
     asked = materialize(a.where("false").select("g"))
     while True:
         held, options = _settled(options)
-        fresh = materialize(a.join(held, "g", "left_anti").join(asked, "g", "left_anti"))
+        fresh = materialize(a.join(held, "g", "left_anti").join(asked, "g", "left_anti"), clean=False)
         if fresh.isEmpty():
             return held
         met = alike_across(fresh, b, by, threshold, True)
         rated = met.withColumn("score", text_similarity(F.col("x"), F.col("y"))).where(F.col("score") >= threshold)
         blank = fresh.where("text = ''").select(*by, F.col("text").alias("x")).distinct().select(*by, "x", F.col("x").alias("y"), F.lit(1.0).alias("score"))
-        links = materialize(rated.unionByName(blank))
+        links = materialize(rated.unionByName(blank), clean=False)
         more = fresh.select(*by, "g", F.col("text").alias("x")).join(links, [*by, "x"]).join(b.select(*by, "e", F.col("text").alias("y")), [*by, "y"]).select("g", "e", "score")
-        asked = materialize(asked.unionByName(fresh.select("g")))
-        options = materialize(options.unionByName(_open(more, held)))
+        asked = materialize(asked.unionByName(fresh.select("g")), clean=False)
+        options = materialize(options.unionByName(_open(more, held)), clean=False)
 
 
 def first_similar(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:

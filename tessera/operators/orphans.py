@@ -149,9 +149,9 @@ def cascade(refs: DataFrame) -> DataFrame:
         n += 1
         hit = frontier.select(F.col("table_name").alias("target"), F.col("entity_type").alias("target_type"), "study_id", F.col("sid").alias("ref_id"))
         found = edges.join(hit, TARGET, "left_semi").select(*NODE).distinct()
-        frontier = materialize(found.join(known, NODE, "left_anti").withColumn("round", F.lit(n)))
+        frontier = materialize(found.join(known, NODE, "left_anti").withColumn("round", F.lit(n)), clean=False)
         known = known.unionByName(frontier)
-        known = known if n % 8 else materialize(known)
+        known = known if n % 8 else materialize(known, clean=False)
     return known
 
 

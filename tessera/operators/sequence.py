@@ -73,13 +73,13 @@ def waves(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     open_edges = materialize(edges.select("node", "depends_on").distinct().join(left.withColumnRenamed("node", "depends_on"), "depends_on", "left_semi").join(left, "node", "left_semi"))
     done, n = left.where("false").withColumn("wave", F.lit(0)), 0
     while not left.isEmpty():
-        ready = materialize(left.join(open_edges.select("node"), "node", "left_anti"))
+        ready = materialize(left.join(open_edges.select("node"), "node", "left_anti"), clean=False)
         if ready.isEmpty():
             ready = left
         done = done.unionByName(ready.withColumn("wave", F.lit(n)))
-        left = materialize(left.join(ready, "node", "left_anti"))
+        left = materialize(left.join(ready, "node", "left_anti"), clean=False)
         # what a settled node depends on is settled as well
-        open_edges = materialize(open_edges.join(ready.withColumnRenamed("node", "depends_on"), "depends_on", "left_anti"))
+        open_edges = materialize(open_edges.join(ready.withColumnRenamed("node", "depends_on"), "depends_on", "left_anti"), clean=False)
         n += 1
-        done = done if n % 16 else materialize(done)
+        done = done if n % 16 else materialize(done, clean=False)
     return done

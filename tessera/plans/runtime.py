@@ -69,14 +69,15 @@ def _scratch_root(spark: SparkSession) -> str:
     return _SCRATCH[app]
 
 
-def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, partition_by: list[str] | None = None, clean: bool = True) -> DataFrame:
     """Write ``df`` to the shared scratch folder and return the written table.
 
     Cuts the lineage so that a lost executor costs tasks, not whole stages, and
     a result read several times is computed once. After the write the shuffle
     files of the job are garbage; Spark removes them when its own objects are
-    collected, so the collectors are called now and not some time later. A
-    table that no later plan reads can be dropped with :func:`discard`.
+    collected, so the collectors are called now and not some time later;
+    without ``clean`` they aren't, for loops of many small rounds. A table that
+    no later plan reads can be dropped with :func:`discard`.
     """
     spark = df.sparkSession
     path = f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
@@ -85,7 +86,8 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     schema = df.schema
-    release(spark)
+    if clean:
+        release(spark)
     out = spark.read.schema(schema).parquet(path)
     out._scratch_path = path
     return out
