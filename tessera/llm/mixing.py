@@ -57,7 +57,8 @@ def sainte_lague(weights: dict, seats: int, caps: dict | None = None) -> dict:
             low = mid
         else:
             high = mid
-    out.update(given(low))
+    # a little below the divisor, so that equal quotients are dealt one by one and not as rounding has it
+    out.update(given(low * (1 - 1e-9)))
     left = seats - sum(out.values())
     heap = [(-weights[k] / (2 * out[k] + 1), str(k), k) for k in parties if out[k] < top(k)]
     heapq.heapify(heap)

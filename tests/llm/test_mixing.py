@@ -25,6 +25,11 @@ def test_apportionment_equals_dealing_seat_by_seat(weights, seats, caps):
     assert sainte_lague(weights, seats, caps) == one_by_one(weights, seats, caps)
 
 
+def test_equal_quotients_go_to_the_smaller_key():
+    weights = {"a": 2, "b": 4, "c": 30, "d": 38, "e": 42}
+    assert sainte_lague(weights, 49) == one_by_one(weights, 49, {})
+
+
 def test_many_seats_cost_nothing():
     got = sainte_lague({"a": 0.5, "b": 0.3, "c": 0.2}, 10**12)
     assert sum(got.values()) == 10**12 and abs(got["a"] - 5 * 10**11) <= 1
