@@ -49,7 +49,8 @@ from pyspark.sql import functions as F
 from tessera.llm.wording import WORD, Hashes, mix, rolling, words
 from tessera.plans.runtime import discard, materialize
 
-SKETCH_SCHEMA = "id bigint, hi bigint, lo bigint, n int, size int, odd array<bigint>, sketch array<bigint>, plain array<bigint>, plain_rank array<tinyint>"
+BAG_SCHEMA = "id bigint, hi bigint, lo bigint, n int, size int, odd array<bigint>"
+SKETCH_SCHEMA = "id bigint, n int, keys array<bigint>, ranks array<tinyint>"
 #: Largest k: ranks of retained values are bits of one long; the number itself marks values whose lists aren't split.
 MOST_RANKS = 63
 #: Words from which a text is listed by single elements in exact mode, since its pairs of elements would be too many.
@@ -81,70 +82,96 @@ def common_words(texts: DataFrame, share: float) -> dict[str, int]:
     return {r["word"]: r["n"] for r in counts.where(F.col("n") >= F.lit(share * total)).collect()}
 
 
-def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, threshold: float, min_words: int, exact: bool = False) -> DataFrame:
-    """Sketch and bag digest of each text with at least ``min_words`` words: ``SKETCH_SCHEMA``.
+def _bags(pdf: pd.DataFrame, hashes: Hashes, min_words: int) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, words, sizes, starts, word hashes one text after the other) of the texts of a batch that have enough words."""
+    ids, lists = [], []
+    for no, text in zip(pdf["id"].tolist(), pdf["text"]):
+        w = WORD.findall(text.lower()) if isinstance(text, str) else []
+        if len(w) >= min_words:
+            ids.append(no)
+            lists.append(w)
+    sizes = np.fromiter(map(len, lists), "int64", len(lists))
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    return ids, lists, sizes, starts, np.fromiter((hashes[x] for w in lists for x in w), dtype=np.uint64, count=int(starts[-1]))
+
+
+def bags(texts: DataFrame, shingle: int, k: int, min_words: int, sized: bool) -> DataFrame:
+    """Digest and parity sketch of the bag of each text with at least ``min_words`` words: ``BAG_SCHEMA``.
 
     ``hi``, ``lo`` and ``n`` identify the bag whatever the order of its words;
     ``odd`` is its parity sketch (bit b: an odd number of elements fall on b).
-    ``sketch`` has the retained values with rare words, in order, so that the
-    place of one is its rank; ``plain`` those without, each joined with every
-    element of the bag's prefix, and ``plain_rank`` their ranks. With ``exact``
-    ``sketch`` has the lists of :func:`_element_pairs` and the rest is empty.
+    ``size`` is that of its bottom-k sketch, if it is asked for by ``sized``.
     """
-    keep = Fraction(str(threshold))
 
     def run(batches: Iterator[pd.DataFrame]):
         hashes = Hashes()
-        rank = {xxh: c for xxh, c in ((hashes[w], c) for w, c in common.items())}
-        frequent = np.array(sorted(rank), dtype=np.uint64)
         for pdf in batches:
-            ids, lists = [], []
-            for no, text in zip(pdf["id"].tolist(), pdf["text"]):
-                w = WORD.findall(text.lower()) if isinstance(text, str) else []
-                if len(w) >= min_words:
-                    ids.append(no)
-                    lists.append(w)
+            ids, _, sizes, starts, flat = _bags(pdf, hashes, min_words)
             if not ids:
                 continue
-            sizes = np.fromiter(map(len, lists), "int64", len(lists))
-            starts = np.concatenate(([0], np.cumsum(sizes)))
-            flat = np.fromiter((hashes[x] for w in lists for x in w), dtype=np.uint64, count=int(starts[-1]))
-            rare = np.ones(len(flat), dtype=np.int8)
-            if len(frequent):
-                at = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
-                rare = (frequent[at] != flat).astype(np.int8)
             with np.errstate(over="ignore"):
                 hi = np.add.reduceat(mix(flat, 1), starts[:-1])
                 lo = np.add.reduceat(mix(flat, 2), starts[:-1])
-            runs = rolling(flat, shingle)
-            amount = np.zeros(len(runs), dtype=np.int8)
-            for j in range(shingle):
-                amount += rare[j : j + len(runs)]
-            kind = 2 - np.minimum(amount, 2)
-            values = (runs >> np.uint64(2)) | (kind.astype(np.uint64) << np.uint64(62))
-            odd = _parities(flat, sizes)
-            sketch, plain, ranks, size = [], [], [], []
-            for i, w in enumerate(lists):
-                if exact:
-                    size.append(0)
-                    sketch.append(_element_pairs(flat[starts[i] : starts[i + 1]], rank, keep))
-                    plain.append(np.empty(0, np.int64))
-                    ranks.append(np.empty(0, np.int8))
-                    continue
-                kept = np.unique(values[starts[i] : max(starts[i], starts[i + 1] - shingle + 1)])[:k]
-                size.append(len(kept))
-                cut = int(np.searchsorted(kept, np.uint64(2 << 62)))
-                sketch.append(kept[:cut].view(np.int64))
-                parts = _split(kept[cut:], flat[starts[i] : starts[i + 1]], rank, keep) if cut < len(kept) else np.empty(0, np.int64)
-                plain.append(parts)
-                ranks.append(np.repeat(np.arange(cut, len(kept), dtype=np.int8), len(parts) // max(1, len(kept) - cut)))
-            yield pd.DataFrame(
-                {"id": ids, "hi": hi.view(np.int64), "lo": lo.view(np.int64), "n": sizes.astype("int32"), "size": np.array(size, "int32"), "odd": odd, "sketch": sketch, "plain": plain, "plain_rank": ranks}
-            )
+            size = np.full(len(ids), k, dtype="int32")
+            if sized:
+                runs = rolling(flat, shingle)
+                size = np.array([min(k, len(np.unique(runs[a : b - shingle + 1]))) for a, b in zip(starts[:-1], starts[1:])], dtype="int32")
+            yield pd.DataFrame({"id": ids, "hi": hi.view(np.int64), "lo": lo.view(np.int64), "n": sizes.astype("int32"), "size": size, "odd": _parities(flat, sizes)})
+
+    return texts.select("id", "text").mapInPandas(run, BAG_SCHEMA)
+
+
+def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, threshold: float, min_words: int, exact: bool = False) -> DataFrame:
+    """Sketch of each text with at least ``min_words`` words: ``SKETCH_SCHEMA``.
+
+    ``keys`` are the lists a text is in: its retained values with rare words,
+    then those without, each joined with every element of the bag's prefix.
+    ``ranks`` tells the rank of such a value, MOST_RANKS for the others. With
+    ``exact`` the lists are those of :func:`_element_pairs`.
+    """
+    keep = Fraction(str(threshold))
+
+    def run(batches: Iterator[pd.DataFrame]):
+        hashes = Hashes()
+        rank = {xxh: c for xxh, c in ((hashes[w], c) for w, c in common.items())}
+        frequent = np.array(sorted(rank), dtype=np.uint64)
+        for pdf in batches:
+            ids, lists, sizes, starts, flat = _bags(pdf, hashes, min_words)
+            if not ids:
+                continue
+            bag = lambda i: flat[starts[i] : starts[i + 1]]  # noqa: B023, E731
+            keys, ranks = [], []
+            if exact:
+                keys = [_element_pairs(bag(i), rank, keep) for i in range(len(ids))]
+                ranks = [np.full(len(x), MOST_RANKS, np.int8) for x in keys]
+            else:
+                values = _values(flat, frequent, shingle)
+                for i in range(len(ids)):
+                    kept = np.unique(values[starts[i] : max(starts[i], starts[i + 1] - shingle + 1)])[:k]
+                    cut = int(np.searchsorted(kept, np.uint64(2 << 62)))
+                    parts = _split(kept[cut:], bag(i), rank, keep) if cut < len(kept) else np.empty(0, np.int64)
+                    keys.append(np.concatenate([kept[:cut].view(np.int64), parts]))
+                    plain = np.repeat(np.arange(cut, len(kept), dtype=np.int8), len(parts) // max(1, len(kept) - cut))
+                    ranks.append(np.concatenate([np.full(cut, MOST_RANKS, np.int8), plain]))
+            yield pd.DataFrame({"id": ids, "n": sizes.astype("int32"), "keys": keys, "ranks": ranks})
 
     return texts.select("id", "text").mapInPandas(run, SKETCH_SCHEMA)
 
 
+def _values(flat: np.ndarray, frequent: np.ndarray, shingle: int) -> np.ndarray:
+    """The hash function's value of each shingle: those with two rare words first, then those with one, then the rest."""
+    rare = np.ones(len(flat), dtype=np.int8)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
+        rare = (frequent[at] != flat).astype(np.int8)
+    runs = rolling(flat, shingle)
+    amount = np.zeros(len(runs), dtype=np.int8)
+    for j in range(shingle):
+        amount += rare[j : j + len(runs)]
+    kind = 2 - np.minimum(amount, 2)
+    return (runs >> np.uint64(2)) | (kind.astype(np.uint64) << np.uint64(62))
+
+
 def _parities(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """Parity sketches of the bags that lie in ``flat`` one after the other, each as four longs.
 
@@ -214,7 +241,7 @@ def least_share(threshold: float, shingle: int, k: int, sigmas: float = 3.0) ->
 def candidate_pairs(classes: DataFrame, threshold: float, min_overlap: int) -> DataFrame:
     """Pairs of class representatives that share ``min_overlap`` retained values: (a, b, overlap).
 
-    ``classes`` has (id, n, sketch, plain, plain_rank). Bags whose sizes alone
+    ``classes`` has (id, n, keys, ranks). Bags whose sizes alone
     forbid the threshold don't meet: the logarithm of the size rides with each
     posting, and with those of split lists the rank of the value.
     """
@@ -222,10 +249,8 @@ def candidate_pairs(classes: DataFrame, threshold: float, min_overlap: int) -> D
     bin_of = F.least(F.lit(250), F.floor(F.log(F.col("n").cast("double")) / step)).cast("long")
     width = math.ceil(-math.log(threshold) / step) + 1
     # one long for (id, rank, size bin): the posting stays at two longs in the shuffle
-    head = F.shiftleft("id", 14) + bin_of
-    whole = classes.select(F.explode("sketch").alias("v"), (head + (MOST_RANKS << 8)).alias("p"))
-    plain = classes.where(F.size("plain") > 0).select(F.explode(F.arrays_zip("plain", "plain_rank")).alias("x"), head.alias("h"))
-    post = whole.unionByName(plain.select(F.col("x.plain").alias("v"), (F.col("h") + F.shiftleft(F.col("x.plain_rank").cast("long"), 8)).alias("p")))
+    listed = classes.select((F.shiftleft("id", 14) + bin_of).alias("h"), F.inline(F.arrays_zip("keys", "ranks")))
+    post = listed.select(F.col("keys").alias("v"), (F.col("h") + F.shiftleft(F.col("ranks").cast("long"), 8)).alias("p"))
     a, b = post.alias("a"), post.alias("b")
     met = a.join(b, (F.col("a.v") == F.col("b.v")) & (F.col("a.p") < F.col("b.p"))).where(
         F.abs(F.pmod(F.col("a.p"), F.lit(256)) - F.pmod(F.col("b.p"), F.lit(256))) <= width
@@ -298,7 +323,7 @@ class NearDuplicates:
         threshold: float = 0.8,
         min_words: int = 5,
         shingle: int = 5,
-        k: int = 32,
+        k: int = 40,
         min_overlap: int = 2,
         common_share: float = 1 / 8000,
         exact: bool = False,
@@ -309,22 +334,22 @@ class NearDuplicates:
             raise ValueError(f"k must be from 1 to {MOST_RANKS}")
         self.texts = texts
         common = common_words(texts, common_share)
-        whole = materialize(sketches(texts, common, shingle, k, threshold, min_words, exact))
-        signed = self.signed = materialize(whole.drop("sketch", "plain", "plain_rank"))
+        share = 0.0 if exact else least_share(threshold, shingle, k)
+        signed = self.signed = materialize(bags(texts, shingle, k, min_words, share > 0))
         bag = ["hi", "lo", "n"]
         reps = signed.groupBy(*bag).agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1")
         self.members = materialize(signed.select("id", *bag).join(reps, bag).select("id", "rep", "c"))
+        # texts are sketched on their way to the lists: kept as a table the sketches would take as much room as the lists
         # a text shorter than k + shingle - 1 words has fewer values and its sketch is the whole of them
-        share = 0.0 if exact else least_share(threshold, shingle, k)
-        met = materialize(candidate_pairs(self._representatives(whole), threshold, 1 if exact else min_overlap))
-        discard(whole)
+        whole = sketches(self._representatives(), common, shingle, k, threshold, min_words, exact)
+        met = materialize(candidate_pairs(whole, threshold, 1 if exact else min_overlap))
         pairs = materialize(close_enough(met, signed, threshold, k, share))
         discard(met)
         self.links = materialize(verified(pairs, texts, threshold))
 
-    def _representatives(self, whole: DataFrame) -> DataFrame:
-        """The sketches without those of further copies."""
-        return whole.join(sent_if_few(self.members.where("id <> rep").select("id")), "id", "left_anti")
+    def _representatives(self) -> DataFrame:
+        """The texts without those of further copies."""
+        return self.texts.join(sent_if_few(self.members.where("id <> rep").select("id")), "id", "left_anti")
 
     def pairs(self) -> DataFrame:
         """Every similar pair of ids: (a, b), a < b; copies are laid out."""
