@@ -256,7 +256,7 @@ def set_match_share(expected: DataFrame, actual: DataFrame, by: list[str], thres
     """Share of expected texts with a similar actual one: (*by, expected, matched). Both have (*by, text).
 
     Texts are counted as they are written and compared in their plain form;
-    one without letters and digits is like another such one only, a null one
+    a blank one or a placeholder is like another such one only, a null one
     counts as expected and is like none.
     """
     plain = lambda df: df.select(*by, "text", F.when(F.col("text").isNotNull(), N.plain_text("text")).alias("p"))

@@ -143,6 +143,6 @@ def test_short_names_meet_and_group_columns_may_have_any_name(spark):
 
 
 def test_texts_that_share_words_of_two_characters_only_are_alike(spark):
-    e = spark.createDataFrame([("k", "ab cd"), ("k", "..."), ("k", None), ("k", "zz")], "k string, text string")
-    a = spark.createDataFrame([("k", "cd ab"), ("k", "--"), ("j", "zz")], "k string, text string")
+    e = spark.createDataFrame([("k", "ab cd"), ("k", "N/A"), ("k", None), ("k", "zz")], "k string, text string")
+    a = spark.createDataFrame([("k", "cd ab"), ("k", "  "), ("j", "zz")], "k string, text string")
     assert [tuple(r) for r in set_match_share(e, a, ["k"]).collect()] == [("k", 4, 2)]

