@@ -7,26 +7,32 @@ similarity of at least ``threshold``. The steps:
    ones; there can't be more than 1/common_share of them, so the list is small
    by construction and goes to every worker.
 2. Each text becomes a bottom-k sketch: the ``k`` smallest values of one hash
-   function over its word shingles. The function puts shingles with two rare
-   words first, then those with one, then the rest, and is uniform within each
-   kind, so what is retained is what tells texts apart. It is one function for
-   all texts, so the k smallest values of a union are those of its sketches.
+   function over the triples of its bag's rare elements, in whatever places of
+   the text they are. It is one function for all texts, so the k smallest
+   values of a union are those of its sketches. Two texts seldom have three
+   rare words in common by chance, so the lists stay short over a vocabulary of
+   fixed size. A text with fewer than LEAST_RARE rare elements has few triples;
+   it is listed by the ``k`` smallest values of its word shingles as well, of
+   which those with two rare words come first, then those with one, then the
+   rest.
 3. Texts with equal bags form a class; one representative goes on, so copies
    never meet each other in a list.
 4. Inverted lists of the retained values give the pairs of classes and their
-   overlaps. A value with a rare word is in at most
-   common_share x (mean words) of all lists. A value without rare words has no
+   overlaps. A shingle with a rare word is in at most
+   common_share x (mean words) of all lists. One without rare words has no
    such bound; its list is split by the elements of the bags' prefixes (rarest
    first, n - ceil(threshold n) + 1 of them), of which similar bags always
    share one, so the split loses nothing. A posting carries the rank of its
    value, so a value met through several parts of its list counts once.
-5. Union-sketch estimate: the overlap's share in the min(k, size) smallest
-   values of the union. Pairs below :func:`least_share` go.
+5. One triple in common is enough to go on. Of pairs without one the
+   union-sketch estimate is made: the overlap's share in the min(k, size)
+   smallest shingle values of the union. Pairs below :func:`least_share` go.
 6. A parity sketch of 256 bits of each bag bounds how much two bags differ at
    least; pairs that differ too much for the threshold go, none wrongly.
 7. The exact similarity of the two bags decides.
 
-Steps 2, 4 and 5 can lose a pair whose edits break nearly every shingle. With
+Steps 2, 4 and 5 can lose a pair whose edits replace nearly every rare word,
+or break nearly every shingle of texts with few of those. With
 ``exact`` they are replaced by a join that can't: the k smallest values are
 those of the bag's own elements, rarest first, with k = n - ceil(threshold n)
 + 2, so similar bags share at least two of them, and lists are kept for pairs
@@ -40,6 +46,8 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -55,6 +63,10 @@ SKETCH_SCHEMA = "id bigint, n int, keys array<bigint>, ranks array<tinyint>"
 MOST_RANKS = 63
 #: Words from which a text is listed by single elements in exact mode, since its pairs of elements would be too many.
 LONG_BAG = 400
+#: Rare elements from which triples of them are enough to find a text by. Rare elements that are combined at most, those with the smallest hashes.
+LEAST_RARE, MOST_RARE = 8, 32
+#: Values of triples are the last by their two highest bits; those of shingles have 0, 1 or 2 there.
+OF_TRIPLE = 3
 
 
 def sent_if_few(ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
@@ -124,8 +136,9 @@ def bags(texts: DataFrame, shingle: int, k: int, min_words: int, sized: bool) ->
 def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, threshold: float, min_words: int, exact: bool = False) -> DataFrame:
     """Sketch of each text with at least ``min_words`` words: ``SKETCH_SCHEMA``.
 
-    ``keys`` are the lists a text is in: its retained values with rare words,
-    then those without, each joined with every element of the bag's prefix.
+    ``keys`` are the lists a text is in: its retained triples; in a text with
+    few rare elements also its retained shingles with rare words, then those
+    without, each joined with every element of the bag's prefix.
     ``ranks`` tells the rank of such a value, MOST_RANKS for the others. With
     ``exact`` the lists are those of :func:`_element_pairs`.
     """
@@ -145,14 +158,20 @@ def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, thr
                 keys = [_element_pairs(bag(i), rank, keep) for i in range(len(ids))]
                 ranks = [np.full(len(x), MOST_RANKS, np.int8) for x in keys]
             else:
-                values = _values(flat, frequent, shingle)
+                elements, rare = _rare_elements(flat, sizes, frequent)
+                threes = _triples(elements, rare, k)
+                values = _values(flat, frequent, shingle) if (rare < LEAST_RARE).any() else None
                 for i in range(len(ids)):
+                    if rare[i] >= LEAST_RARE:
+                        keys.append(threes[i])
+                        ranks.append(np.full(len(threes[i]), MOST_RANKS, np.int8))
+                        continue
                     kept = np.unique(values[starts[i] : max(starts[i], starts[i + 1] - shingle + 1)])[:k]
                     cut = int(np.searchsorted(kept, np.uint64(2 << 62)))
                     parts = _split(kept[cut:], bag(i), rank, keep) if cut < len(kept) else np.empty(0, np.int64)
-                    keys.append(np.concatenate([kept[:cut].view(np.int64), parts]))
+                    keys.append(np.concatenate([threes[i], kept[:cut].view(np.int64), parts]))
                     plain = np.repeat(np.arange(cut, len(kept), dtype=np.int8), len(parts) // max(1, len(kept) - cut))
-                    ranks.append(np.concatenate([np.full(cut, MOST_RANKS, np.int8), plain]))
+                    ranks.append(np.concatenate([np.full(len(threes[i]) + cut, MOST_RANKS, np.int8), plain]))
             yield pd.DataFrame({"id": ids, "n": sizes.astype("int32"), "keys": keys, "ranks": ranks})
 
     return texts.select("id", "text").mapInPandas(run, SKETCH_SCHEMA)
@@ -160,10 +179,7 @@ def sketches(texts: DataFrame, common: dict[str, int], shingle: int, k: int, thr
 
 def _values(flat: np.ndarray, frequent: np.ndarray, shingle: int) -> np.ndarray:
     """The hash function's value of each shingle: those with two rare words first, then those with one, then the rest."""
-    rare = np.ones(len(flat), dtype=np.int8)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
-        rare = (frequent[at] != flat).astype(np.int8)
+    rare = _rare(flat, frequent).astype(np.int8)
     runs = rolling(flat, shingle)
     amount = np.zeros(len(runs), dtype=np.int8)
     for j in range(shingle):
@@ -172,17 +188,61 @@ def _values(flat: np.ndarray, frequent: np.ndarray, shingle: int) -> np.ndarray:
     return (runs >> np.uint64(2)) | (kind.astype(np.uint64) << np.uint64(62))
 
 
+def _rare(flat: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which words aren't among the sorted ``frequent`` ones."""
+    if not len(frequent):
+        return np.ones(len(flat), dtype=bool)
+    return frequent[np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)] != flat
+
+
+def _occurrences(flat: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, text, number of the occurrence within the text), sorted by text and word."""
+    order = np.lexsort((flat, doc))
+    w, o = flat[order], doc[order]
+    fresh = np.ones(len(w), dtype=bool)
+    fresh[1:] = (w[1:] != w[:-1]) | (o[1:] != o[:-1])
+    at = np.arange(len(w))
+    return w, o, at - np.maximum.accumulate(np.where(fresh, at, 0))
+
+
+def _rare_elements(flat: np.ndarray, sizes: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the rare elements of each text, ascending, one text after the other; their number a text."""
+    rare = _rare(flat, frequent)
+    w, o, occurrence = _occurrences(flat[rare], np.repeat(np.arange(len(sizes)), sizes)[rare])
+    e = mix(w ^ mix(occurrence.astype(np.uint64), 3), 4)
+    return e[np.lexsort((e, o))], np.bincount(o, minlength=len(sizes))
+
+
+@cache
+def _places(n: int) -> np.ndarray:
+    """The triples of n places: three rows."""
+    return np.array(list(combinations(range(n), 3)), dtype=np.int64).reshape(-1, 3).T
+
+
+def _triples(elements: np.ndarray, counts: np.ndarray, most: int) -> list[np.ndarray]:
+    """The ``most`` smallest values of the triples of each text's elements, for all texts with equally many at once."""
+    starts = np.concatenate(([0], np.cumsum(counts)))
+    out = [np.empty(0, np.int64)] * len(counts)
+    used = np.minimum(counts, MOST_RARE)
+    for n in np.unique(used[used >= 3]).tolist():
+        i, j, k = _places(n)
+        docs = np.flatnonzero(used == n)
+        for part in np.array_split(docs, 1 + len(docs) * len(i) // 1_000_000):
+            e = elements[starts[part][:, None] + np.arange(n)]
+            v = mix(e[:, i] + e[:, j] + e[:, k], 9)
+            if len(i) > most:
+                v = np.partition(v, most - 1, axis=1)[:, :most]
+            for doc, row in zip(part.tolist(), ((v >> np.uint64(2)) | np.uint64(OF_TRIPLE << 62)).view(np.int64)):
+                out[doc] = row
+    return out
+
+
 def _parities(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """Parity sketches of the bags that lie in ``flat`` one after the other, each as four longs.
 
     The elements of a bag are its words with the number of their occurrence.
     """
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((flat, doc))
-    w, o = flat[order], doc[order]
-    fresh = np.concatenate(([True], (w[1:] != w[:-1]) | (o[1:] != o[:-1])))
-    at = np.arange(len(w))
-    occurrence = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    w, o, occurrence = _occurrences(flat, np.repeat(np.arange(len(sizes)), sizes))
     bit = (mix(w ^ mix(occurrence.astype(np.uint64), 3), 6) & np.uint64(255)).astype(np.int64)
     parity = (np.bincount(o * 256 + bit, minlength=len(sizes) * 256) & 1).astype(np.uint8).reshape(len(sizes), 256)
     return list(np.packbits(parity, axis=1).view(np.int64))
@@ -239,7 +299,7 @@ def least_share(threshold: float, shingle: int, k: int, sigmas: float = 3.0) ->
 
 
 def candidate_pairs(classes: DataFrame, threshold: float, min_overlap: int) -> DataFrame:
-    """Pairs of class representatives that share ``min_overlap`` retained values: (a, b, overlap).
+    """Pairs of class representatives that share a triple or ``min_overlap`` retained values: (a, b, overlap, triple).
 
     ``classes`` has (id, n, keys, ranks). Bags whose sizes alone
     forbid the threshold don't meet: the logarithm of the size rides with each
@@ -258,9 +318,9 @@ def candidate_pairs(classes: DataFrame, threshold: float, min_overlap: int) -> D
     rank = F.expr(f"cast(shiftright(a.p, 8) & {MOST_RANKS} AS int)")
     return (
         met.groupBy(F.shiftright("a.p", 14).alias("a"), F.shiftright("b.p", 14).alias("b"))
-        .agg(F.count_if(rank == MOST_RANKS).alias("n"), F.bit_or(F.when(rank < MOST_RANKS, F.expr(f"shiftleft(1L, cast(shiftright(a.p, 8) & {MOST_RANKS} AS int))")).otherwise(0)).alias("m"))
-        .select("a", "b", (F.col("n") + F.bit_count("m")).alias("overlap"))
-        .where(F.col("overlap") >= min_overlap)
+        .agg(F.count_if(rank == MOST_RANKS).alias("n"), F.bit_or(F.when(rank < MOST_RANKS, F.expr(f"shiftleft(1L, cast(shiftright(a.p, 8) & {MOST_RANKS} AS int))")).otherwise(0)).alias("m"), F.bool_or(F.shiftrightunsigned("a.v", 62) == OF_TRIPLE).alias("triple"))
+        .select("a", "b", (F.col("n") + F.bit_count("m")).alias("overlap"), "triple")
+        .where((F.col("overlap") >= min_overlap) | F.col("triple"))
         .where("a <> b")
     )
 
@@ -270,7 +330,7 @@ def close_enough(pairs: DataFrame, signed: DataFrame, threshold: float, k: int,
 
     The union sketch of two texts has min(k, size of the union) values, of
     which ``overlap`` are shared at most; pairs with less than ``share`` of it
-    go. Bags of n and m elements with a similarity of t or more differ in at
+    and no common triple go. Bags of n and m elements with a similarity of t or more differ in at
     most (1 - t) / (1 + t) x (n + m) elements, and two parity sketches never
     differ in more bits than the bags in elements.
     """
@@ -280,7 +340,7 @@ def close_enough(pairs: DataFrame, signed: DataFrame, threshold: float, k: int,
     differ = bits[0] + bits[1] + bits[2] + bits[3]
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     if share > 0:
-        met = met.where(F.col("overlap") >= share * F.least(F.lit(k), F.col("size_a") + F.col("size_b") - F.col("overlap")))
+        met = met.where(F.col("triple") | (F.col("overlap") >= share * F.least(F.lit(k), F.col("size_a") + F.col("size_b") - F.col("overlap"))))
     p, q = t.numerator, t.denominator
     return met.where(differ * (q + p) <= (F.col("n_a") + F.col("n_b")) * (q - p)).select("a", "b")
 
@@ -340,7 +400,6 @@ class NearDuplicates:
         reps = signed.groupBy(*bag).agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1")
         self.members = materialize(signed.select("id", *bag).join(reps, bag).select("id", "rep", "c"))
         # texts are sketched on their way to the lists: kept as a table the sketches would take as much room as the lists
-        # a text shorter than k + shingle - 1 words has fewer values and its sketch is the whole of them
         whole = sketches(self._representatives(), common, shingle, k, threshold, min_words, exact)
         met = materialize(candidate_pairs(whole, threshold, 1 if exact else min_overlap))
         pairs = materialize(close_enough(met, signed, threshold, k, share))

@@ -98,3 +98,20 @@ def test_a_value_met_through_several_parts_of_its_list_counts_once(spark):
     rows = [(1, "a b c d e " + "f g h i j k l m n o " * 2), (2, "a b c d e " + "o m k i g f h j l n " * 2)]
     links = NearDuplicates(frame(spark, rows), threshold=0.9, min_words=5, common_share=0.001, min_overlap=2).links
     assert links.count() == 0
+
+
+def test_texts_of_one_wording_seldom_meet(spark, monkeypatch):
+    # sentences of a few forms with rare words in their slots: one of those in common, beside words of the form, is no reason to meet
+    rng = random.Random(7)
+    forms = [[f"{c}{i}" for i in range(12)] for c in "abcdefghij"]
+    rows = []
+    for k in range(2000):
+        text = " ".join(" ".join([*f[:4], f"r{rng.randrange(2000)}", *f[4:8], f"r{rng.randrange(2000)}", *f[8:], f"r{rng.randrange(2000)}"]) for f in rng.sample(forms, 4))
+        rows.append((2 * k, text))
+        if not k % 50:
+            rows.append((2 * k + 1, edited(rng, text)))
+    met = []
+    monkeypatch.setattr("tessera.llm.near_dup.discard", lambda df: met.append(df.count()))
+    got = NearDuplicates(frame(spark, rows), threshold=0.7, min_words=20, common_share=1 / 500)
+    pairs = {tuple(r) for r in got.pairs().collect()}
+    assert {(100 * k, 100 * k + 1) for k in range(40)} <= pairs and met[0] < 500
