@@ -2,8 +2,9 @@
 
 Greedy clustering and greedy one-to-one matching are sequential by definition,
 but their outcome follows from the similar pairs alone. Pairs come from an
-equi-join on shared runs of characters or from blocks of a group; the choices are then settled in rounds
-of joins until nothing is open. Rounds are written to the scratch folder.
+equi-join on shared runs of characters or from blocks of a group. Leaders are
+then settled in one pass over the sorted pairs, matchings in rounds of joins
+until nothing is open. Rounds are written to the scratch folder.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.functions import names as N
 from tessera.operators import linking as K
@@ -156,31 +159,60 @@ def possible(xs: list[str], ys: list[str], threshold: float, words: bool) -> tup
     return np.nonzero(ok)
 
 
-def greedy_leaders(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def greedy_leaders(nodes: DataFrame, pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Leader clustering in order: (node, leader).
 
-    ``nodes`` has (node), ``pairs`` (a, b) with a before b. In ascending order
-    each node that no earlier leader has taken becomes a leader and takes every
-    later node it is paired with. A node is settled once its earlier partners
-    are: each round settles all of those at once, the smallest open one at
-    least.
+    ``nodes`` has (*by, node), ``pairs`` (*by, a, b) with a before b. In
+    ascending order each node that no earlier leader has taken becomes a leader
+    and takes every later node it is paired with; one that several could take
+    goes to the first of them. One pass over the sorted pairs, one task a
+    group: what it keeps are the group's leaders, not its pairs.
     """
-    edges = materialize(pairs.select("a", "b").distinct())
-    lonely = nodes.join(edges.select(F.col("b").alias("node")), "node", "left_anti").select("node", F.col("node").alias("leader"))
-    settled = materialize(lonely)
-    left = materialize(nodes.join(settled, "node", "left_anti").select("node"))
-    n = 0
-    while not left.isEmpty():
-        n += 1
-        earlier = edges.join(left.withColumnRenamed("node", "b"), "b", "left_semi").join(settled.select(F.col("node").alias("a"), "leader"), "a", "left")
-        state = earlier.groupBy("b").agg(F.min(F.when(F.col("leader") == F.col("a"), F.col("a"))).alias("taken"), F.count_if(F.col("leader").isNull()).alias("open"), F.min(F.when(F.col("leader").isNull(), F.col("a"))).alias("first_open"))
-        # taken by a leader that comes before anything still open, or nothing is open any more
-        done = state.where("open = 0 OR taken < first_open").select(F.col("b").alias("node"), F.coalesce("taken", "b").alias("leader"))
-        fresh = materialize(done, clean=False)
-        settled = settled.unionByName(fresh)
-        settled = settled if n % 8 else materialize(settled, clean=False)
-        left = materialize(left.join(fresh, "node", "left_anti"), clean=False)
-    return settled
+    keys = [f"__by_{i}" for i in range(len(by or []))]
+    group = [F.col(c).alias(k) for c, k in zip(by or [], keys)]
+    kind = nodes.schema["node"].dataType
+    rows = nodes.select(*group, "node", F.lit(None).cast(kind).alias("a")).unionByName(pairs.select(*group, F.col("b").alias("node"), "a"))
+    # the row of the node itself, without an a, comes before those of its pairs
+    ordered = (rows.repartition(*keys) if keys else rows.coalesce(1)).sortWithinPartitions(*keys, "node", F.col("a").asc_nulls_first())
+
+    def settle(batches: Iterator[pa.RecordBatch]):
+        group, node, leaders = None, None, set()
+        for batch in batches:
+            done: list[tuple] = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for *k, n, a in zip(*columns):
+                if a is not None:
+                    if n == node and a in leaders and k == group:
+                        done.append((n, a))
+                        node = None
+                    continue
+                if node is not None:  # nobody has taken the one before
+                    leaders.add(node)
+                    done.append((node, node))
+                if k != group:
+                    group, leaders = k, set()
+                node = n
+            yield pa.RecordBatch.from_pydict({"node": [n for n, _ in done], "leader": [x for _, x in done]}, schema=out)
+        if node is not None:
+            yield pa.RecordBatch.from_pydict({"node": [node], "leader": [node]}, schema=out)
+
+    schema = T.StructType([T.StructField("node", kind), T.StructField("leader", kind)])
+    out = to_arrow_schema(schema)
+    return ordered.mapInArrow(settle, schema)
+
+
+def similar_leaders(df: DataFrame, by: list[str], order: str, name: str, threshold: float = 0.85) -> DataFrame:
+    """Leader clustering of similar names within ``by``, in the unique ``order``: (node, leader).
+
+    Equal names have the same leader, since whatever takes the first of them
+    takes the others, or else the first does; only first ones are compared.
+    Blank names and rows without a group have no partner.
+    """
+    rows = materialize(df.select(*by, F.col(order).alias("node"), F.col(name).alias("name")).withColumn("t", F.lower(N.clean_name("name"))))
+    first = materialize(rows.where("t <> ''").groupBy(*by, "t").agg(F.min(F.struct("node", "name")).alias("f")).select(*by, "t", "f.node", "f.name"))
+    found = greedy_leaders(first.select(*by, "node"), similar_pairs(first, by, "node", "name", threshold), by)
+    leaders = first.join(found, "node").select(*by, "t", "leader")
+    return rows.join(leaders, [*by, "t"], "left").select("node", F.coalesce("leader", "node").alias("leader"))
 
 
 def greedy_matching(scores: DataFrame, threshold: float = 0.0) -> DataFrame:
@@ -301,7 +333,7 @@ def distinct_notes(df: DataFrame, by: list[str], node: str, text: str) -> DataFr
     a = first.select(*by, F.col("t").alias("text"), F.col("node").alias("m"))
     b = first.select(*by, F.col("t").alias("key"), F.col("node").alias("n"))
     inside = K.containing_any(a, b, by, "text", "key").where("text <> key").join(a, [*by, "text"]).join(b, [*by, "key"])
-    pairs = inside.select(F.least("m", "n").alias("a"), F.greatest("m", "n").alias("b")).unionByName(jaccard_pairs(words, by, "node", "w", 0.8).select("a", "b"))
-    leaders = greedy_leaders(first.select("node"), pairs)
+    pairs = inside.select(*by, F.least("m", "n").alias("a"), F.greatest("m", "n").alias("b")).unionByName(jaccard_pairs(words, by, "node", "w", 0.8).select(*by, "a", "b"))
+    leaders = greedy_leaders(first.select(*by, "node"), pairs, by)
     same = rows.join(first.withColumnRenamed("node", "first"), [*by, "t"]).select("node", "first")
     return same.join(leaders.withColumnRenamed("node", "first"), "first").select("node", "leader")

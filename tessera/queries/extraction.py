@@ -21,7 +21,7 @@ from tessera.operators import similarity as Y
 from tessera.operators import validate as V
 from tessera.operators.live import live_entities
 from tessera.operators.sequence import lines_of
-from tessera.plans.runtime import materialize, table
+from tessera.plans.runtime import table
 from tessera.queries import sqltext as Q
 from tessera.queries import views
 from tessera.queries.linking import OB, SV, _current, _encounters, _epochs, _objectives
@@ -611,9 +611,7 @@ def a18_listing(spark, d):
 @query()
 def e01_fuzzy_groups(spark, d):
     """Leaders of similar names among a study's endpoints and objectives, in order (with e06, e07, e09, e26)."""
-    rows = materialize(_objectives(spark, d).where("name IS NOT NULL").select("study_id", "entity_type", F.col("entity_no").alias("o"), "name"))
-    pairs = Z.similar_pairs(rows, ["study_id", "entity_type"], "o", "name")
-    return Z.greedy_leaders(rows.select(F.col("o").alias("node")), pairs)
+    return Z.similar_leaders(_objectives(spark, d).where("name IS NOT NULL"), ["study_id", "entity_type"], "entity_no", "name")
 
 
 @query()

@@ -2,7 +2,7 @@ import random
 import re
 from difflib import SequenceMatcher
 
-from tessera.operators.fuzzy import distinct_notes, first_similar, greedy_leaders, greedy_matching, greedy_text_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_pairs, text_similarity
+from tessera.operators.fuzzy import distinct_notes, first_similar, greedy_leaders, greedy_matching, greedy_text_matching, jaccard_pairs, name_score, names_match, set_match_share, similar_leaders, similar_pairs, text_similarity
 from pyspark.sql import functions as F
 
 
@@ -146,3 +146,25 @@ def test_texts_that_share_words_of_two_characters_only_are_alike(spark):
     e = spark.createDataFrame([("k", "ab cd"), ("k", "N/A"), ("k", None), ("k", "zz")], "k string, text string")
     a = spark.createDataFrame([("k", "cd ab"), ("k", "  "), ("j", "zz")], "k string, text string")
     assert [tuple(r) for r in set_match_share(e, a, ["k"]).collect()] == [("k", 4, 2)]
+
+
+def test_leaders_of_a_long_chain_take_one_pass(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr("tessera.operators.fuzzy.materialize", lambda df, *a, **k: tables.append(1) or df.localCheckpoint())
+    nodes = spark.createDataFrame([(i,) for i in range(30)], "node bigint")
+    got = greedy_leaders(nodes, spark.createDataFrame([(i, i + 1) for i in range(29)], "a bigint, b bigint")).collect()
+    assert {r["node"]: r["leader"] for r in got} == {i: i - i % 2 for i in range(30)} and len(tables) <= 2
+
+
+def test_similar_leaders_equal_the_sequential_rule(spark):
+    rng = random.Random(8)
+    base = ["Imaging by grysk", "Imaging by gryst", "Imaging by drist", "Storage of plup", "Storage of plup*", "STORAGE OF PLUPR", "*", ""]
+    rows = [(g, i, "".join(c for c in rng.choice(base) if rng.random() > 0.03)) for i in range(150) for g in (("x", "y")[i % 2],)] + [(None, 200 + i, "Storage of plup") for i in range(2)]
+    want, taken = {}, {}
+    for g, i, n in rows:
+        t = re.sub(r"\*", "", n.lower()).strip()
+        want[i] = next((j for j, u in taken.get(g, []) if g and t and SequenceMatcher(None, u, t).ratio() >= 0.85), i)
+        if want[i] == i:
+            taken.setdefault(g, []).append((i, t))
+    df = spark.createDataFrame(rows, "k string, o bigint, name string")
+    assert {r["node"]: r["leader"] for r in similar_leaders(df, ["k"], "o", "name").collect()} == want
