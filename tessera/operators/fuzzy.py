@@ -2,9 +2,8 @@
 
 Greedy clustering and greedy one-to-one matching are sequential by definition,
 but their outcome follows from the similar pairs alone. Pairs come from an
-equi-join on shared runs of characters or from blocks of a group. Leaders are
-then settled in one pass over the sorted pairs, matchings in rounds of joins
-until nothing is open. Rounds are written to the scratch folder.
+equi-join on shared runs of characters or from blocks of a group. Leaders and
+matchings are then settled in one pass over the sorted pairs of a group.
 """
 
 from __future__ import annotations
@@ -220,27 +219,36 @@ def greedy_matching(scores: DataFrame, threshold: float = 0.0) -> DataFrame:
 
     ``scores`` has (g, e, score). In ascending order of ``g`` each takes its
     best free partner with a score above 0 and of at least ``threshold``, ties
-    to the smaller ``e``. Every ``e`` prefers the smaller ``g``, so this is the
-    one stable matching, and rounds of proposals reach it: each free ``g``
-    proposes to the best that hasn't refused it, each ``e`` keeps the smallest
-    ``g``.
+    to the smaller ``e``.
     """
-    return _settled(materialize(scores.where((F.col("score") > 0) & (F.col("score") >= threshold)).select("g", "e", "score")))[0]
+    return _settled(scores.where((F.col("score") > 0) & (F.col("score") >= threshold)).select("g", "e", "score"), [])
 
 
-def _settled(options: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The matching and the options that are left. An ``e`` that holds a smaller ``g`` refuses for good."""
-    while True:
-        best = options.groupBy("g").agg(F.min(F.struct((-F.col("score")).alias("s"), "e")).alias("m")).select("g", "m.e", (-F.col("m.s")).alias("score"))
-        best = materialize(best, clean=False)
-        held = materialize(best.groupBy("e").agg(F.min(F.struct("g", "score")).alias("h")).select(F.col("h.g").alias("g"), "e", F.col("h.score").alias("score")), clean=False)
-        if best.join(held.select("g", "e"), ["g", "e"], "left_anti").isEmpty():
-            return held, options
-        options = materialize(_open(options, held), clean=False)
+def _settled(options: DataFrame, by: list[str]) -> DataFrame:
+    """The matching: (*by, g, e, score). One pass over the sorted options, one task a group: it keeps which ``e`` are taken."""
+    ordered = (options.repartition(*by) if by else options.coalesce(1)).sortWithinPartitions(*by, "g", F.col("score").desc(), "e")
+    kept = T.StructType([options.schema[c] for c in (*by, "g", "e", "score")])
+
+    def settle(batches: Iterator[pa.RecordBatch]):
+        group, last, taken = None, None, set()
+        for batch in batches:
+            done = []
+            for no, (*k, g, e) in enumerate(zip(*(batch.column(c).to_pylist() for c in (*by, "g", "e")))):
+                if k != group:
+                    group, last, taken = k, None, set()
+                e = tuple(e.values()) if isinstance(e, dict) else e
+                if g != last and e not in taken:
+                    last = g
+                    taken.add(e)
+                    done.append(no)
+            yield batch.take(pa.array(done, "int64"))
+
+    return ordered.select(*by, "g", "e", "score").mapInArrow(settle, kept)
 
 
 def _open(options: DataFrame, held: DataFrame) -> DataFrame:
-    return options.join(held.select("e", F.col("g").alias("h")), "e", "left").where("h IS NULL OR g <= h").select("g", "e", "score")
+    """The options that may still come true. An ``e`` that holds a smaller ``g`` refuses for good."""
+    return options.join(held.select("e", F.col("g").alias("h")), "e", "left").where("h IS NULL OR g <= h").drop("h")
 
 
 def greedy_text_matching(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:
@@ -255,20 +263,20 @@ def greedy_text_matching(left: DataFrame, right: DataFrame, by: list[str], thres
     nth = lambda c: F.row_number().over(Window.partitionBy(*by, "text").orderBy(c))
     a = materialize(left.select(*by, "g", N.plain_text("text").alias("text")).withColumn("i", nth("g")))
     b = materialize(right.select(*by, "e", N.plain_text("text").alias("text")).withColumn("i", nth("e")))
-    options = materialize(a.join(b, [*by, "text", "i"]).select("g", "e", F.lit(1.0).alias("score")))
+    options = materialize(a.join(b, [*by, "text", "i"]).select(*by, "g", "e", F.lit(1.0).alias("score")))
     asked = materialize(a.where("false").select("g"))
     while True:
-        held, options = _settled(options)
+        held = materialize(_settled(options, by), clean=False)
         fresh = materialize(a.join(held, "g", "left_anti").join(asked, "g", "left_anti"), clean=False)
         if fresh.isEmpty():
-            return held
+            return held.select("g", "e", "score")
         met = alike_across(fresh, b, by, threshold, True)
         rated = met.withColumn("score", text_similarity(F.col("x"), F.col("y"))).where(F.col("score") >= threshold)
         blank = fresh.where("text = ''").select(*by, F.col("text").alias("x")).distinct().select(*by, "x", F.col("x").alias("y"), F.lit(1.0).alias("score"))
         links = materialize(rated.unionByName(blank), clean=False)
-        more = fresh.select(*by, "g", F.col("text").alias("x")).join(links, [*by, "x"]).join(b.select(*by, "e", F.col("text").alias("y")), [*by, "y"]).select("g", "e", "score")
+        more = fresh.select(*by, "g", F.col("text").alias("x")).join(links, [*by, "x"]).join(b.select(*by, "e", F.col("text").alias("y")), [*by, "y"]).select(*by, "g", "e", "score")
         asked = materialize(asked.unionByName(fresh.select("g")), clean=False)
-        options = materialize(options.unionByName(_open(more, held)), clean=False)
+        options = materialize(_open(options.unionByName(more), held), clean=False)
 
 
 def first_similar(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:

@@ -168,3 +168,10 @@ def test_similar_leaders_equal_the_sequential_rule(spark):
             taken.setdefault(g, []).append((i, t))
     df = spark.createDataFrame(rows, "k string, o bigint, name string")
     assert {r["node"]: r["leader"] for r in similar_leaders(df, ["k"], "o", "name").collect()} == want
+
+
+def test_many_that_want_the_same_are_matched_in_one_pass(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr("tessera.operators.fuzzy.materialize", lambda df, *a, **k: tables.append(1) or df.localCheckpoint())
+    scores = spark.createDataFrame([(g, e, 0.9 - e / 100) for g in range(12) for e in range(12)], "g int, e int, score double")
+    assert {(r["g"], r["e"]) for r in greedy_matching(scores).collect()} == {(i, i) for i in range(12)} and len(tables) <= 2
