@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tessera.functions import likeness as L
 from tessera.functions import names as N
 from tessera.operators import linking as K
 from tessera.plans.runtime import materialize
@@ -204,14 +206,35 @@ def similar_leaders(df: DataFrame, by: list[str], order: str, name: str, thresho
     """Leader clustering of similar names within ``by``, in the unique ``order``: (node, leader).
 
     Equal names have the same leader, since whatever takes the first of them
-    takes the others, or else the first does; only first ones are compared.
-    Blank names and rows without a group have no partner.
+    takes the others, or else the first does. Blank names and rows without a
+    group have no partner. One shuffle and one pass: a task compares each new
+    name with the leaders of its group and makes no pairs. It holds the group's
+    distinct names.
     """
-    rows = materialize(df.select(*by, F.col(order).alias("node"), F.col(name).alias("name")).withColumn("t", F.lower(N.clean_name("name"))))
-    first = materialize(rows.where("t <> ''").groupBy(*by, "t").agg(F.min(F.struct("node", "name")).alias("f")).select(*by, "t", "f.node", "f.name"))
-    found = greedy_leaders(first.select(*by, "node"), similar_pairs(first, by, "node", "name", threshold), by)
-    leaders = first.join(found, "node").select(*by, "t", "leader")
-    return rows.join(leaders, [*by, "t"], "left").select("node", F.coalesce("leader", "node").alias("leader"))
+    keys = [f"__by_{i}" for i in range(len(by))]
+    rows = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(order).alias("node"), F.lower(N.clean_name(name)).alias("t"))
+    alone = reduce(lambda x, k: x | F.col(k).isNull(), keys, F.coalesce("t", F.lit("")) == "")
+    group = [*keys, "__alone"]  # those alone are spread over all tasks
+    ordered = rows.withColumn("__alone", F.when(alone, F.xxhash64("node"))).repartition(*group).sortWithinPartitions(*group, "node")
+    kind = df.schema[order].dataType
+
+    def settle(batches: Iterator[pa.RecordBatch]):
+        last, leaders = None, None
+        for batch in batches:
+            took = []
+            nodes, texts = batch.column("node").to_pylist(), batch.column("t").to_pylist()
+            for n, t, *k in zip(nodes, texts, *(batch.column(c).to_pylist() for c in group)):
+                if k[-1] is not None:
+                    took.append(n)
+                    continue
+                if k != last:
+                    last, leaders = k, L.Leaders(threshold)
+                took.append(leaders.leader(t, n))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, out.types[0]), pa.array(took, out.types[1])], schema=out)
+
+    schema = T.StructType([T.StructField("node", kind), T.StructField("leader", kind)])
+    out = to_arrow_schema(schema)
+    return ordered.mapInArrow(settle, schema)
 
 
 def greedy_matching(scores: DataFrame, threshold: float = 0.0) -> DataFrame:

@@ -175,3 +175,19 @@ def test_many_that_want_the_same_are_matched_in_one_pass(spark, monkeypatch):
     monkeypatch.setattr("tessera.operators.fuzzy.materialize", lambda df, *a, **k: tables.append(1) or df.localCheckpoint())
     scores = spark.createDataFrame([(g, e, 0.9 - e / 100) for g in range(12) for e in range(12)], "g int, e int, score double")
     assert {(r["g"], r["e"]) for r in greedy_matching(scores).collect()} == {(i, i) for i in range(12)} and len(tables) <= 2
+
+
+def test_similar_leaders_of_many_names_take_one_pass(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr("tessera.operators.fuzzy.materialize", lambda df, *a, **k: made.append(1) or df.localCheckpoint())
+    monkeypatch.setattr("tessera.operators.fuzzy.similar_pairs", lambda *a, **k: made.append(1))
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aeioubdg") for _ in range(6)) for _ in range(30)]
+    names = [f"{rng.choice(['Storage of', 'Prior and other', 'Imaging by'])} {rng.choice(words)}{rng.choice(['', ' use', 's', '\u00e9', '\u0161'])}" for _ in range(600)] + ["a" * 300 + "b", "a" * 300, "\u4e00\u4e8c", "ab", "abc", "xabc"]
+    want, leaders = {}, []
+    for i, n in enumerate(x.lower() for x in names):
+        want[i] = next((j for j, u in leaders if u == n or SequenceMatcher(None, u, n).ratio() >= 0.85), i)
+        leaders += [(i, n)] * (want[i] == i)
+    df = spark.createDataFrame([("k", i, n) for i, n in enumerate(names)], "k string, o bigint, name string")
+    assert {r["node"]: r["leader"] for r in similar_leaders(df, ["k"], "o", "name").collect()} == want
+    assert len(leaders) > 40 and not made
