@@ -115,3 +115,92 @@ class Leaders:
             if found is None:
                 self.texts.add(text)
         return self.of[text]
+
+
+class Options:
+    """Right sides of one group, given in order, of which each is taken once. Places are those in the order given."""
+
+    def __init__(self, texts: list[str], threshold: float):
+        self.threshold = threshold
+        self.queues: dict[str, list[int]] = {}
+        for i, text in enumerate(texts):
+            self.queues.setdefault(text, []).append(i)
+        self.none = len(texts)
+        self.left = self.none
+        self.known: Texts | None = None
+        for q in self.queues.values():
+            q.reverse()
+
+    def take(self, text: str) -> tuple[int, float] | None:
+        """Place and score of the best free one by the rule of ``text_similarity``, ties to the first; none below the threshold."""
+        if not self.left:
+            return None
+        score, best = 1.0, text
+        if not self.queues.get(text):
+            if not text:
+                return None
+            score, best = self._search(text)
+            if best is None or score < self.threshold or score <= 0:
+                return None
+        queue = self.queues[best]
+        place = queue.pop()
+        self.left -= 1
+        if self.known:
+            self.head[self.number[best]] = queue[-1] if queue else self.none
+        return place, score
+
+    def _index(self) -> None:
+        """The texts that are free still, by characters and words."""
+        self.known = Texts([t for t, q in self.queues.items() if q and t])
+        self.number = {t: i for i, t in enumerate(self.known.texts)}
+        if q := self.queues.get(""):
+            self.number[""] = len(self.number)  # equal to blank ones only, so never searched
+        self.head = np.array([self.queues[t][-1] for t in self.number], "int64")
+        words: dict[str, list[int]] = {}
+        self.words = np.zeros(len(self.known.texts), "int32")
+        for i, t in enumerate(self.known.texts):
+            own = set(t.split(" "))
+            self.words[i] = len(own)
+            for w in own:
+                words.setdefault(w, []).append(i)
+        self.having = {w: np.array(x, "int64") for w, x in words.items()}
+        self.indexed = self.left
+
+    def _search(self, x: str) -> tuple[float, str | None]:
+        if not self.known or 2 * self.left < self.indexed:
+            self._index()
+        t, n = self.known, len(x)
+        if not t.texts:
+            return 0.0, None
+        head, size = self.head[: len(t.texts)], t.size[: len(t.texts)]
+        common = t.common(x)
+        own = set(x.split(" "))
+        shared = np.zeros(len(t.texts), "int32")
+        for w in own:
+            if w in self.having:
+                shared[self.having[w]] += 1
+        share = shared / np.minimum(self.words, len(own))
+        sure = np.where(share >= 0.5, 0.6 + share * 0.3, 0.0)
+        free = head < self.none
+        least = np.minimum(size, n)
+        for i in np.flatnonzero(free & (common == least) & (least >= 5) & (sure < 0.85)):
+            y = t.texts[i]
+            if x in y or y in x:
+                sure[i] = 0.85
+        sure[~free] = -1.0
+        score = float(sure.max())
+        best = int(np.flatnonzero(sure == score)[np.argmin(head[sure == score])])
+        most = allowed(common, n, size)
+        some = np.flatnonzero(free & (most >= max(score, self.threshold)))
+        at = places(x)
+        for i in some[np.lexsort((head[some], -most[some]))]:
+            if most[i] < score:
+                break
+            y = t.texts[i]
+            bound = allowed(subsequence(at, n, y), n, len(y))
+            if bound < self.threshold or (bound, -head[i]) <= (score, -head[best]):
+                continue
+            s = ratio(x, y)
+            if (s, -head[i]) > (score, -head[best]):
+                score, best = s, int(i)
+        return score, t.texts[best]

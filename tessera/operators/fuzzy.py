@@ -1,9 +1,10 @@
 """Similar names and greedy choices among them, without gathering groups.
 
 Greedy clustering and greedy one-to-one matching are sequential by definition,
-but their outcome follows from the similar pairs alone. Pairs come from an
-equi-join on shared runs of characters or from blocks of a group. Leaders and
-matchings are then settled in one pass over the sorted pairs of a group.
+but their outcome follows from the similar pairs alone. Where pairs are wanted
+they come from an equi-join on shared runs of characters or from blocks of a
+group, and leaders and matchings are settled in one pass over a group's sorted
+pairs. Names and texts are clustered and matched in one pass without pairs.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -269,37 +271,47 @@ def _settled(options: DataFrame, by: list[str]) -> DataFrame:
     return ordered.select(*by, "g", "e", "score").mapInArrow(settle, kept)
 
 
-def _open(options: DataFrame, held: DataFrame) -> DataFrame:
-    """The options that may still come true. An ``e`` that holds a smaller ``g`` refuses for good."""
-    return options.join(held.select("e", F.col("g").alias("h")), "e", "left").where("h IS NULL OR g <= h").drop("h")
-
-
 def greedy_text_matching(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:
     """``greedy_matching`` by ``text_similarity`` within ``by``: (g, e, score). Sides have (*by, g, text) and (*by, e, text).
 
-    Equal texts score 1 and others less: of one text the i-th ``g`` starts with
-    the i-th ``e``, since smaller ones hold those before. Further partners are
-    worked out only for a ``g`` that loses its own or has none. The outcome
-    doesn't depend on when an option becomes known, as long as each ``g``
-    proposes in order of its scores.
+    One shuffle and one pass, one task a group. A task holds the right side of
+    its group, the ``e`` in Arrow and the distinct texts with the counts of
+    their characters; the left side streams by. No pairs are made: a text that
+    has no equal partner is compared with those free ones whose characters and
+    words allow a score above the best so far.
     """
-    nth = lambda c: F.row_number().over(Window.partitionBy(*by, "text").orderBy(c))
-    a = materialize(left.select(*by, "g", N.plain_text("text").alias("text")).withColumn("i", nth("g")))
-    b = materialize(right.select(*by, "e", N.plain_text("text").alias("text")).withColumn("i", nth("e")))
-    options = materialize(a.join(b, [*by, "text", "i"]).select(*by, "g", "e", F.lit(1.0).alias("score")))
-    asked = materialize(a.where("false").select("g"))
-    while True:
-        held = materialize(_settled(options, by), clean=False)
-        fresh = materialize(a.join(held, "g", "left_anti").join(asked, "g", "left_anti"), clean=False)
-        if fresh.isEmpty():
-            return held.select("g", "e", "score")
-        met = alike_across(fresh, b, by, threshold, True)
-        rated = met.withColumn("score", text_similarity(F.col("x"), F.col("y"))).where(F.col("score") >= threshold)
-        blank = fresh.where("text = ''").select(*by, F.col("text").alias("x")).distinct().select(*by, "x", F.col("x").alias("y"), F.lit(1.0).alias("score"))
-        links = materialize(rated.unionByName(blank), clean=False)
-        more = fresh.select(*by, "g", F.col("text").alias("x")).join(links, [*by, "x"]).join(b.select(*by, "e", F.col("text").alias("y")), [*by, "y"]).select(*by, "g", "e", "score")
-        asked = materialize(asked.unionByName(fresh.select("g")), clean=False)
-        options = materialize(_open(options.unionByName(more), held), clean=False)
+    keys = [f"__by_{i}" for i in range(len(by))]
+    group = [F.col(c).alias(k) for c, k in zip(by, keys)]
+    text = N.plain_text(N.plain_text("text")).alias("text")  # tabs and line ends around a text are blanks after the first time, gone after the second
+    rows = left.select(*group, "g", F.lit(None).cast(right.schema["e"].dataType).alias("e"), text, F.lit(True).alias("asks"))
+    rows = rows.unionByName(right.select(*group, F.lit(None).cast(left.schema["g"].dataType).alias("g"), "e", text, F.lit(False).alias("asks")))
+    ordered = rows.dropna(subset=keys).repartition(*keys).sortWithinPartitions(*keys, "asks", "g", "e")
+
+    def settle(batches: Iterator[pa.RecordBatch]):
+        last, options, held, texts = None, None, [], []
+        for batch in batches:
+            e = batch.column("e")
+            asked, took, score = [], [e.slice(0, 0)], []
+            rows = zip(*(batch.column(c).to_pylist() for c in (*keys, "asks")), strict=True)
+            text = batch.column("text").to_pylist()
+            for k, run in groupby(enumerate(rows), key=lambda x: x[1]):
+                run = [no for no, _ in run]
+                if k[:-1] != last:
+                    last, options, held, texts = k[:-1], None, [], []
+                if not k[-1]:
+                    held.append(e.take(pa.array(run)))
+                    texts += [text[no] for no in run]
+                    continue
+                if options is None:
+                    options, held, texts = L.Options(texts, threshold), [pa.concat_arrays(held or [e.slice(0, 0)])], []
+                hits = [(no, *hit) for no in run if (hit := options.take(text[no]))]
+                asked += [no for no, _, _ in hits]
+                took.append(held[0].take(pa.array([place for _, place, _ in hits], "int64")))
+                score += [s for _, _, s in hits]
+            yield pa.RecordBatch.from_arrays([batch.column("g").take(pa.array(asked, "int64")), pa.concat_arrays(took), pa.array(score, "float64")], names=["g", "e", "score"])
+
+    kept = T.StructType([left.schema["g"], right.schema["e"], T.StructField("score", T.DoubleType())])
+    return ordered.mapInArrow(settle, kept)
 
 
 def first_similar(left: DataFrame, right: DataFrame, by: list[str], threshold: float) -> DataFrame:

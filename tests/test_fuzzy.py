@@ -26,7 +26,7 @@ def test_matching_equals_the_sequential_rule(spark):
     for g in range(12):
         free = [(s, -e) for a, e, s in rows if a == g and e not in used and s >= 0.7]
         if free:
-            s, e = max(free)
+            s, e = max(free, default=(0.0, 0))
             used.add(-e)
             want.add((g, -e, s))
     df = spark.createDataFrame(rows, "g bigint, e bigint, score double")
@@ -191,3 +191,35 @@ def test_similar_leaders_of_many_names_take_one_pass(spark, monkeypatch):
     df = spark.createDataFrame([("k", i, n) for i, n in enumerate(names)], "k string, o bigint, name string")
     assert {r["node"]: r["leader"] for r in similar_leaders(df, ["k"], "o", "name").collect()} == want
     assert len(leaders) > 40 and not made
+
+
+def test_text_matching_of_many_texts_takes_one_pass(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr("tessera.operators.fuzzy.materialize", lambda df, *a, **k: made.append(1) or df.localCheckpoint())
+    rng = random.Random(10)
+    words = ["".join(rng.choice("aeioubdg") for _ in range(6)) for _ in range(25)]
+    name = lambda: f"{rng.choice(['storage of', 'prior and other', 'imaging by', 'risk'])} {rng.choice(words)}{rng.choice(['', ' use', 's', chr(233), chr(353)])}"
+    left, right = [(i, name()) for i in range(260)], [(i, name()) for i in range(240)]
+    left += [(300, "\tConsent steps"), (301, "Consent steps"), (302, "tbd"), (303, "a" * 250 + "b"), (304, None)]
+    right += [(300, "Consent steps"), (301, "Consent\n steps\n"), (302, "\tN/A"), (303, "a" * 250)]
+    plain = lambda t: "" if " ".join((t or "").lower().split()) in ("tbd", "n/a") else " ".join((t or "").lower().split())
+
+    def rate(x, y):
+        if not x or not y or x == y:
+            return float(x == y)
+        wx, wy = set(x.split()), set(y.split())
+        share = len(wx & wy) / min(len(wx), len(wy))
+        inside = min(len(x), len(y)) >= 5 and (x in y or y in x)
+        return max(SequenceMatcher(None, x, y).ratio(), 0.85 if inside else 0.0, 0.6 + share * 0.3 if share >= 0.5 else 0.0)
+
+    want, used = {}, set()
+    for g, x in left:
+        free = [(rate(plain(x), plain(y)), -e) for e, y in right if e not in used]
+        s, e = max(free, default=(0.0, 0))
+        if s >= 0.7:
+            want[g] = (-e, s)
+            used.add(-e)
+    side = lambda rows, c: spark.createDataFrame([("k", i, t) for i, t in rows] + [(None, 400, "Dose")], "k string, i int, text string").select("k", F.struct("k", "i").alias(c), "text")
+    got = greedy_text_matching(side(left, "g"), side(right, "e"), ["k"], 0.7).collect()
+    assert {r["g"]["i"]: (r["e"]["i"], r["score"]) for r in got} == want
+    assert want[300] == (300, 1.0) and want[301] == (301, 1.0) and len({s for _, s in want.values()}) > 20 and not made
